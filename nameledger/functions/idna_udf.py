@@ -3,7 +3,7 @@
 import sys
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,11 +63,18 @@ def _is_rtl(label: str) -> bool:
     return any(unicodedata.bidirectional(ch) in ("R", "AL", "AN") for ch in label)
 
 
-@F.pandas_udf(T.StringType())
-def idna_ascii(names: pd.Series) -> pd.Series:
-    return names.map(_encode_name, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def idna_ascii(names: pa.Array) -> pa.Array:
+    if names.null_count == len(names):
+        return names
+    return pa.array([_encode_name(n) for n in names.to_pylist()], pa.string())
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def idna_ascii_array(rows: pa.Array) -> pa.Array:
+    if rows.null_count == len(rows):
+        return rows
+    coded = [None if row is None else [_encode_name(n) for n in row] for row in rows.to_pylist()]
+    return pa.array(coded, pa.list_(pa.string()))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def idna_ascii_array(names: pd.Series) -> pd.Series:
-    return names.map(lambda row: [_encode_name(n) for n in row], na_action="ignore")

@@ -3,12 +3,10 @@
 IPv4 addresses are BIGINT, IPv6 addresses are BINARY(16): both compare in numeric order.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from nameledger.functions.text import as_column, trimmed
+from nameledger.functions.text import as_column, let, trimmed
 
 # Fixed patterns: dotted quad without leading zeros; colon groups with at most one "::".
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -20,20 +18,18 @@ IPV4_MAPPED_PREFIX = "00000000000000000000ffff"
 MAX_IPV4 = 2**32 - 1
 
 
-def ipv4_to_long(value: Column | str) -> Column:
-    """Dotted quad as BIGINT; null when the text is not one."""
-    text = as_column(value)
-    quad = F.aggregate(
+def _quad_number(text: Column) -> Column:
+    return F.aggregate(
         F.split(text, r"\."),
         F.lit(0).cast("bigint"),
         lambda total, octet: total * 256 + octet.cast("bigint"),
     )
-    return F.when(text.rlike(IPV4_PATTERN), quad)
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` applied to a value that is worked out once, however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def ipv4_to_long(value: Column | str) -> Column:
+    """Dotted quad as BIGINT; null when the text is not one."""
+    text = as_column(value)
+    return F.when(text.rlike(IPV4_PATTERN), _quad_number(text))
 
 
 def _plain_groups(text: Column) -> Column:
@@ -48,9 +44,9 @@ def _plain_groups(text: Column) -> Column:
                 F.lower(F.hex(quad.bitwiseAND(0xFFFF))),
             )
 
-        return F.when(tail.contains("."), _let(ipv4_to_long(tail), two_groups)).otherwise(text)
+        return F.when(tail.contains("."), let(ipv4_to_long(tail), two_groups)).otherwise(text)
 
-    return _let(F.substring_index(text, ":", -1), from_tail)
+    return let(F.substring_index(text, ":", -1), from_tail)
 
 
 def _ipv6_hex(value: Column | str) -> Column:
@@ -76,10 +72,10 @@ def _ipv6_hex(value: Column | str) -> Column:
             F.filter(head, lambda g: g != "").alias("head"),
             F.filter(F.coalesce(rest, _no_text()), lambda g: g != "").alias("rest"),
         )
-        return F.when(groups.rlike(IPV6_PATTERN), _let(sides, from_sides))
+        return F.when(groups.rlike(IPV6_PATTERN), let(sides, from_sides))
 
     return F.when(
-        text.contains(":"), _let(F.lower(text), lambda t: _let(_plain_groups(t), from_groups))
+        text.contains(":"), let(F.lower(text), lambda t: let(_plain_groups(t), from_groups))
     )
 
 
@@ -114,21 +110,25 @@ def ip_to_bytes16(value: Column | str) -> Column:
 
 def lookup_v4(value: Column | str) -> Column:
     """BIGINT of an address that belongs in the IPv4 table, IPv4-mapped IPv6 included."""
-    text = trimmed(value)
-    mapped = _let(
-        _ipv6_hex(text),
+    text = as_column(value)
+    mapped = let(
+        _ipv6_hex(trimmed(text)),
         lambda digits: F.when(
             digits.startswith(IPV4_MAPPED_PREFIX), F.conv(F.right(digits, F.lit(8)), 16, 10)
         ).cast("bigint"),
     )
-    return F.when(text.contains(":"), mapped).otherwise(ipv4_to_long(text))
+    return (
+        F.when(text.rlike(IPV4_PATTERN), _quad_number(text))
+        .when(text.contains(":"), mapped)
+        .otherwise(let(trimmed(text), ipv4_to_long))
+    )
 
 
 def lookup_v6(value: Column | str) -> Column:
     """BINARY(16) of an address that belongs in the IPv6 table."""
-    text = trimmed(value)
-    native = _let(
-        _ipv6_hex(text),
+    text = as_column(value)
+    native = let(
+        _ipv6_hex(trimmed(text)),
         lambda digits: F.when(~digits.startswith(IPV4_MAPPED_PREFIX), F.unhex(digits)),
     )
     return F.when(text.contains(":"), native)
@@ -160,7 +160,7 @@ def cidr_range_v4(value: Column | str) -> Column:
 def cidr_range_v6(value: Column | str) -> Column:
     """Inclusive STRUCT<start, end> of an IPv6 block as BINARY(16); null when invalid."""
     text = trimmed(value)
-    return _let(_ipv6_hex(F.substring_index(text, "/", 1)), lambda d: _block_v6(text, d))
+    return let(_ipv6_hex(F.substring_index(text, "/", 1)), lambda d: _block_v6(text, d))
 
 
 def _block_v6(text: Column, digits: Column) -> Column:

@@ -1,6 +1,8 @@
 """Small text helpers shared by the column functions."""
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The code points with the Unicode White_Space property.
@@ -16,13 +18,34 @@ def as_column(value: Column | str) -> Column:
 
 
 def trimmed(value: Column | str) -> Column:
-    """Strip every kind of white space from both ends."""
-    return F.btrim(as_column(value), F.lit(WHITE_SPACE))
+    """Strip every kind of white space from both ends.
+
+    Text that starts and ends with visible ASCII, nearly all of it, is passed through unsearched.
+    """
+    text = as_column(value)
+    clean = text.rlike(r"(?s)^[!-~](?:.*[!-~])?$")
+    return F.when(clean, text).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
 
 
 def is_blank(value: Column | str) -> Column:
     """True for null, empty and all-white-space text."""
-    return F.coalesce(trimmed(value), F.lit("")) == ""
+    text = as_column(value)
+    empty = ~text.rlike("[!-~]") & (F.btrim(text, F.lit(WHITE_SPACE)) == "")
+    return F.coalesce(empty, F.lit(True))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is worked out once per row, however often later steps name it.
+
+    A plain projection would be copied into every later filter and expression that uses it. The
+    one-element generator is the built-in operator the optimizer does not look through.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
 def non_empty(value: Column | str) -> Column:

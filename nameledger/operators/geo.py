@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from nameledger.functions.ip import lookup_v4, lookup_v6
-from nameledger.functions.text import non_empty
+from nameledger.functions.text import non_empty, once
 
 SPAN = 16
 BROADCAST_ROWS = 2_000_000
@@ -211,7 +211,7 @@ def _geo_columns(
     """Adds one (country, city) struct column per level, null where nothing covers the address."""
     space, v = _SPACES[table.version], table.version
     small = table.rows <= broadcast_rows
-    out, hits = df.withColumn(f"_ip{v}", space.number(ip)), []
+    out, hits = once(df, f"_ip{v}", space.number(ip)), []
     for level in table.levels:
         hit = f"_geo{v}_{level}"
         ranges = _filed(table, level).select(

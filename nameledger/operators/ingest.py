@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nameledger import schemas
-from nameledger.functions.domains import bare_domain, normalize_domain, normalize_domain_array
+from nameledger.functions.domains import bare_domain, with_domain, with_domain_arrays
 from nameledger.functions.ip import ip_version
 from nameledger.functions.records import temporal_range
 from nameledger.functions.text import is_blank, trimmed
-from nameledger.sources.messages import feed_document, message_shape, raw_records
+from nameledger.sources.messages import with_payload
 
 # The accepted feed type, record types and verdict texts.
 FEED_TYPE = "dns_intelligence_comprehensive"
@@ -58,17 +58,20 @@ def _raw_reason(domain: Column, rtype: Column, value: Column, name: Column) -> C
 
 def classify_raw(df: DataFrame, idna: bool = True) -> DataFrame:
     """Raw rows with their canonical ``name`` and a reject ``reason`` (null when usable)."""
-    named = df.withColumn("name", normalize_domain("domain", idna))
+    named = with_domain(df, "domain", "name", idna)
     reason = _raw_reason(F.col("domain"), F.col("type"), F.col("value"), F.col("name"))
     return named.withColumn("reason", reason)
 
 
 def raw_to_events(df: DataFrame, idna: bool = True) -> DataFrame:
     """Raw rows (domain, type, value, timestamp, device_id) to events."""
-    usable = classify_raw(df, idna).where(F.col("reason").isNull())
+    named = with_domain(df, "domain", "_name", idna)
+    usable = named.where(
+        F.col("_name").isNotNull() & F.col("type").isin(*RAW_TYPES) & ~is_blank("value")
+    )
     seen = F.coalesce("timestamp", F.lit(0))
     return usable.select(
-        F.col("name").alias("domain"),
+        F.col("_name").alias("domain"),
         "type",
         trimmed("value").alias("value"),
         seen.alias("first_seen"),
@@ -104,12 +107,13 @@ def _raw_event_array(records: Column, names: Column) -> Column:
 
 
 def _with_names(df: DataFrame, correlations: Column, idna: bool) -> DataFrame:
-    return df.withColumn(
-        "_names",
-        normalize_domain_array(F.transform(correlations, lambda c: c["domain"]), idna),
-    ).withColumn(
-        "_cnames",
-        normalize_domain_array(F.transform(correlations, lambda c: c["cname_target"]), idna),
+    return with_domain_arrays(
+        df,
+        {
+            "_names": F.transform(correlations, lambda c: c["domain"]),
+            "_cnames": F.transform(correlations, lambda c: c["cname_target"]),
+        },
+        idna,
     )
 
 
@@ -233,8 +237,7 @@ def feed_to_events(
     df: DataFrame, mode: str = "lenient", typed_answers: bool = False, idna: bool = True
 ) -> DataFrame:
     """One row per event of each feed."""
-    held = with_feed_events(df, mode, typed_answers, idna)
-    return held.select(F.explode("events").alias("_event")).select("_event.*")
+    return events_of(with_feed_events(df, mode, typed_answers, idna))
 
 
 def feed_rejects(df: DataFrame, idna: bool = True) -> DataFrame:
@@ -259,12 +262,9 @@ def messages_to_events(
 
     One pass, no union: each row is routed by its own shape.
     """
-    shaped = df.withColumn("_shape", message_shape(col))
-    parsed = shaped.withColumn(
-        "_raw", F.when(F.col("_shape") == "raw", raw_records(col))
-    ).withColumn("_feed", F.when(F.col("_shape") == "feed", feed_document(col)))
+    parsed = with_payload(df, col)
     raw_names = F.transform(F.col("_raw"), lambda r: r["domain"])
-    named = parsed.withColumn("_raw_names", normalize_domain_array(raw_names, idna))
+    named = with_domain_arrays(parsed, {"_raw_names": raw_names}, idna)
     fed = with_feed_events(
         named.select("*", "_feed.feed_type", "_feed.timestamp", "_feed.device_id",
                      "_feed.domain_correlations"),
@@ -282,7 +282,9 @@ def messages_to_events(
 
 def events_of(messages: DataFrame) -> DataFrame:
     """One row per event of messages that carry an ``events`` array."""
-    return messages.select(F.explode("events").alias("_event")).select("_event.*")
+    # The outer form, as Spark would work the array out twice to skip empty ones beforehand.
+    rows = messages.select(F.explode_outer("events").alias("_event"))
+    return rows.where(F.col("_event").isNotNull()).select("_event.*")
 
 
 # --- events ------------------------------------------------------------------------------------

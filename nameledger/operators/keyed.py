@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nameledger.operators.lookup import lookup
-from nameledger.plans.skew import MAX_HOT_KEYS, MAX_ITEMS_PER_ROW
+from nameledger.plans.skew import MAX_ITEMS_PER_ROW, largest
 
 
 def multi_get(table: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
@@ -112,11 +112,9 @@ def append_by_key(
     sizes = every.groupBy(key).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(seq).alias("_low"), F.max(seq).alias("_high")
     )
-    total = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
-    limit = F.greatest(F.lit(max_operands), F.ceil(total / MAX_HOT_KEYS))
-    parts = F.ceil(F.col("_rows") / limit)
+    parts = F.ceil(F.col("_rows") / max_operands)
     width = F.ceil((F.col("_high") - F.col("_low") + 1) / parts).alias("_width")
-    hot = sizes.where(F.col("_rows") > limit).select(key, "_low", width)
+    hot = largest(sizes, max_operands).select(key, "_low", width)
     run = F.floor((F.col(seq) - F.col("_low")) / F.col("_width")).cast("int")
     placed = every.join(F.broadcast(hot), key, "left").withColumn(
         "part", F.coalesce(run, F.lit(0))

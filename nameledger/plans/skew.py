@@ -9,6 +9,15 @@ MAX_ITEMS_PER_ROW = 100_000
 MAX_HOT_KEYS = 500_000
 
 
+def largest(sizes: DataFrame, max_items: int) -> DataFrame:
+    """Groups of more than ``max_items`` rows (``_rows``), the ``MAX_HOT_KEYS`` largest at most.
+
+    The bound makes the result safe to broadcast. It costs no balance: a group that is not among
+    the k largest holds less than 1/k of all rows.
+    """
+    return sizes.where(F.col("_rows") > max_items).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
+
+
 def collect_in_parts(
     df: DataFrame,
     keys: Sequence[str],
@@ -24,8 +33,7 @@ def collect_in_parts(
     0..p-1 of about equal size, split by the hash of ``spread_on``; nothing is left out, and equal
     items always meet in one part. ``key_aggs`` describe the whole key and are equal in its parts.
 
-    The list of large groups is broadcast. It has at most ``MAX_HOT_KEYS`` rows whatever the data:
-    the size limit rises to total / MAX_HOT_KEYS once that is above ``max_items``.
+    The list of large groups is broadcast; it has at most ``MAX_HOT_KEYS`` rows (see ``largest``).
     """
     finish = finish or {}
     key_aggs = key_aggs or {}
@@ -39,11 +47,9 @@ def collect_in_parts(
             F.count(F.lit(1)).alias("_rows"),
             *[agg.alias(f"_key_{name}") for name, agg in key_aggs.items()],
         )
-        total = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
-        limit = F.greatest(F.lit(max_items), F.ceil(total / MAX_HOT_KEYS))
-        hot = sizes.where(F.col("_rows") > limit).select(
+        hot = largest(sizes, max_items).select(
             *keys,
-            F.ceil(F.col("_rows") / limit).cast("int").alias("_parts"),
+            F.ceil(F.col("_rows") / max_items).cast("int").alias("_parts"),
             *[f"_key_{name}" for name in key_aggs],
         )
         part = F.when(F.col("_parts").isNull(), 0).otherwise(

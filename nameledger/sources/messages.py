@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nameledger import schemas
-from nameledger.functions.text import as_column, trimmed
+from nameledger.functions.text import as_column, once, trimmed
 
 
 def raw_records(payload: Column | str) -> Column:
@@ -28,23 +28,53 @@ def event_list(payload: Column | str) -> Column:
     ).when(text.startswith("{") & (F.size(wrapped) > 0), wrapped)
 
 
-def message_shape(payload: Column | str) -> Column:
-    """'raw', 'feed' or 'unknown', judged by what the JSON text holds."""
-    text = trimmed(payload)
-    is_json = F.try_parse_json(text).isNotNull()
-    has_feed = F.get_json_object(text, "$.domain_correlations").isNotNull()
-    records = raw_records(text)
-    is_records = (F.size(records) == 0) | F.exists(records, lambda r: r.isNotNull())
-    return (
-        F.when(text == "null", "raw")
-        .when(text.startswith("{") & is_json, F.when(has_feed, "feed").otherwise("raw"))
-        .when(text.startswith("[") & is_json & is_records, "raw")
-        .otherwise("unknown")
-    )
+# One object of either shape; the last field receives text that does not fit the schema.
+_DOCUMENT = T.StructType(
+    [
+        *schemas.RAW_RECORD.fields,
+        *[f for f in schemas.FEED.fields if f.name not in schemas.RAW_RECORD.names],
+        T.StructField("_misfit", T.StringType()),
+    ]
+)
 
 
-def _exploded(df: DataFrame, items: Column, keep: Sequence[str]) -> DataFrame:
-    return df.select(*keep, F.explode(items).alias("_item")).select(*keep, "_item.*")
+def with_payload(df: DataFrame, col: str = "value") -> DataFrame:
+    """Adds ``_raw`` (ARRAY of records), ``_feed`` and ``_shape`` ('raw', 'feed' or 'unknown').
+
+    Each payload is parsed once, by its first character. An object with ``domain_correlations`` is
+    a feed and any other object a raw record; ``null`` is an empty raw message.
+    """
+    text = trimmed(col)
+    document = F.from_json(text, _DOCUMENT, {"columnNameOfCorruptRecord": "_misfit"})
+    parsed = once(
+        df,
+        "_parsed",
+        F.struct(
+            F.when(text.startswith("["), raw_records(text)).alias("list"),
+            F.when(text.startswith("{"), document).alias("doc"),
+            (text == "null").alias("null"),
+        ),
+    )
+    items, doc = F.col("_parsed.list"), F.col("_parsed.doc")
+    # A mistyped field is tolerated, text that is not JSON at all is not.
+    readable = doc["_misfit"].isNull() | F.try_parse_json(doc["_misfit"]).isNotNull()
+    records = (F.size(items) == 0) | F.exists(items, lambda r: r.isNotNull())
+    shape = (
+        F.when(records | F.col("_parsed.null"), "raw")
+        .when(doc.isNotNull() & readable,
+              F.when(doc["domain_correlations"].isNotNull(), "feed").otherwise("raw"))
+        .otherwise("unknown")
+    )
+    fields = lambda schema: F.struct(*[doc[name] for name in schema.names])
+    shaped = parsed.withColumn("_shape", shape)
+    is_raw, is_feed = F.col("_shape") == "raw", F.col("_shape") == "feed"
+    lone = F.when(is_raw & doc.isNotNull(), F.array(fields(schemas.RAW_RECORD)))
+    return shaped.withColumns(
+        {
+            "_raw": F.coalesce(F.when(is_raw, items), lone),
+            "_feed": F.when(is_feed, fields(schemas.FEED)),
+        }
+    ).drop("_parsed")
 
 
 def parse_raw(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -75,9 +105,10 @@ def unparsed_events(df: DataFrame, col: str = "value") -> DataFrame:
 
 def route_messages(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(raw, feed, rejects) by message shape; rejects carry a reason."""
-    shaped = df.withColumn("_shape", message_shape(col))
+    shaped = with_payload(df, col)
     raw, feed, unknown = (
-        shaped.where(F.col("_shape") == name).drop("_shape") for name in ("raw", "feed", "unknown")
+        shaped.where(F.col("_shape") == name).select(df.columns)
+        for name in ("raw", "feed", "unknown")
     )
     return raw, feed, unknown.withColumn("reason", F.lit("neither raw records nor a feed"))
 
