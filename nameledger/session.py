@@ -34,6 +34,9 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
     return spark
 
 
+_made_for: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
@@ -42,8 +45,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="nameledger-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _made_for:
+        _made_for[context.applicationId] = tempfile.mkdtemp(prefix="nameledger-")
+    return _made_for[context.applicationId]

@@ -77,6 +77,12 @@ def with_payload(df: DataFrame, col: str = "value") -> DataFrame:
     ).drop("_parsed")
 
 
+def _exploded(df: DataFrame, items: Column, keep: Sequence[str]) -> DataFrame:
+    # The outer form, as Spark would work the array out twice to skip empty ones beforehand.
+    rows = df.select(*keep, F.explode_outer(items).alias("_item"))
+    return rows.where(F.col("_item").isNotNull()).select(*keep, "_item.*")
+
+
 def parse_raw(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row per raw record; columns named in ``keep`` are carried along."""
     return _exploded(df, raw_records(col), keep)

@@ -99,13 +99,17 @@ def upsert_state(
         n_shards = current.n_shards
         if batch is not None and batch[1] <= current.batches.get(batch[0], -1):
             return current
-    folded = with_shard(fold_events(events, zero_is_missing), n_shards)
-    touched = sorted(row.shard_id for row in folded.select("shard_id").distinct().collect())
-    if not touched:
-        return current
-    held = read_state(spark, path, current.version if current else None, touched)
-    merged = with_shard(merge_state(held, folded, zero_is_missing), n_shards)
-    return _commit(spark, path, current, n_shards, merged, touched, batch)
+    folded = with_shard(fold_events(events, zero_is_missing), n_shards).persist()
+    try:
+        # At most n_shards small numbers.
+        touched = sorted(row.shard_id for row in folded.select("shard_id").distinct().collect())
+        if not touched:
+            return current
+        held = read_state(spark, path, current.version if current else None, touched)
+        merged = with_shard(merge_state(held, folded, zero_is_missing), n_shards)
+        return _commit(spark, path, current, n_shards, merged, touched, batch)
+    finally:
+        folded.unpersist()
 
 
 def rewrite_state(
