@@ -145,11 +145,16 @@ def lookup_domains(intel: DataFrame, keys: DataFrame, with_lists: bool = False)
 
 
 def _one_domain(state: DataFrame, domain: str, n_shards: int) -> DataFrame:
-    """State rows of one domain; names the shard too where the table is laid out by shard."""
-    name = normalize_domain(F.lit(domain), idna=not domain.isascii())
-    hit = F.col("domain") == name
+    """State rows of one domain; names the shard too where the table is laid out by shard.
+
+    The canonical name is worked out first, so that the scan gets a plain value to prune by.
+    """
+    unusual = not domain.isascii() or "xn--" in domain.lower()
+    name = normalize_domain(F.lit(domain), idna=unusual)
+    literal = F.lit(state.sparkSession.range(1).select(name).first()[0])
+    hit = F.col("domain") == literal
     if "shard_id" in state.columns:
-        hit = hit & (F.col("shard_id") == shard_id(name, n_shards))
+        hit = hit & (F.col("shard_id") == shard_id(literal, n_shards))
     return state.where(hit)
 
 

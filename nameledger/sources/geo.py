@@ -18,8 +18,7 @@ END_COLUMNS = ("ip_range_end", "end_ip")
 COUNTRY_COLUMNS = ("country_iso_code", "country_code", "country")
 CITY_COLUMNS = ("city_name", "city")
 
-_PLAIN_SCHEMA = ", ".join(f"c{i} string" for i in range(6))
-_UNUSED = "\u0001"
+_PLAIN_SCHEMA = ", ".join(f"c{i} string" for i in range(6)) + ", _odd string"
 
 
 def has_header(first_line: str) -> bool:
@@ -35,11 +34,17 @@ def read_geo_csv(spark: SparkSession, path: str, version: int) -> DataFrame:
     """
     first = spark.read.text(path).first()
     if first is not None and has_header(first.value):
-        named = spark.read.option("header", True).option("nullValue", _UNUSED).csv(path)
-        return _from_named(named, version)
-    # An absent cell is null and an empty one is "", so short rows can be told apart.
-    plain = spark.read.schema(_PLAIN_SCHEMA).option("nullValue", _UNUSED).csv(path)
-    wide_enough = plain.where(F.col("c2").isNotNull())
+        return _from_named(spark.read.option("header", True).csv(path), version)
+    # Lines of more or fewer than six cells are also kept as text, in ``_odd``: an empty third cell
+    # and a missing one both read as null, and only the latter makes the line too short.
+    plain = (
+        spark.read.schema(_PLAIN_SCHEMA)
+        .option("columnNameOfCorruptRecord", "_odd")
+        .option("columnPruning", False)  # the cells of a line are only counted when all are read
+        .csv(path)
+    )
+    too_short = F.col("c2").isNull() & (F.size(F.split("_odd", ",")) < 3)
+    wide_enough = plain.where(~F.coalesce(too_short, F.lit(False)))
     ends = _bounds(F.col("c0"), F.col("c1"), version)
     return _usable(wide_enough, ends, F.col("c2"), F.col("c5"))
 
