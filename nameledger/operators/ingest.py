@@ -216,21 +216,28 @@ def _feed_event_array(
     return F.coalesce(events, _no_events())
 
 
-def with_feed_events(
-    df: DataFrame, mode: str = "lenient", typed_answers: bool = False, idna: bool = True
-) -> DataFrame:
-    """Feeds with an ``events`` array column; a feed refused in strict mode has none."""
+def _events_of_named_feed(
+    named: DataFrame, mode: str, typed_answers: bool
+) -> tuple[DataFrame, Column]:
+    """The event array of feeds that carry ``_names`` and ``_cnames``; strict adds ``verdict``."""
     _check_mode(mode)
-    correlations = F.col("domain_correlations")
-    named = _with_names(df, correlations, idna)
     events = _feed_event_array(
-        correlations, F.col("_names"), F.col("_cnames"), F.col("timestamp"), F.col("device_id"),
-        typed_answers,
+        F.col("domain_correlations"), F.col("_names"), F.col("_cnames"), F.col("timestamp"),
+        F.col("device_id"), typed_answers,
     )
     if mode == "strict":
         named = named.withColumn("verdict", _strict_verdict())
         events = F.when(F.col("verdict").isNull(), events).otherwise(_no_events())
-    return named.withColumn("events", events).drop("_names", "_cnames")
+    return named, events
+
+
+def with_feed_events(
+    df: DataFrame, mode: str = "lenient", typed_answers: bool = False, idna: bool = True
+) -> DataFrame:
+    """Feeds with an ``events`` array column; a feed refused in strict mode has none."""
+    named = _with_names(df, F.col("domain_correlations"), idna)
+    judged, events = _events_of_named_feed(named, mode, typed_answers)
+    return judged.withColumn("events", events).drop("_names", "_cnames")
 
 
 def feed_to_events(
@@ -262,18 +269,24 @@ def messages_to_events(
 
     One pass, no union: each row is routed by its own shape.
     """
-    parsed = with_payload(df, col)
-    raw_names = F.transform(F.col("_raw"), lambda r: r["domain"])
-    named = with_domain_arrays(parsed, {"_raw_names": raw_names}, idna)
-    fed = with_feed_events(
-        named.select("*", "_feed.feed_type", "_feed.timestamp", "_feed.device_id",
-                     "_feed.domain_correlations"),
-        mode, typed_answers, idna,
+    parsed = with_payload(df, col).select(
+        "*", *[f"_feed.{name}" for name in ("feed_type", "timestamp", "device_id", "domain_correlations")]
     )
-    from_raw = _raw_event_array(F.col("_raw"), F.col("_raw_names"))
-    events = F.when(F.col("_shape") == "raw", F.coalesce(from_raw, _no_events())).otherwise(
-        F.col("events")
+    correlations = F.col("domain_correlations")
+    named = with_domain_arrays(
+        parsed,
+        {
+            "_raw_names": F.transform(F.col("_raw"), lambda r: r["domain"]),
+            "_names": F.transform(correlations, lambda c: c["domain"]),
+            "_cnames": F.transform(correlations, lambda c: c["cname_target"]),
+        },
+        idna,
     )
+    fed, feed_events = _events_of_named_feed(named, mode, typed_answers)
+    from_raw = _raw_event_array(F.col("_raw"), F.col("_raw_names"))
+    events = F.when(
+        F.col("_shape") == "raw", F.coalesce(from_raw, _no_events())
+    ).otherwise(feed_events)
     reason = F.when(F.col("_shape") == "unknown", "neither raw records nor a feed")
     if mode == "strict":
         reason = reason.when(F.col("_shape") == "feed", F.col("verdict"))
