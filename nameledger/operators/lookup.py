@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from nameledger.functions.domains import DEFAULT_SHARDS, normalize_domain, shard_id
 from nameledger.functions.records import make_key
-from nameledger.plans.skew import MAX_ITEMS_PER_ROW, collect_in_parts
+from nameledger.plans.skew import MAX_ITEMS_PER_ROW, collect_in_parts, join_spread
 
 
 def _latest(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -110,7 +110,7 @@ def resolve(
 
 def _attach(keys: DataFrame, hits: DataFrame, on: list[str]) -> DataFrame:
     marked = hits.withColumn("found", F.lit(True))
-    return keys.join(marked, on, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    return join_spread(keys, marked, on).withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def lookup(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

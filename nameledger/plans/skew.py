@@ -70,3 +70,31 @@ def collect_in_parts(
         *[finish.get(name, F.array_sort)(F.col(name)).alias(name) for name in collected],
         *key_aggs,
     )
+
+
+def join_spread(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    max_rows: int = MAX_ITEMS_PER_ROW,
+) -> DataFrame:
+    """Left outer join that stays balanced when a few keys of ``left`` repeat very often.
+
+    Rows of a key with more than ``max_rows`` rows are dealt over slots by a hash of the whole
+    row, and the matches of such a key are repeated once per slot. All other keys join as usual.
+    ``right`` has few rows per key.
+    """
+    on = list(on)
+    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = largest(sizes, max_rows).select(
+        *on, F.ceil(F.col("_rows") / max_rows).cast("int").alias("_slots")
+    )
+    slot = F.when(F.col("_slots").isNull(), 0).otherwise(
+        F.pmod(F.xxhash64(*left.columns), F.col("_slots"))
+    )
+    dealt = left.join(F.broadcast(hot), on, "left").withColumn("_slot", slot.cast("int"))
+    repeated = right.join(F.broadcast(hot), on, "left").withColumn(
+        "_slot", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1))
+    )
+    joined = dealt.drop("_slots").join(repeated.drop("_slots"), [*on, "_slot"], "left")
+    return joined.drop("_slot")

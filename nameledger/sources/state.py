@@ -157,6 +157,29 @@ def bulk_upsert(spark: SparkSession, path: str, state: DataFrame, **options) ->
     return upsert_state(spark, path, state, **options)
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 10) -> list[int]:
+    """Removes all but the newest ``keep`` versions and the shard folders only they used.
+
+    Not for use while readers still hold one of the versions that go.
+    """
+    known = versions(spark, path)
+    gone, kept = known[:-keep], known[-keep:]
+    if keep < 1 or not gone:
+        return []
+    needed = {d for v in kept for d in load_version(spark, path, v).shards.values()}
+    for version in gone:
+        files.delete_tree(spark, _version_file(path, version))
+        folder = f"data/v={version}"
+        used = [d for d in needed if d.startswith(f"{folder}/")]
+        if not used:
+            files.delete_tree(spark, f"{path}/{folder}")
+            continue
+        for name in files.names_in(spark, f"{path}/{folder}"):
+            if name.startswith("shard_id=") and f"{folder}/{name}" not in needed:
+                files.delete_tree(spark, f"{path}/{folder}/{name}")
+    return gone
+
+
 def decode_kv(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """State rows from ``domain|type|value`` keys and JSON time ranges; unreadable rows go."""
     parsed = df.select(

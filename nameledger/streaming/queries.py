@@ -5,6 +5,11 @@ batch is skipped by its number, and folding it again would change nothing. Faile
 by Spark (``spark.task.maxFailures``); a query that stops resumes from its checkpoint.
 """
 
+import logging
+import time
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -16,9 +21,27 @@ from nameledger.sources.intel import event_messages, write_rejects
 from nameledger.sources.messages import parse_events, unparsed_events
 from nameledger.sources.state import upsert_state
 
+T = TypeVar("T")
+log = logging.getLogger(__name__)
+
 BATCH_WAIT = "5 seconds"  # fixed value
 
 
+RETRIES = 3  # fixed value
+RETRY_WAIT = 0.5  # fixed value, seconds; it grows by itself with each attempt
+
+
+def retried(action: Callable[[], T], attempts: int = RETRIES, wait: float = RETRY_WAIT) -> T:
+    """Runs a step that may safely be repeated, waiting a little longer before each new attempt."""
+    for attempt in range(1, attempts):
+        try:
+            return action()
+        except Exception as error:  # any failure of the step; the last one is passed on
+            log.warning("attempt %d of %d failed: %s", attempt, attempts, error)
+            time.sleep(wait * attempt)
+    return action()
+
+
 def _started(writer: DataStreamWriter, checkpoint: str, once: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=BATCH_WAIT)
@@ -75,8 +98,10 @@ def start_aggregator(
     def write(batch: DataFrame, number: int) -> None:
         judged = classify_events(parse_events(batch))
         usable = judged.where(F.col("reason").isNull())
-        upsert_state(
-            batch.sparkSession, state_path, usable, n_shards, zero_is_missing, (name, number)
+        retried(
+            lambda: upsert_state(
+                batch.sparkSession, state_path, usable, n_shards, zero_is_missing, (name, number)
+            )
         )
         if rejects is not None:
             unreadable = unparsed_events(batch).select("value", "reason")

@@ -108,6 +108,19 @@ def test_empty_table_and_rewrite(spark, rows, path):
     assert state.read_state(spark, path, version=1).count() > state.read_state(spark, path).count()
 
 
+def test_old_versions_can_go(spark, rows, path):
+    data = random_events(60, 4)
+    for event in (data[:20], data[20:40], [("example.com", "A", "1", 1, 1)], data[40:]):
+        state.upsert_state(spark, path, rows(event, EVENTS))
+    whole = folded(state.read_state(spark, path))
+    third = folded(state.read_state(spark, path, version=3))
+    assert state.drop_old_versions(spark, path, keep=2) == [1, 2]
+    assert state.versions(spark, path) == [3, 4]
+    assert folded(state.read_state(spark, path)) == whole
+    assert folded(state.read_state(spark, path, version=3)) == third
+    assert state.drop_old_versions(spark, path, keep=2) == []
+
+
 def test_decoding_stored_pairs(rows):
     pairs = [("a|A|1", '{"first_seen":1,"last_seen":2}'), ("a|A", '{"first_seen":1}'),
              ("b|A|2", "{broken"), ("c|A|3", '{"first_seen":"x","last_seen":4}')]
@@ -148,6 +161,16 @@ def test_multi_get_keeps_the_order_and_the_misses(rows):
     assert at3 == ["val2", "value1", None]
 
 
+def test_a_key_asked_for_very_often(rows):
+    from nameledger.plans.skew import join_spread
+
+    keys = rows([(i, "hot" if i % 3 else f"k{i}") for i in range(300)], "pos int, key string")
+    table = rows([("hot", "a"), ("hot", "b"), ("k3", "c")], "key string, value string")
+    plain = sorted(map(tuple, keys.join(table, "key", "left").collect()), key=repr)
+    spread = join_spread(keys, table, ["key"], max_rows=20)
+    assert sorted(map(tuple, spread.collect()), key=repr) == plain
+
+
 def test_scans(rows):
     table = rows([(f"key_{i}", "v") for i in range(1000)] + [("foo1", ""), ("foo2", ""), ("bar", "")],
                  "key string, value string")

@@ -92,3 +92,21 @@ def test_event_and_reject_files(spark, rows):
     intel.write_rejects(held.select("value", "reason"), bad)
     assert spark.read.text(path).count() == 201
     assert spark.read.json(bad).first().value == "junk"
+
+
+def test_a_failing_step_is_tried_again():
+    calls = []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("not yet")
+        return "done"
+
+    assert streams.retried(flaky, wait=0) == "done" and len(calls) == 3
+    calls.clear()
+    try:
+        streams.retried(flaky, attempts=2, wait=0)
+        raise AssertionError("the last failure is passed on")
+    except OSError:
+        assert len(calls) == 2
