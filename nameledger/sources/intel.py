@@ -90,14 +90,18 @@ def replace_output(
     spark = df.sparkSession
     path = versioned_path(f"{root}/{prefix}", now)
     df.write.mode("errorifexists").format(fmt).option("ignoreNullFields", True).save(path)
-    pointer = len(files.names_in(spark, f"{root}/_current")) + 1
+    pointer = int((_pointers(spark, root) or ["0"])[-1]) + 1
     files.write_new(spark, f"{root}/_current/{pointer:012d}", path.rsplit("/", 1)[1])
     return path
 
 
+def _pointers(spark: SparkSession, root: str) -> list[str]:
+    return [n for n in files.names_in(spark, f"{root}/_current") if n[0] != "."]
+
+
 def current_output(spark: SparkSession, root: str, back: int = 0) -> str | None:
     """Path of the current output, or of the one ``back`` versions before it."""
-    pointers = [n for n in files.names_in(spark, f"{root}/_current") if n[0] != "."]
+    pointers = _pointers(spark, root)
     if len(pointers) <= back:
         return None
     name = files.read_text(spark, f"{root}/_current/{pointers[-1 - back]}")

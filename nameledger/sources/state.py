@@ -8,6 +8,7 @@ key, so shards of any size are written by many tasks and Parquet statistics serv
 """
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,7 @@ def read_state(
         return empty.withColumn("shard_id", F.lit(0))
     return (
         spark.read.schema("domain string, type string, value string, first_seen bigint, "
-                          "last_seen bigint, v int, shard_id int")
+                          "last_seen bigint, v string, shard_id int")
         .option("basePath", f"{path}/data")
         .option("ignoreMissingFiles", str(skip_unreadable).lower())
         .option("ignoreCorruptFiles", str(skip_unreadable).lower())
@@ -88,9 +89,13 @@ def upsert_state(
     n_shards: int = DEFAULT_SHARDS,
     zero_is_missing: bool = True,
     batch: tuple[str, int] | None = None,
+    every_shard: bool = False,
 ) -> StateVersion | None:
     """Folds events (or state rows) into the table and returns the version now current.
 
+    The folded batch is kept on the executors while the shards it touches are found and merged;
+    ``every_shard`` spares that for a load so large that it touches them all anyway.
+
     ``batch`` is (stream name, batch number): a batch already in the table is skipped. A table
     keeps the shard count it was made with. One writer at a time: a second one fails on commit.
     """
@@ -99,13 +104,20 @@ def upsert_state(
         n_shards = current.n_shards
         if batch is not None and batch[1] <= current.batches.get(batch[0], -1):
             return current
-    folded = with_shard(fold_events(events, zero_is_missing), n_shards).persist()
+    folded = with_shard(fold_events(events, zero_is_missing), n_shards)
+    if current is None:
+        return _commit(spark, path, current, n_shards, folded, None, batch)
+    if every_shard:
+        held = read_state(spark, path, current.version)
+        merged = with_shard(merge_state(held, folded, zero_is_missing), n_shards)
+        return _commit(spark, path, current, n_shards, merged, None, batch)
+    folded.persist()
     try:
         # At most n_shards small numbers.
         touched = sorted(row.shard_id for row in folded.select("shard_id").distinct().collect())
         if not touched:
             return current
-        held = read_state(spark, path, current.version if current else None, touched)
+        held = read_state(spark, path, current.version, touched)
         merged = with_shard(merge_state(held, folded, zero_is_missing), n_shards)
         return _commit(spark, path, current, n_shards, merged, touched, batch)
     finally:
@@ -124,9 +136,10 @@ def rewrite_state(
     return _commit(spark, path, blank, n_shards, rows, None, None)
 
 
-def _commit(spark, path, current, n_shards, rows, touched, batch) -> StateVersion:
+def _commit(spark, path, current, n_shards, rows, touched, batch) -> StateVersion | None:
     version = (current.version if current else 0) + 1
-    target = f"{path}/data/v={version}"
+    folder = f"data/v={version}-{uuid.uuid4().hex[:8]}"  # no writer touches another one's files
+    target = f"{path}/{folder}"
     (
         rows.repartitionByRange("shard_id", *STATE_KEY)
         .sortWithinPartitions("shard_id", *STATE_KEY)
@@ -135,13 +148,15 @@ def _commit(spark, path, current, n_shards, rows, touched, batch) -> StateVersio
         .parquet(target)
     )
     written = {
-        name.split("=")[1]: f"data/v={version}/{name}"
+        name.split("=")[1]: f"{folder}/{name}"
         for name in files.names_in(spark, target)
         if name.startswith("shard_id=")
     }
+    if not written and current is None:
+        return None
     kept = {
-        shard: folder
-        for shard, folder in (current.shards if current else {}).items()
+        shard: held
+        for shard, held in (current.shards if current else {}).items()
         if touched is not None and int(shard) not in touched
     }
     batches = dict(current.batches) if current else {}
@@ -153,8 +168,8 @@ def _commit(spark, path, current, n_shards, rows, touched, batch) -> StateVersio
 
 
 def bulk_upsert(spark: SparkSession, path: str, state: DataFrame, **options) -> StateVersion | None:
-    """Loads ready-made state rows (for instance read from Parquet files) in one batch."""
-    return upsert_state(spark, path, state, **options)
+    """Loads ready-made state rows (for instance read from Parquet files) in one large batch."""
+    return upsert_state(spark, path, state, **{"every_shard": True, **options})
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 10) -> list[int]:
@@ -169,14 +184,17 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 10) -> list[in
     needed = {d for v in kept for d in load_version(spark, path, v).shards.values()}
     for version in gone:
         files.delete_tree(spark, _version_file(path, version))
-        folder = f"data/v={version}"
-        used = [d for d in needed if d.startswith(f"{folder}/")]
+    for folder in files.names_in(spark, f"{path}/data"):
+        # A folder of a version still to come belongs to a writer at work.
+        if int(folder.removeprefix("v=").split("-")[0]) > kept[-1]:
+            continue
+        used = [d for d in needed if d.startswith(f"data/{folder}/")]
         if not used:
-            files.delete_tree(spark, f"{path}/{folder}")
+            files.delete_tree(spark, f"{path}/data/{folder}")
             continue
-        for name in files.names_in(spark, f"{path}/{folder}"):
-            if name.startswith("shard_id=") and f"{folder}/{name}" not in needed:
-                files.delete_tree(spark, f"{path}/{folder}/{name}")
+        for name in files.names_in(spark, f"{path}/data/{folder}"):
+            if name.startswith("shard_id=") and f"data/{folder}/{name}" not in needed:
+                files.delete_tree(spark, f"{path}/data/{folder}/{name}")
     return gone
 
 

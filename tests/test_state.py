@@ -101,11 +101,16 @@ def test_missing_shards_can_be_skipped(spark, rows, path):
 def test_empty_table_and_rewrite(spark, rows, path):
     assert state.read_state(spark, path).count() == 0
     assert state.upsert_state(spark, path, rows([], EVENTS)) is None
-    state.bulk_upsert(spark, path, rows(random_events(50, 2), EVENTS))
+    data = random_events(80, 2)
+    state.upsert_state(spark, path, rows(data[:50], EVENTS))
+    state.bulk_upsert(spark, path, rows(data[50:], EVENTS))
+    assert folded(state.read_state(spark, path)) == folded(fold.fold_events(rows(data, EVENTS)))
+    full = folded(state.read_state(spark, path))
     live = keyed.expire(state.read_state(spark, path), now=1000, ttl=500)
     state.rewrite_state(spark, path, live)
     assert all(r.last_seen == 0 or r.last_seen > 500 for r in state.read_state(spark, path).collect())
-    assert state.read_state(spark, path, version=1).count() > state.read_state(spark, path).count()
+    assert folded(state.read_state(spark, path, version=2)) == full
+    assert state.read_state(spark, path).count() < len(full)
 
 
 def test_old_versions_can_go(spark, rows, path):
