@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from nameledger.functions.domains import DEFAULT_SHARDS
 from nameledger.operators.fold import shard_distribution
 from nameledger.operators.ingest import classify_events, messages_to_events
-from nameledger.sources.intel import event_messages, write_rejects
+from nameledger.sources.intel import event_messages
 from nameledger.sources.messages import parse_events, unparsed_events
 from nameledger.sources.state import upsert_state
 
