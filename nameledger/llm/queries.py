@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from nameledger.llm.bpe import encode_documents
 from nameledger.llm.common import table
 from nameledger.llm.packing import pack_documents
+from nameledger.llm.winnowing import fingerprint_documents
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +16,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded by byte-level BPE ranks and decoded again."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text, of its edited text, and how near they and the next text's are."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_bpe": op3_bpe,
+    "op6_winnowing": op6_winnowing,
 }
 
 ORACLES: dict[str, str] = {}
