@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from nameledger.llm.bpe import encode_documents
 from nameledger.llm.common import table
 from nameledger.llm.packing import pack_documents
+from nameledger.llm.warc import archive_pages
 from nameledger.llm.winnowing import fingerprint_documents
 
 
@@ -16,6 +17,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back; repeated payloads are revisits."""
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"]
+    return archive_pages(table(spark, sf_dir, "pages")).select(columns)
+
+
+OP2_SQL = """
+WITH stored AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, max(page_id) AS response FROM stored WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to, true AS verified
+FROM stored LEFT JOIN first USING (payload_digest)
+"""
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by byte-level BPE ranks and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,8 +46,11 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op6_winnowing": op6_winnowing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_warc": OP2_SQL,
+}
