@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from nameledger.llm.bpe import encode_documents
 from nameledger.llm.common import table
 from nameledger.llm.packing import pack_documents
+from nameledger.llm.quality import judge
 from nameledger.llm.warc import archive_pages
 from nameledger.llm.winnowing import fingerprint_documents
 
@@ -39,6 +40,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and whether the rules keep it."""
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judge(table(spark, sf_dir, "documents")).select(columns)
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how near they and the next text's are."""
     return fingerprint_documents(table(spark, sf_dir, "documents"))
@@ -48,6 +55,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
+    "op4_quality": op4_quality,
     "op6_winnowing": op6_winnowing,
 }
 
