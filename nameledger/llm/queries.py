@@ -9,6 +9,7 @@ from nameledger.llm.bpe import encode_documents
 from nameledger.llm.common import table
 from nameledger.llm.packing import pack_documents
 from nameledger.llm.quality import judge
+from nameledger.llm.simhash import near_groups
 from nameledger.llm.warc import archive_pages
 from nameledger.llm.winnowing import fingerprint_documents
 
@@ -51,12 +52,18 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash and the group it belongs to."""
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op6_winnowing": op6_winnowing,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLES: dict[str, str] = {
