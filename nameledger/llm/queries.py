@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from nameledger.llm.bpe import encode_documents
+from nameledger.llm.chat import format_conversations
 from nameledger.llm.common import table
+from nameledger.llm.lines import dedup_report
 from nameledger.llm.packing import pack_documents
 from nameledger.llm.quality import judge
 from nameledger.llm.simhash import near_groups
@@ -52,20 +54,45 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines that repeat or resemble an earlier line."""
+    return dedup_report(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SimHash and the group it belongs to."""
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation that no longer one goes on from, as one text."""
+    return format_conversations(table(spark, sf_dir, "conversations"))
+
+
+OP9_SQL = """
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos, count(*) OVER (PARTITION BY conv_id) AS n,
+    '<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS part
+  FROM conversations WHERE conv_id IS NOT NULL),
+prefixes AS (SELECT conv_id, pos, n, string_agg(part, '') OVER (PARTITION BY conv_id ORDER BY pos) AS rendered FROM turns),
+classes AS (SELECT rendered, n AS n_turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM prefixes WHERE pos = n GROUP BY ALL)
+SELECT conv_id, n_turns, n_copies, rendered FROM classes
+WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.pos < p.n AND p.pos = n_turns AND p.rendered = classes.rendered)
+"""
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
     "op6_winnowing": op6_winnowing,
+    "op7_lines": op7_lines,
     "op8_simhash": op8_simhash,
+    "op9_chat": op9_chat,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc": OP2_SQL,
+    "op9_chat": OP9_SQL,
 }
