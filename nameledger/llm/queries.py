@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nameledger.llm.bpe import encode_documents
 from nameledger.llm.chat import format_conversations
@@ -11,6 +12,7 @@ from nameledger.llm.common import table
 from nameledger.llm.lines import dedup_report
 from nameledger.llm.packing import pack_documents
 from nameledger.llm.quality import judge
+from nameledger.llm.secrets import scan
 from nameledger.llm.simhash import near_groups
 from nameledger.llm.warc import archive_pages
 from nameledger.llm.winnowing import fingerprint_documents
@@ -81,6 +83,12 @@ WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.pos < p.n AND p.pos = n_turns
 """
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret and whether the forest takes it for one; the value itself only as a digest."""
+    columns = ["doc_id", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), F.round("score", 9).alias("score"), "is_secret"]
+    return scan(table(spark, sf_dir, "documents")).select(*columns)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -90,6 +98,7 @@ QUERIES = {
     "op7_lines": op7_lines,
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {

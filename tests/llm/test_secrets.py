@@ -1,0 +1,62 @@
+import re
+
+import pytest
+
+from nameledger.llm import secrets as S
+
+SCHEMA = "doc_id bigint, text string, value string, at int, length int"
+KEY = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+WORDS = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return S.train(S.labelled_findings(spark, WORDS), WORDS)
+
+
+def documents():
+    return [
+        (1, f'on and token = "{KEY}" the end', "x", 1, 1),
+        (2, f"see commit {KEY} for it\nTOKEN = \"{KEY.upper()}\"", "x", 1, 1),
+        (3, "no digits in averyveryverylongwordindeed and 123456789012345678 only", "x", 1, 1),
+        (4, None, None, None, None),
+        (5, "", "", 0, 0),
+        (5, f"again\nsecret: {KEY}" + " word" * 40_000 + f" api_key='{KEY[:32]}'.", "x", 1, 1),
+        (None, f'token = "{KEY}" twice token = "{KEY}"', "x", 1, 1),
+        (None, f'token = "{KEY}" twice token = "{KEY}"', "x", 1, 1),
+    ]
+
+
+def test_held_out_accuracy(spark, model):
+    rows = S.judged(S.labelled_findings(spark, WORDS, 200, salt="other"), model, WORDS).collect()
+    right = [r.is_secret == (r.label == 1.0) for r in rows]
+    true = [r.is_secret for r in rows if r.label == 1.0]
+    assert sum(right) / len(right) > 0.95 and sum(true) / len(true) > 0.95
+
+
+def test_candidates_and_places(rows, model):
+    got = S.scan(rows(documents(), SCHEMA), model, WORDS).collect()
+    want = [(d, m.start(), m[0]) for d, t, *_ in documents() for m in re.finditer(S.CANDIDATE, t or "")]
+    assert sorted(((r.doc_id, r.start, r.value) for r in got), key=repr) == sorted(want, key=repr)
+    verdicts = {(r.doc_id, r.start): r.is_secret for r in got}
+    assert verdicts[1, 16] and not verdicts[2, 11]
+    assert all(v for (d, s), v in verdicts.items() if d in (5, None))
+
+
+def test_masked_texts(rows, model):
+    docs = rows(documents(), SCHEMA).repartition(3)
+    out = S.mask_secrets(docs, model, WORDS)
+    assert out.columns == docs.columns
+    got = sorted(map(tuple, out.collect()), key=repr)
+    want = []
+    for doc, text, *rest in documents():
+        if text and doc != 3:
+            text = re.sub(S.CANDIDATE, lambda m: m[0] if doc == 2 and m.start() == 11 else S.MASK, text)
+        want.append((doc, text, *rest))
+    assert got == sorted(want, key=repr)
+
+
+def test_edges(rows, model):
+    empty = rows([], SCHEMA)
+    assert S.scan(empty, model, WORDS).count() == 0 and S.mask_secrets(empty, model, WORDS).count() == 0
+    assert S.scan(empty).count() == 0
