@@ -12,6 +12,7 @@ from nameledger.llm.common import table
 from nameledger.llm.lines import dedup_report
 from nameledger.llm.packing import pack_documents
 from nameledger.llm.quality import judge
+from nameledger.llm.repeats import remove_repeats
 from nameledger.llm.secrets import scan
 from nameledger.llm.simhash import near_groups
 from nameledger.llm.warc import archive_pages
@@ -51,6 +52,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(columns)
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes that repeat 50 bytes or more of an earlier document."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how near they and the next text's are."""
     return fingerprint_documents(table(spark, sf_dir, "documents"))
@@ -94,6 +100,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
+    "op5_repeats": op5_repeats,
     "op6_winnowing": op6_winnowing,
     "op7_lines": op7_lines,
     "op8_simhash": op8_simhash,

@@ -148,14 +148,23 @@ def link_fingerprints(distinct: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id and fp (signed) of every row; null texts are empty, rows are taken one by one."""
+    """doc_id, text_hash and fp (signed) of every row; null texts are empty, rows are taken one by one."""
 
     def rows(batches: Iterator[dict]) -> Iterable[tuple]:
         for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                yield doc, signed(fingerprint(text or "", width))
+            for doc, of, text in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
+                yield doc, of, signed(fingerprint(text, width))
 
-    return map_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), rows, "doc_id bigint, fp bigint")
+    text = F.coalesce("text", F.lit("")).alias("text")
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text)
+    return map_rows(source, rows, "doc_id bigint, text_hash bigint, fp bigint")
+
+
+def fingerprint_groups(marked: DataFrame) -> DataFrame:
+    """(fp, part): every distinct fingerprint of ``marked`` and the least one that can be reached over links."""
+    distinct = marked.select("fp").distinct()
+    parts = written(components(link_fingerprints(distinct)), "components")
+    return distinct.join(parts, distinct.fp == parts.node, "left").select("fp", F.coalesce("component", "fp").alias("part"))
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -167,14 +176,26 @@ def near_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     but names no component: one of such rows alone has none.
     """
     marked = written(fingerprints(docs, width), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    # components are of fingerprints; what is asked for is their least document
-    parts = written(components(link_fingerprints(classes)), "components")
-    named = classes.join(parts, classes.fp == parts.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("part"))
+    least_of = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = fingerprint_groups(marked).join(least_of, "fp")
     least = named.groupBy("part").agg(F.min("least").alias("component_id"))
-    found = named.join(least, "part").select("fp", "component_id")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(15)))
-    spread = found.select("*", salts.alias("salt"))  # a fingerprint that a third of the rows share is met in 16 places
+    # a fingerprint that a third of the rows share is met in 16 places
+    found = named.join(least, "part").select("fp", "component_id", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
     salted = marked.withColumn("salt", F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(16)))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return salted.join(spread, ["fp", "salt"]).select("doc_id", hexed, "component_id")
+    return salted.join(found, ["fp", "salt"]).select("doc_id", hexed, "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents without near-duplicates: of each group the row with the least doc_id (and, of equal ids, the least
+    hash of the text) stays, with all its columns. Rows without an id come last; of rows equal in id and text one stays.
+    """
+    marked = written(fingerprints(docs, width), "fingerprints")
+    last = F.lit((1 << 63) - 1)
+    least_of = marked.groupBy("fp").agg(F.min(F.struct(F.coalesce("doc_id", last).alias("__id"), F.col("text_hash").alias("__hash"))).alias("row"))
+    stay = fingerprint_groups(marked).join(least_of, "fp").groupBy("part").agg(F.min("row").alias("row")).select("row.*")
+    keyed = docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), last).alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__hash"), F.struct("*").alias("__row")
+    )
+    kept = keyed.join(stay, ["__id", "__hash"], "left_semi")
+    return kept.groupBy("__id", "__hash").agg(F.first("__row").alias("__row")).select("__row.*")

@@ -6,7 +6,7 @@ import pytest
 from xxhash import xxh64_intdigest
 
 from nameledger.llm.components import components
-from nameledger.llm.simhash import MASKS, fingerprint, link_fingerprints, near_groups, near_pairs, signed
+from nameledger.llm.simhash import MASKS, fingerprint, link_fingerprints, near_groups, near_pairs, one_of_each, signed
 
 
 def plain_fingerprint(text):
@@ -93,7 +93,20 @@ def test_groups(rows):
     assert sorted(got) == sorted((doc, f"{p:016x}", least[part[p]]) for (doc, *_), p in zip(data, prints))
 
 
+def test_one_of_each_group_stays(rows):
+    data = [(3 * i, t, 0, "c") for i, t in enumerate(texts())] + [(None, "alone with no id", 0, "c"), (None, texts()[5], 0, "c"), (0, texts()[0], 0, "c"), (0, texts()[0], 0, "c")]
+    docs = rows(data, "doc_id bigint, text string, __id int, part string")
+    groups = {}
+    for r in near_groups(docs).collect():
+        groups.setdefault((r.component_id, r.doc_id is None and r.component_id is None), set()).add(r.doc_id)
+    out = one_of_each(docs.drop("__id"))
+    assert out.columns == ["doc_id", "text", "part"]
+    kept = [r.doc_id for r in out.collect()]
+    assert sorted(kept, key=repr) == sorted((c for c, _ in groups), key=repr)
+
+
 def test_edges(rows):
+    assert one_of_each(rows([], "doc_id bigint, text string")).count() == 0
     assert near_groups(rows([], "doc_id bigint, text string")).count() == 0
     [one] = near_groups(rows([(None, "a b c")], "doc_id bigint, text string")).collect()
     assert one.component_id is None
