@@ -4,12 +4,15 @@ The fold is a min and a max per key: associative, commutative and idempotent, so
 order or replay gives the same state, and partial aggregation keeps popular keys from piling up.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nameledger.functions.domains import DEFAULT_SHARDS, shard_id
 
 STATE_KEY = ["domain", "type", "value"]
+SHARD_COUNT = "n_shards"  # metadata of a stored table's shard_id column
 
 
 def _range_aggs(zero_is_missing: bool) -> list[Column]:
@@ -23,12 +26,14 @@ def _range_aggs(zero_is_missing: bool) -> list[Column]:
     ]
 
 
-def fold_events(events: DataFrame, zero_is_missing: bool = True) -> DataFrame:
+def fold_events(events: DataFrame, zero_is_missing: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """One row per (domain, type, value) with the widest time range seen.
 
+    ``by`` names columns that follow from the key and are kept, so that filters on them reach the scan.
+
     Time 0 counts as unknown; with ``zero_is_missing=False`` it is an ordinary, earliest time.
     """
-    return events.groupBy(*STATE_KEY).agg(*_range_aggs(zero_is_missing))
+    return events.groupBy(*by, *STATE_KEY).agg(*_range_aggs(zero_is_missing))
 
 
 def merge_state(state: DataFrame, batch: DataFrame, zero_is_missing: bool = True) -> DataFrame:

@@ -1,7 +1,7 @@
 """The IP → domains index and what is derived from it.
 
-Index rows are (ip, part, domains, last_seen). ``part`` is 0 for every IP of ordinary size; an IP
-with more domains than fit one row is spread over parts that all carry its overall ``last_seen``.
+Index rows are (ip, part, domains, last_seen). With the default of one bucket every IP is one row, part 0; with
+more, the domains of every IP are spread over parts that all carry its overall ``last_seen``.
 """
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from nameledger.functions.domains import DEFAULT_SHARDS, shard_id
 from nameledger.functions.ip import ip_version
 from nameledger.functions.records import first_domain
-from nameledger.plans.skew import MAX_ITEMS_PER_ROW, collect_in_parts
+from nameledger.plans.skew import collect_in_parts
 
 
 def address_pairs(state: DataFrame) -> DataFrame:
@@ -21,16 +21,16 @@ def address_pairs(state: DataFrame) -> DataFrame:
 
 
 def ip_index(
-    state: DataFrame, shard_order: int | None = None, max_domains: int | None = MAX_ITEMS_PER_ROW
+    state: DataFrame, shard_order: int | None = None, buckets: int = 1
 ) -> DataFrame:
     """Inverted index of the A rows: the distinct domains of each IP and its latest time.
 
     Domains are in alphabetical order, or by (shard, domain) for ``shard_order`` shards.
     """
-    return _collect(address_pairs(state), shard_order, max_domains)
+    return _collect(address_pairs(state), shard_order, buckets)
 
 
-def _collect(pairs: DataFrame, shard_order: int | None, max_domains: int | None) -> DataFrame:
+def _collect(pairs: DataFrame, shard_order: int | None, buckets: int) -> DataFrame:
     if shard_order is None:
         item, finish = F.col("domain"), F.array_sort
     else:
@@ -48,20 +48,20 @@ def _collect(pairs: DataFrame, shard_order: int | None, max_domains: int | None)
         spread_on=F.col("domain"),
         finish={"domains": finish},
         key_aggs={"last_seen": F.max("last_seen")},
-        max_items=max_domains,
+        buckets=buckets,
     )
     return out.select("ip", "part", "domains", "last_seen")
 
 
 def merge_ip_index(
-    old: DataFrame, new: DataFrame, max_domains: int | None = MAX_ITEMS_PER_ROW
+    old: DataFrame, new: DataFrame, buckets: int = 1
 ) -> DataFrame:
     """Union of two indexes: all domains of both and the later time of each IP."""
     both = old.select("ip", "domains", "last_seen").unionByName(
         new.select("ip", "domains", "last_seen")
     )
     pairs = both.select("ip", F.explode("domains").alias("domain"), "last_seen")
-    return _collect(pairs, None, max_domains)
+    return _collect(pairs, None, buckets)
 
 
 def ip_first_domain(state: DataFrame, n_shards: int = DEFAULT_SHARDS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nameledger.operators.lookup import lookup
-from nameledger.plans.skew import MAX_ITEMS_PER_ROW, largest
+
 
 
 def multi_get(table: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
@@ -100,25 +100,24 @@ def append_by_key(
     key: str = "key",
     seq: str = "seq",
     separator: str = "",
-    max_operands: int = MAX_ITEMS_PER_ROW,
+    runs: int = 1,
 ) -> DataFrame:
     """Text operands joined onto the base text in the order of ``seq``: (key, part, value).
 
-    A key with at most ``max_operands`` operands has one row, part 0. For a larger one the order
-    is cut into runs, one row each; the parts joined in order are the whole text.
+    With one run, the default, a key is one row. Otherwise every key's order is cut at its own quantiles of ``seq``
+    into up to ``runs`` runs of about equally many operands, one row each; the parts joined in order are the
+    whole text. The base text belongs to the first.
     """
     held = table.select(key, F.lit(None).cast("bigint").alias(seq), "value")
     every = held.unionByName(ops.select(key, F.col(seq).cast("bigint").alias(seq), "value"))
-    sizes = every.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(seq).alias("_low"), F.max(seq).alias("_high")
-    )
-    parts = F.ceil(F.col("_rows") / max_operands)
-    width = F.ceil((F.col("_high") - F.col("_low") + 1) / parts).alias("_width")
-    hot = largest(sizes, max_operands).select(key, "_low", width)
-    run = F.floor((F.col(seq) - F.col("_low")) / F.col("_width")).cast("int")
-    placed = every.join(F.broadcast(hot), key, "left").withColumn(
-        "part", F.coalesce(run, F.lit(0))
-    )
+    if runs == 1:
+        placed = every.withColumn("part", F.lit(0))
+    else:
+        shares = [i / runs for i in range(1, runs)]
+        cuts = ops.groupBy(key).agg(F.percentile_approx(seq, shares, 100 * runs).alias("_cuts"))
+        below = F.size(F.filter(F.array_distinct("_cuts"), lambda cut: cut < F.col(seq)))
+        placed = every.join(cuts, key, "left").withColumn("part", F.coalesce(F.nullif(below, F.lit(-1)), F.lit(0)))
+        placed = placed.withColumn("part", F.when(F.col(seq).isNull(), 0).otherwise(F.col("part")))
     in_order = F.array_sort(F.collect_list(F.struct(F.coalesce(seq, F.lit(-(2**63))).alias("seq"), "value")))
     texts = F.transform(in_order, lambda o: o["value"])
     return placed.groupBy(key, "part").agg(F.array_join(texts, separator).alias("value"))

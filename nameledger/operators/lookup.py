@@ -4,8 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nameledger.functions.domains import DEFAULT_SHARDS, normalize_domain, shard_id
+from nameledger.functions.text import once
 from nameledger.functions.records import make_key
-from nameledger.plans.skew import MAX_ITEMS_PER_ROW, collect_in_parts, join_spread
+from nameledger.operators.fold import SHARD_COUNT
+from nameledger.plans.skew import collect_in_parts, join_spread
 
 
 def _latest(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,8 +47,11 @@ def domain_view_flat(intel: DataFrame) -> DataFrame:
     return latest_by_domain_ip(explode_domains(intel.select(*wanted)))
 
 
-def domain_view(intel: DataFrame, max_ips: int | None = MAX_ITEMS_PER_ROW) -> DataFrame:
-    """(domain, part, ips): the IP records of each domain, latest first, ties by IP."""
+def domain_view(intel: DataFrame, buckets: int = 1) -> DataFrame:
+    """(domain, part, ips): the IP records of each domain, latest first within a part, ties by IP.
+
+    ``domain_view_ranked`` has the order over a whole domain, however many IPs it has.
+    """
     flat = domain_view_flat(intel)
     fields = [c for c in flat.columns if c not in ("domain", "last_seen", "ip")]
     record = F.struct((-F.col("last_seen")).alias("_order"), "ip", "last_seen", *fields)
@@ -63,22 +68,34 @@ def domain_view(intel: DataFrame, max_ips: int | None = MAX_ITEMS_PER_ROW) -> Da
         collected={"ips": record},
         spread_on=F.col("ip"),
         finish={"ips": newest_first},
-        max_items=max_ips,
+        buckets=buckets,
     )
 
 
+def domain_view_ranked(intel: DataFrame) -> DataFrame:
+    """``domain_view_flat`` with ``order``, which sorts a domain's rows latest first, ties by IP."""
+    flat = domain_view_flat(intel)
+    return flat.withColumn("order", F.struct((-F.col("last_seen")).alias("age"), F.col("ip")))
+
+
+def canonical(keys: DataFrame, idna: bool = True) -> DataFrame:
+    """The keys with ``name``, the canonical form of ``domain``; text that is no domain stands for itself."""
+    return once(keys, "name", F.coalesce(normalize_domain("domain", idna=idna), F.col("domain")))
+
+
 def resolve(
     state: DataFrame,
     domains: DataFrame | None = None,
-    max_values: int | None = MAX_ITEMS_PER_ROW,
+    buckets: int = 1,
+    idna: bool = True,
 ) -> DataFrame:
     """(domain, part, ips, cnames, last_seen) of each domain, or of the listed ``domains``.
 
     ``last_seen`` is over all record types, but 0 when there is neither an address nor an alias.
-    A listed domain without state comes back with empty arrays and 0.
+    Listed domains are looked up, and come back, in canonical form; one without state has empty arrays and 0.
     """
     if domains is not None:
-        wanted = domains.select("domain").distinct()
+        wanted = canonical(domains.select("domain"), idna).select(F.col("name").alias("domain")).distinct()
         state = state.join(wanted, "domain", "left_semi")
     is_a, is_cname = F.col("type") == "A", F.col("type") == "CNAME"
     answered = F.count_if(is_a | is_cname) > 0
@@ -93,7 +110,7 @@ def resolve(
         key_aggs={
             "last_seen": F.when(answered, F.coalesce(F.max("last_seen"), F.lit(0))).otherwise(0)
         },
-        max_items=max_values,
+        buckets=buckets,
     )
     if domains is None:
         return out
@@ -129,69 +146,80 @@ def lookup_ips(intel: DataFrame, keys: DataFrame) -> DataFrame:
     return _attach(keys, latest_by_ip(hits), ["ip"])
 
 
-def lookup_domains(intel: DataFrame, keys: DataFrame, with_lists: bool = False) -> DataFrame:
+def lookup_domains(
+    intel: DataFrame, keys: DataFrame, with_lists: bool = False, idna: bool = True
+) -> DataFrame:
     """One row per IP of each requested domain; a domain without any gives one row of nulls.
 
-    ``with_lists`` adds the IP's own ``domains`` list (by parts where the IP has several).
+    Keys are looked up in canonical form and come back as they were given. ``with_lists`` adds the IP's own
+    ``domains`` list (by parts where the IP has several).
     """
-    wanted = keys.select("domain").distinct()
+    keys = canonical(keys, idna)
+    wanted = keys.select(F.col("name").alias("domain")).distinct()
     hits = latest_by_domain_ip(explode_domains(intel.drop("part")).join(wanted, "domain", "left_semi"))
     if with_lists:
         lists = latest_by_ip(intel).select(
             "ip", *[c for c in ("part", "domains") if c in intel.columns]
         )
         hits = hits.join(lists, "ip")
-    return _attach(keys, hits, ["domain"])
+    return _attach(keys, hits.withColumnRenamed("domain", "name"), ["name"]).drop("name")
+
+
+def _shard_count(state: DataFrame) -> int | None:
+    """The number of shards of a stored table, which ``read_state`` notes on its shard column."""
+    return state.schema["shard_id"].metadata.get(SHARD_COUNT) if "shard_id" in state.columns else None
+
 
+def _in_its_shard(state: DataFrame, domain: Column) -> Column:
+    """Narrows a scan to the domain's shard where the table says how many it has; true otherwise."""
+    count = _shard_count(state)
+    return F.lit(True) if count is None else F.col("shard_id") == shard_id(domain, count)
 
-def _one_domain(state: DataFrame, domain: str, n_shards: int) -> DataFrame:
+
+def _canonical_text(state: DataFrame, domain: str) -> str:
+    unusual = not domain.isascii() or "xn--" in domain.lower()
+    name = F.coalesce(normalize_domain(F.lit(domain), idna=unusual), F.lit(domain))
+    return state.sparkSession.range(1).select(name).first()[0]
+
+
+def _one_domain(state: DataFrame, domain: str) -> DataFrame:
     """State rows of one domain; names the shard too where the table is laid out by shard.
 
     The canonical name is worked out first, so that the scan gets a plain value to prune by.
     """
-    unusual = not domain.isascii() or "xn--" in domain.lower()
-    name = normalize_domain(F.lit(domain), idna=unusual)
-    literal = F.lit(state.sparkSession.range(1).select(name).first()[0])
-    hit = F.col("domain") == literal
-    if "shard_id" in state.columns:
-        hit = hit & (F.col("shard_id") == shard_id(literal, n_shards))
-    return state.where(hit)
+    name = F.lit(_canonical_text(state, domain))
+    return state.where((F.col("domain") == name) & _in_its_shard(state, name))
 
 
-def resolve_domain(
-    state: DataFrame, domain: str, n_shards: int = DEFAULT_SHARDS
-) -> DataFrame:
+def resolve_domain(state: DataFrame, domain: str) -> DataFrame:
     """``resolve`` for one name given as text."""
-    return resolve(_one_domain(state, domain, n_shards))
+    return resolve(_one_domain(state, domain))
 
 
-def query_domain(
-    state: DataFrame, domain: str, limit: int = 100, n_shards: int = DEFAULT_SHARDS
-) -> DataFrame:
+def query_domain(state: DataFrame, domain: str, limit: int = 100) -> DataFrame:
     """First records of a domain in key order; a limit of 0 or less means 100."""
-    rows = _one_domain(state, domain, n_shards)
-    return rows.orderBy("type", "value").limit(limit if limit > 0 else 100)
+    return _one_domain(state, domain).orderBy("type", "value").limit(limit if limit > 0 else 100)
 
 
 def inspect_shard(
-    state: DataFrame, shard: int, limit: int = 20, n_shards: int = DEFAULT_SHARDS
+    state: DataFrame, shard: int, limit: int = 20, n_shards: int | None = None
 ) -> DataFrame:
-    """First records of one shard in key order; a limit of 0 or less means 20."""
-    if not 0 <= shard < n_shards:
-        raise ValueError(f"shard {shard} is out of range for {n_shards} shards")
+    """First records of one shard in key order; a limit of 0 or less means 20.
+
+    The number of shards is that of the stored table; ``n_shards`` is for rows that come from none.
+    """
+    count = _shard_count(state) or n_shards or DEFAULT_SHARDS
+    if not 0 <= shard < count:
+        raise ValueError(f"shard {shard} is out of range for {count} shards")
     if "shard_id" not in state.columns:
-        state = state.withColumn("shard_id", shard_id("domain", n_shards))
+        state = state.withColumn("shard_id", shard_id("domain", count))
     keyed = state.where(F.col("shard_id") == shard).withColumn(
         "key", make_key("domain", "type", "value")
     )
     return keyed.orderBy("key").limit(limit if limit > 0 else 20)
 
 
-def get_key(
-    state: DataFrame, domain: str, rtype: str, value: str, n_shards: int = DEFAULT_SHARDS
-) -> DataFrame:
-    """The state row of one exact key."""
-    hit = (F.col("domain") == domain) & (F.col("type") == rtype) & (F.col("value") == value)
-    if "shard_id" in state.columns:
-        hit = hit & (F.col("shard_id") == shard_id(F.lit(domain), n_shards))
-    return state.where(hit)
+def get_key(state: DataFrame, domain: str, rtype: str, value: str) -> DataFrame:
+    """The state row of one exact key; the domain is taken in canonical form."""
+    hit = (F.col("type") == rtype) & (F.col("value") == value)
+    return _one_domain(state, domain).where(hit)

@@ -99,6 +99,8 @@ def peak_hour(feeds: DataFrame, by: Sequence[str] = ("device_id",)) -> DataFrame
 def intel_summary(intel: DataFrame) -> DataFrame:
     """One row: records, different IPs, different domains, and records with a country or city.
 
+    A record in several parts counts once, by its part 0.
+
     The distinct counts run as two-step aggregations, so no task holds a whole set.
     """
     columns = intel.columns
@@ -106,9 +108,10 @@ def intel_summary(intel: DataFrame) -> DataFrame:
     for field in ("country", "city"):
         if field in columns:
             located = located | (F.coalesce(F.col(field), F.lit("")) != "")
+    part = F.coalesce("part", F.lit(0)) if "part" in columns else F.lit(0)
     rows = intel.select("ip", F.posexplode_outer("domains").alias("pos", "domain"),
-                        located.alias("located"))
-    head = F.coalesce("pos", F.lit(0)) == 0
+                        located.alias("located"), part.alias("part"))
+    head = (F.coalesce("pos", F.lit(0)) == 0) & (F.col("part") == 0)
     return rows.agg(
         F.count_if(head).alias("records"),
         F.countDistinct("ip").alias("unique_ips"),

@@ -1,22 +1,10 @@
-"""Exact grouping that stays balanced when a few keys hold most of the rows."""
+"""Exact grouping and joining that can be spread when a few keys hold most of the rows."""
 
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ITEMS_PER_ROW = 100_000
-MAX_HOT_KEYS = 500_000
-
-
-def largest(sizes: DataFrame, max_items: int) -> DataFrame:
-    """Groups of more than ``max_items`` rows (``_rows``), the ``MAX_HOT_KEYS`` largest at most.
-
-    The bound makes the result safe to broadcast. It costs no balance: a group that is not among
-    the k largest holds less than 1/k of all rows.
-    """
-    return sizes.where(F.col("_rows") > max_items).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
-
 
 def collect_in_parts(
     df: DataFrame,
@@ -25,45 +13,31 @@ def collect_in_parts(
     spread_on: Column,
     finish: Mapping[str, Callable[[Column], Column]] | None = None,
     key_aggs: Mapping[str, Column] | None = None,
-    max_items: int | None = MAX_ITEMS_PER_ROW,
+    buckets: int = 1,
 ) -> DataFrame:
-    """Group by ``keys`` into set-valued columns, several rows for a very large group.
-
-    A group of at most ``max_items`` rows gives one row with ``part`` 0. A larger one gives parts
-    0..p-1 of about equal size, split by the hash of ``spread_on``; nothing is left out, and equal
-    items always meet in one part. ``key_aggs`` describe the whole key and are equal in its parts.
+    """Group by ``keys`` into set-valued columns, at most ``buckets`` rows per key.
 
-    The list of large groups is broadcast; it has at most ``MAX_HOT_KEYS`` rows (see ``largest``).
+    The rule is the same for every key and any size: an item belongs to the bucket that is the hash of ``spread_on``
+    modulo ``buckets``, so equal items meet in one row and nothing is left out. The buckets a key has are its
+    parts 0, 1, ...; with one bucket, the default, a key is one row. ``key_aggs`` describe the whole key and are
+    equal in all its parts.
     """
     finish = finish or {}
     key_aggs = key_aggs or {}
     sets = [F.collect_set(item).alias(name) for name, item in collected.items()]
-
-    if max_items is None:
-        grouped = df.withColumn("part", F.lit(0)).groupBy(*keys, "part")
-        out = grouped.agg(*sets, *[agg.alias(name) for name, agg in key_aggs.items()])
+    facts = [agg.alias(name) for name, agg in key_aggs.items()]
+    if buckets == 1:
+        out = df.groupBy(*keys).agg(F.lit(0).alias("part"), *sets, *facts)
     else:
-        sizes = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[agg.alias(f"_key_{name}") for name, agg in key_aggs.items()],
-        )
-        hot = largest(sizes, max_items).select(
-            *keys,
-            F.ceil(F.col("_rows") / max_items).cast("int").alias("_parts"),
-            *[f"_key_{name}" for name in key_aggs],
-        )
-        part = F.when(F.col("_parts").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(spread_on), F.col("_parts"))
-        )
-        marked = df.join(F.broadcast(hot), list(keys), "left")
-        spread = marked.withColumn("part", part.cast("int"))
-        out = spread.groupBy(*keys, "part").agg(
-            *sets,
-            *[
-                F.coalesce(F.max(f"_key_{name}"), agg).alias(name)
-                for name, agg in key_aggs.items()
-            ],
+        bucket = F.pmod(F.xxhash64(spread_on), F.lit(buckets)).cast("int")
+        placed = df.withColumn("_bucket", bucket)
+        # a key's parts are numbered without gaps: what it has of ``buckets`` numbers is known for the whole key
+        whole = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+            F.array_sort(F.collect_set("_bucket")).alias("_used"), *facts
         )
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        parted = placed.groupBy(*keys, "_bucket").agg(*sets).join(whole, same)
+        out = parted.withColumn("part", (F.array_position("_used", F.col("_bucket")) - 1).cast("int"))
     return out.select(
         *keys,
         "part",
@@ -72,29 +46,14 @@ def collect_in_parts(
     )
 
 
-def join_spread(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    max_rows: int = MAX_ITEMS_PER_ROW,
-) -> DataFrame:
-    """Left outer join that stays balanced when a few keys of ``left`` repeat very often.
+def join_spread(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left outer join as matches and misses, so that a key which repeats on either side can be split.
 
-    Rows of a key with more than ``max_rows`` rows are dealt over slots by a hash of the whole
-    row, and the matches of such a key are repeated once per slot. All other keys join as usual.
-    ``right`` has few rows per key.
+    Adaptive execution splits a hot partition of an inner join on both sides and one of an anti join on the
+    left; of a left outer join it could not split the right side.
     """
     on = list(on)
-    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = largest(sizes, max_rows).select(
-        *on, F.ceil(F.col("_rows") / max_rows).cast("int").alias("_slots")
-    )
-    slot = F.when(F.col("_slots").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(*left.columns), F.col("_slots"))
-    )
-    dealt = left.join(F.broadcast(hot), on, "left").withColumn("_slot", slot.cast("int"))
-    repeated = right.join(F.broadcast(hot), on, "left").withColumn(
-        "_slot", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1))
-    )
-    joined = dealt.drop("_slots").join(repeated.drop("_slots"), [*on, "_slot"], "left")
-    return joined.drop("_slot")
+    matches = left.join(right, on)
+    misses = left.join(right.select(*on).distinct(), on, "left_anti")
+    absent = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c not in on]
+    return matches.unionByName(misses.select("*", *absent))

@@ -1,5 +1,7 @@
 """A few calls on whatever file system a path names (local, HDFS, object store)."""
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -22,16 +24,21 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a small file that must not exist yet: a hidden copy first, then one rename."""
+    """Writes a small file that must not exist yet: a hidden copy of its own, then one rename.
+
+    Every writer has its own draft. HDFS refuses a rename onto an existing file, which makes the second of two
+    writers fail. A local folder or an object store may overwrite instead: there, one writer at a time.
+    """
     fs = _fs(spark, path)
     parent, name = path.rsplit("/", 1)
-    draft = f"{parent}/.{name}.draft"
-    stream = fs.create(_path(spark, draft), True)
+    draft = f"{parent}/.{name}.{uuid.uuid4().hex}.draft"
+    stream = fs.create(_path(spark, draft), False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
     if exists(spark, path) or not fs.rename(_path(spark, draft), _path(spark, path)):
+        delete_tree(spark, draft)
         raise FileExistsError(f"{path} was written by someone else")
 
 

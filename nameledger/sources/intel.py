@@ -46,10 +46,15 @@ def read_ip_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ip_geo(intel: DataFrame) -> DataFrame:
-    """Flat (ip, domain, country, city) of each record that names a domain."""
+    """Flat (ip, domain, country, city) of each record that names a domain.
+
+    Of an IP in several parts one row comes out, with the alphabetically first of what its parts list first.
+    """
     legacy = "domain" if "domain" in intel.columns else None
-    flat = intel.select("ip", first_domain("domains", legacy).alias("domain"), "country", "city")
-    return flat.where(F.col("domain").isNotNull())
+    flat = intel.select("*", first_domain("domains", legacy).alias("_first")).where(F.col("_first").isNotNull())
+    if "part" in intel.columns:
+        flat = flat.groupBy("ip", "country", "city").agg(F.min("_first").alias("_first"))
+    return flat.select("ip", F.col("_first").alias("domain"), "country", "city")
 
 
 def write_ip_index(df: DataFrame, path: str, by_ip: bool = True) -> None:

@@ -1,15 +1,16 @@
 """The state table: Parquet laid out by shard, in immutable versions.
 
-``<path>/versions/<n>.json`` lists the folder of every shard as of version n, and
-``<path>/data/v=<n>/shard_id=<k>`` holds the shards that version n rewrote. An upsert writes only
-the shards its batch touches and then adds one version file; readers see all of it or nothing, and
-a version already read stays as it is. Within a shard, rows are range-partitioned and sorted by
-key, so shards of any size are written by many tasks and Parquet statistics serve key lookups.
+``<path>/versions/<n>.json`` lists the folders of every shard as of version n. An upsert folds its batch and
+adds the folded rows in folders of their own, ``<path>/data/v=<n>-<id>/shard_id=<k>``, so what a batch writes depends
+on the batch alone. A read folds all folders of a shard; ``compact_state`` merges them, as a batch job. Readers see
+a version whole or not at all, and a version already read stays as it is. Within a shard, rows are
+range-partitioned and sorted by key, so shards of any size are written by many tasks and Parquet statistics serve
+key lookups. Folding twice changes nothing, so a batch that comes again does no harm.
 """
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from nameledger import schemas
 from nameledger.functions.domains import DEFAULT_SHARDS
 from nameledger.functions.records import parse_key
-from nameledger.operators.fold import STATE_KEY, fold_events, merge_state, with_shard
+from nameledger.operators.fold import SHARD_COUNT, STATE_KEY, fold_events, with_shard
 from nameledger.sources import files
 
 
@@ -25,8 +26,8 @@ from nameledger.sources import files
 class StateVersion:
     version: int
     n_shards: int
-    shards: dict[str, str] = field(default_factory=dict)
-    batches: dict[str, int] = field(default_factory=dict)
+    shards: dict[str, list[str]] = field(default_factory=dict)
+    zero_is_missing: bool = True
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -61,17 +62,19 @@ def read_state(
     ``skip_unreadable`` leaves out missing or corrupt files instead of failing.
     """
     current = load_version(spark, path, version)
-    dirs = [] if current is None else [
-        f"{path}/{folder}"
-        for shard, folder in sorted(current.shards.items())
+    known = {} if current is None else current.shards
+    held = {
+        int(shard): [f"{path}/{folder}" for folder in folders]
+        for shard, folders in known.items()
         if shards is None or int(shard) in shards
-    ]
+    }
     if skip_unreadable:
-        dirs = [d for d in dirs if files.exists(spark, d)]
+        held = {shard: [d for d in dirs if files.exists(spark, d)] for shard, dirs in held.items()}
+    dirs = sorted(d for folders in held.values() for d in folders)
     if not dirs:
-        empty = spark.createDataFrame([], schemas.STATE)
-        return empty.withColumn("shard_id", F.lit(0))
-    return (
+        rows = spark.createDataFrame([], schemas.STATE).withColumn("shard_id", F.lit(0))
+        return _counted(rows, current)
+    rows = (
         spark.read.schema("domain string, type string, value string, first_seen bigint, "
                           "last_seen bigint, v string, shard_id int")
         .option("basePath", f"{path}/data")
@@ -80,6 +83,15 @@ def read_state(
         .parquet(*dirs)
         .drop("v")
     )
+    if any(len(folders) > 1 for folders in held.values()):
+        rows = fold_events(rows, current.zero_is_missing, by=["shard_id"]).select(*rows.columns)
+    return _counted(rows, current)
+
+
+def _counted(rows: DataFrame, current: StateVersion | None) -> DataFrame:
+    """Notes the table's number of shards on ``shard_id``, where lookups find it."""
+    about = {} if current is None else {SHARD_COUNT: current.n_shards}
+    return rows.withColumn("shard_id", F.col("shard_id").alias("shard_id", metadata=about))
 
 
 def upsert_state(
@@ -88,40 +100,36 @@ def upsert_state(
     events: DataFrame,
     n_shards: int = DEFAULT_SHARDS,
     zero_is_missing: bool = True,
-    batch: tuple[str, int] | None = None,
-    every_shard: bool = False,
 ) -> StateVersion | None:
-    """Folds events (or state rows) into the table and returns the version now current.
-
-    The folded batch is kept on the executors while the shards it touches are found and merged;
-    ``every_shard`` spares that for a load so large that it touches them all anyway.
+    """Folds events (or state rows) and adds them to the table; returns the version now current.
 
-    ``batch`` is (stream name, batch number): a batch already in the table is skipped. A table
-    keeps the shard count it was made with. One writer at a time: a second one fails on commit.
+    Only the folded batch is written. A table keeps the number of shards and the meaning of zero it was made with.
+    One writer at a time: a second one fails on commit.
     """
     current = load_version(spark, path)
     if current is not None:
-        n_shards = current.n_shards
-        if batch is not None and batch[1] <= current.batches.get(batch[0], -1):
-            return current
+        n_shards, zero_is_missing = current.n_shards, current.zero_is_missing
     folded = with_shard(fold_events(events, zero_is_missing), n_shards)
+    added = _written(spark, path, current, folded)
+    if not added:
+        return current
+    held = current.shards if current else {}
+    shards = {s: [*held.get(s, []), *added.get(s, [])] for s in {**held, **added}}
+    return _commit(spark, path, current, StateVersion(0, n_shards, shards, zero_is_missing))
+
+
+def compact_state(spark: SparkSession, path: str, min_folders: int = 2) -> StateVersion | None:
+    """Merges the folders of every shard that has at least ``min_folders``; other shards stay as they are."""
+    current = load_version(spark, path)
     if current is None:
-        return _commit(spark, path, current, n_shards, folded, None, batch)
-    if every_shard:
-        held = read_state(spark, path, current.version)
-        merged = with_shard(merge_state(held, folded, zero_is_missing), n_shards)
-        return _commit(spark, path, current, n_shards, merged, None, batch)
-    folded.persist()
-    try:
-        # At most n_shards small numbers.
-        touched = sorted(row.shard_id for row in folded.select("shard_id").distinct().collect())
-        if not touched:
-            return current
-        held = read_state(spark, path, current.version, touched)
-        merged = with_shard(merge_state(held, folded, zero_is_missing), n_shards)
-        return _commit(spark, path, current, n_shards, merged, touched, batch)
-    finally:
-        folded.unpersist()
+        return None
+    due = [int(s) for s, folders in current.shards.items() if len(folders) >= max(2, min_folders)]
+    if not due:
+        return current
+    merged = _written(spark, path, current, read_state(spark, path, current.version, due))
+    kept = {s: folders for s, folders in current.shards.items() if int(s) not in due}
+    made = StateVersion(0, current.n_shards, {**kept, **merged}, current.zero_is_missing)
+    return _commit(spark, path, current, made)
 
 
 def rewrite_state(
@@ -129,47 +137,39 @@ def rewrite_state(
 ) -> StateVersion:
     """Replaces the whole table by the given rows, as a new version."""
     current = load_version(spark, path)
+    zero_is_missing = True
     if current is not None:
-        n_shards = current.n_shards
-    blank = StateVersion(current.version if current else 0, n_shards, {}, current.batches if current else {})
+        n_shards, zero_is_missing = current.n_shards, current.zero_is_missing
     rows = with_shard(state.select(*STATE_KEY, "first_seen", "last_seen"), n_shards)
-    return _commit(spark, path, blank, n_shards, rows, None, None)
+    made = StateVersion(0, n_shards, _written(spark, path, current, rows), zero_is_missing)
+    return _commit(spark, path, current, made)
 
 
-def _commit(spark, path, current, n_shards, rows, touched, batch) -> StateVersion | None:
-    version = (current.version if current else 0) + 1
-    folder = f"data/v={version}-{uuid.uuid4().hex[:8]}"  # no writer touches another one's files
+def _written(spark: SparkSession, path: str, current: StateVersion | None, rows: DataFrame) -> dict[str, list[str]]:
+    """Writes rows in a folder no other writer touches; the folders by shard."""
+    folder = f"data/v={(current.version if current else 0) + 1}-{uuid.uuid4().hex[:8]}"
     target = f"{path}/{folder}"
     (
-        rows.repartitionByRange("shard_id", *STATE_KEY)
+        rows.select(*STATE_KEY, "first_seen", "last_seen", "shard_id")
+        .repartitionByRange("shard_id", *STATE_KEY)
         .sortWithinPartitions("shard_id", *STATE_KEY)
         .write.mode("overwrite")
         .partitionBy("shard_id")
         .parquet(target)
     )
-    written = {
-        name.split("=")[1]: f"{folder}/{name}"
-        for name in files.names_in(spark, target)
-        if name.startswith("shard_id=")
-    }
-    if not written and current is None:
-        return None
-    kept = {
-        shard: held
-        for shard, held in (current.shards if current else {}).items()
-        if touched is not None and int(shard) not in touched
-    }
-    batches = dict(current.batches) if current else {}
-    if batch is not None:
-        batches[batch[0]] = batch[1]
-    made = StateVersion(version, n_shards, {**kept, **written}, batches)
-    files.write_new(spark, _version_file(path, version), json.dumps(made.__dict__))
+    names = [n for n in files.names_in(spark, target) if n.startswith("shard_id=")]
+    return {name.split("=")[1]: [f"{folder}/{name}"] for name in names}
+
+
+def _commit(spark: SparkSession, path: str, current: StateVersion | None, made: StateVersion) -> StateVersion:
+    made = replace(made, version=(current.version if current else 0) + 1)
+    files.write_new(spark, _version_file(path, made.version), json.dumps(made.__dict__))
     return made
 
 
 def bulk_upsert(spark: SparkSession, path: str, state: DataFrame, **options) -> StateVersion | None:
     """Loads ready-made state rows (for instance read from Parquet files) in one large batch."""
-    return upsert_state(spark, path, state, **{"every_shard": True, **options})
+    return upsert_state(spark, path, state, **options)
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 10) -> list[int]:
@@ -181,7 +181,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 10) -> list[in
     gone, kept = known[:-keep], known[-keep:]
     if keep < 1 or not gone:
         return []
-    needed = {d for v in kept for d in load_version(spark, path, v).shards.values()}
+    needed = {d for v in kept for folders in load_version(spark, path, v).shards.values() for d in folders}
     for version in gone:
         files.delete_tree(spark, _version_file(path, version))
     for folder in files.names_in(spark, f"{path}/data"):

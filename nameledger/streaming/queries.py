@@ -1,7 +1,7 @@
 """The running queries: messages → events, events → state, and their figures.
 
-Delivery is at least once: Spark commits a batch's position after the batch is written, a replayed
-batch is skipped by its number, and folding it again would change nothing. Failed tasks are retried
+Delivery is at least once: Spark commits a batch's position after the batch is written, and folding a
+replayed batch again changes nothing. Failed tasks are retried
 by Spark (``spark.task.maxFailures``); a query that stops resumes from its checkpoint.
 """
 
@@ -19,7 +19,7 @@ from nameledger.operators.fold import shard_distribution
 from nameledger.operators.ingest import classify_events, messages_to_events
 from nameledger.sources.intel import event_messages
 from nameledger.sources.messages import parse_events, unparsed_events
-from nameledger.sources.state import upsert_state
+from nameledger.sources.state import compact_state, drop_old_versions, upsert_state
 
 T = TypeVar("T")
 log = logging.getLogger(__name__)
@@ -92,24 +92,36 @@ def start_aggregator(
     zero_is_missing: bool = True,
     once: bool = False,
     name: str = "aggregator",
+    compact_every: int = 50,
+    keep_versions: int = 100,
 ) -> StreamingQuery:
-    """Event messages folded into the state table, one new version per batch."""
+    """Event messages folded into the state table, one new version per batch.
+
+    A batch writes its own folded rows only. Every ``compact_every`` batches the shards' folders are merged and all
+    but the newest ``keep_versions`` versions go; 0 leaves either to others. The batch is read once.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        judged = classify_events(parse_events(batch))
-        usable = judged.where(F.col("reason").isNull())
-        retried(
-            lambda: upsert_state(
-                batch.sparkSession, state_path, usable, n_shards, zero_is_missing, (name, number)
-            )
-        )
-        if rejects is not None:
-            unreadable = unparsed_events(batch).select("value", "reason")
-            partial = judged.where(F.col("reason").isNotNull()).select(
-                F.to_json(F.struct(*[c for c in judged.columns if c != "reason"])).alias("value"),
-                "reason",
-            )
-            unreadable.unionByName(partial).write.mode("overwrite").json(f"{rejects}/batch={number}")
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            judged = classify_events(parse_events(batch))
+            usable = judged.where(F.col("reason").isNull())
+            retried(lambda: upsert_state(spark, state_path, usable, n_shards, zero_is_missing))
+            if rejects is not None:
+                unreadable = unparsed_events(batch).select("value", "reason")
+                partial = judged.where(F.col("reason").isNotNull()).select(
+                    F.to_json(F.struct(*[c for c in judged.columns if c != "reason"])).alias("value"),
+                    "reason",
+                )
+                bad = unreadable.unionByName(partial)
+                retried(lambda: bad.write.mode("overwrite").json(f"{rejects}/batch={number}"))
+        finally:
+            batch.unpersist()
+        if compact_every and number % compact_every == compact_every - 1:
+            compact_state(spark, state_path)
+            if keep_versions:
+                drop_old_versions(spark, state_path, keep_versions)
 
     writer = events.writeStream.foreachBatch(write).queryName(name)
     return _started(writer, checkpoint, once)

@@ -6,7 +6,7 @@ Every query reads whole tables. Arrays are compared as joined text, counts and t
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nameledger.functions import domains as D
@@ -227,7 +227,7 @@ def normalize_domain_lite(spark, sf):
 
 
 @register(
-    """SELECT event_id, value LIKE '%google%' AS is_google, value LIKE '%cdn.%' AS is_cdn,
+    """SELECT event_id, contains(final_domain, 'google') AS is_google, value LIKE '%cdn.%' AS is_cdn,
          regexp_matches(final_domain, 'facebook|instagram|tiktok') AS is_social,
          regexp_matches(final_domain, 'facebook|instagram') AS is_facebook_related,
          contains(final_domain, 'whatsapp') AS is_whatsapp_related
@@ -237,8 +237,7 @@ def domain_tags(spark, sf):
     raw = I.dns_raw(spark, sf).select("event_id", "value")
     brands = I.table(spark, sf, "events").selectExpr("event_id", f"{I._BRAND} AS final_domain")
     tags = D.domain_tags("value", "final_domain")
-    named = {**tags, "is_google": F.col("value").contains("google")}
-    return raw.join(brands, "event_id").select("event_id", *[c.alias(n) for n, c in named.items()])
+    return raw.join(brands, "event_id").select("event_id", *[c.alias(n) for n, c in tags.items()])
 
 
 @register(
@@ -367,9 +366,9 @@ def upsert_state(spark, sf):
     """Two batches into a stored table, the second one sent twice."""
     path = _scratch(spark, "state")
     first, second = _by_device(spark, sf)
-    state_table.upsert_state(spark, path, first, batch=("events", 0))
-    state_table.upsert_state(spark, path, second, batch=("events", 1))
-    state_table.upsert_state(spark, path, second, batch=("events", 1))
+    state_table.upsert_state(spark, path, first)
+    state_table.upsert_state(spark, path, second)
+    state_table.upsert_state(spark, path, second)
     return state_table.read_state(spark, path).withColumns(_big("shard_id"))
 
 
@@ -387,6 +386,26 @@ def read_state_pinned(spark, sf):
     return state_table.read_state(spark, path, version=pinned.version).drop("shard_id")
 
 
+@register("SELECT domain, type, value, first_seen, last_seen FROM state")
+def compact_state(spark, sf):
+    """Four batches, merged into one folder a shard."""
+    path = _scratch(spark, "state")
+    for batch in (*_by_device(spark, sf), *_by_device(spark, sf)):
+        state_table.upsert_state(spark, path, batch)
+    made = state_table.compact_state(spark, path)
+    return state_table.read_state(spark, path, version=made.version).drop("shard_id")
+
+
+def _stored_64(spark, sf):
+    """The state in a stored table of 64 shards, in two batches."""
+    path = _scratch(spark, "state")
+    state = _state_all(spark, sf)
+    even = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    state_table.upsert_state(spark, path, state.where(even), n_shards=64)
+    state_table.upsert_state(spark, path, state.where(~even))
+    return state_table.read_state(spark, path)
+
+
 # --- index -------------------------------------------------------------------------------------
 
 
@@ -407,8 +426,8 @@ def ip_index_shard_order(spark, sf):
 
 @register("SELECT p.ip, p.domain, i.last_seen FROM ip_pairs p JOIN ip_index i USING (ip)")
 def ip_index_exploded(spark, sf):
-    """Index rows of at most four domains each: every IP with more is in several parts."""
-    parts = index.ip_index(_state(spark, sf), max_domains=4)
+    """Index rows in up to four parts for each IP."""
+    parts = index.ip_index(_state(spark, sf), buckets=4)
     return lookup.explode_domains(parts).select("ip", "domain", "last_seen")
 
 
@@ -421,6 +440,14 @@ def merge_ip_index(spark, sf):
     return merged.select("ip", _text("domains").alias("domains"), "last_seen")
 
 
+@register("SELECT ip, domains, last_seen FROM ip_index")
+def ip_index_bucketed(spark, sf):
+    """The parts of every IP put together again."""
+    parts = index.merge_ip_index(*[index.ip_index(_state(spark, sf), buckets=4)] * 2, buckets=4)
+    whole = parts.select("ip", "last_seen", F.explode("domains").alias("domain")).groupBy("ip", "last_seen")
+    return whole.agg(_text(F.array_sort(F.collect_list("domain"))).alias("domains"))
+
+
 @register(
     """SELECT ip, arg_min(domain, (shard, domain)) AS domain FROM ip_pairs JOIN shards USING (domain)
        GROUP BY 1"""
@@ -604,6 +631,36 @@ def resolve_domain(spark, sf):
     return _resolved(lookup.resolve_domain(fold.with_shard(_state_all(spark, sf)), " View.Example.COM. "))
 
 
+@register(f"SELECT * FROM ({_RESOLVED}) WHERE domain = 'view.example.com'")
+def resolve_domain_64(spark, sf):
+    return _resolved(lookup.resolve_domain(_stored_64(spark, sf), " View.Example.COM. "))
+
+
+@register(_RESOLVED)
+def resolve_bucketed(spark, sf):
+    """The answers of every domain in up to four parts, put together again."""
+    parts = lookup.resolve(_state_all(spark, sf), buckets=4)
+    lists = [F.array_sort(F.flatten(F.collect_list(c))) for c in ("ips", "cnames")]
+    whole = parts.groupBy("domain", "last_seen").agg(lists[0].alias("ips"), lists[1].alias("cnames"))
+    return _resolved(whole)
+
+
+@register(
+    """SELECT domain, type, value, first_seen, last_seen FROM state_all
+       WHERE domain = 'view.example.com' ORDER BY type, value LIMIT 100"""
+)
+def query_domain_64(spark, sf):
+    return lookup.query_domain(_stored_64(spark, sf), "View.example.com.").drop("shard_id")
+
+
+@register(
+    """SELECT domain, type, value, first_seen, last_seen FROM state_all
+       WHERE domain = 'view.example.com' AND type = 'TXT' AND value = 'v=1'"""
+)
+def get_key_64(spark, sf):
+    return lookup.get_key(_stored_64(spark, sf), "VIEW.example.com", "TXT", "v=1").drop("shard_id")
+
+
 @register(
     """SELECT domain, type, value, first_seen, last_seen FROM state_all
        WHERE domain = 'view.example.com' ORDER BY type, value LIMIT 100"""
@@ -687,6 +744,30 @@ def lookup_domains(spark, sf):
     return found.select("domain", "ip", "last_seen", "country", "found")
 
 
+@register(
+    f"""SELECT upper(w.domain) || '.' AS domain, i.ip, i.last_seen, i.country, i.ip IS NOT NULL AS found
+        FROM ({_WANTED_DOMAINS}) w LEFT JOIN (ip_pairs p JOIN intel i ON p.ip = i.ip)
+        ON w.domain = p.domain"""
+)
+def lookup_domains_canonical(spark, sf):
+    """The same in upper case and with a final dot; keys come back as they were given."""
+    keys = _wanted_domains(spark, sf).distinct().select(F.concat(F.upper("domain"), F.lit(".")).alias("domain"))
+    found = lookup.lookup_domains(_intel(spark, sf), keys)
+    return found.select("domain", "ip", "last_seen", "country", "found")
+
+
+@register(
+    """SELECT p.domain, p.ip, i.last_seen, row_number() OVER (PARTITION BY p.domain ORDER BY i.last_seen DESC, p.ip) AS place
+       FROM ip_pairs p JOIN intel i ON p.ip = i.ip"""
+)
+def domain_view_ranked(spark, sf):
+    """Each domain's IPs, latest first, from an index in parts."""
+    parts = index.ip_index(_state(spark, sf), buckets=4)
+    ranked = lookup.domain_view_ranked(parts)
+    place = F.row_number().over(Window.partitionBy("domain").orderBy("order"))
+    return ranked.select("domain", "ip", "last_seen", place.cast("bigint").alias("place"))
+
+
 # --- rollups -----------------------------------------------------------------------------------
 
 
@@ -901,16 +982,16 @@ def append_by_key(spark, sf):
 
 
 @register(
-    """SELECT key, string_agg(value, ';' ORDER BY seq) AS value FROM history GROUP BY 1"""
+    """SELECT key, value, row_number() OVER (PARTITION BY key ORDER BY seq) AS place FROM history"""
 )
 def append_by_key_in_parts(spark, sf):
-    """Runs of about five operands, joined back in their order."""
+    """Runs of some operands each, taken apart again: the parts' order is the operands' order."""
     ops = I.history(spark, sf)
     none = ops.select("key", "value").where(F.lit(False))
-    runs = keyed.append_by_key(none, ops, separator=";", max_operands=5)
-    ordered = F.array_sort(F.collect_list(F.struct("part", "value")))
-    whole = F.array_join(F.transform(ordered, lambda r: r["value"]), ";")
-    return runs.groupBy("key").agg(whole.alias("value"))
+    runs = keyed.append_by_key(none, ops, separator=";", runs=5)
+    pieces = runs.select("key", "part", F.posexplode(F.split("value", ";")).alias("at", "value"))
+    order = Window.partitionBy("key").orderBy("part", "at")
+    return pieces.select("key", "value", F.row_number().over(order).cast("bigint").alias("place"))
 
 
 @register(
@@ -968,6 +1049,18 @@ def stream_aggregator(spark, sf):
     return state_table.read_state(spark, table).drop("shard_id")
 
 
+@register("SELECT domain, type, value, first_seen, last_seen FROM state")
+def two_aggregators(spark, sf):
+    """Two streams with a position each and one name, into one table, one after the other."""
+    table = _scratch(spark, "state")
+    for part in _by_device(spark, sf):
+        source, marks = _scratch(spark, "events"), _scratch(spark, "position")
+        part.select(F.to_json(F.array(F.struct(*part.columns))).alias("value")).repartition(2).write.text(source)
+        stream = messages.read_stream(spark, source)
+        streams.start_aggregator(stream, table, marks, once=True).awaitTermination()
+    return state_table.read_state(spark, table).drop("shard_id")
+
+
 @register("SELECT ip, domains, last_seen, country, city FROM intel")
 def ip_intelligence(spark, sf):
     """Raw records all the way to the enriched index: which domains and country has each IP."""
