@@ -10,6 +10,10 @@ from nameledger import schemas
 from nameledger.functions.text import as_column, once, trimmed
 
 
+FETCH_MESSAGES = 100  # fixed value
+FETCH_WAIT = "5s"  # fixed value
+
+
 def raw_records(payload: Column | str) -> Column:
     """ARRAY of raw records: a JSON array, or one object taken as a one-element array."""
     return F.from_json(as_column(payload), T.ArrayType(schemas.RAW_RECORD))
@@ -109,39 +113,59 @@ def unparsed_events(df: DataFrame, col: str = "value") -> DataFrame:
     return df.where(bad).withColumn("reason", F.lit("no parsable events"))
 
 
+def shaped_messages(df: DataFrame, col: str = "value") -> DataFrame:
+    """The messages with their ``shape`` ('raw', 'feed' or 'unknown') and, for the last, a ``reason``.
+
+    Each payload is parsed once. Whoever writes the three kinds apart can persist this, or partition by ``shape``.
+    """
+    unknown = F.col("_shape") == "unknown"
+    reason = F.when(unknown, "neither raw records nor a feed")
+    return with_payload(df, col).select(*df.columns, F.col("_shape").alias("shape"), reason.alias("reason"))
+
+
 def route_messages(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(raw, feed, rejects) by message shape; rejects carry a reason."""
-    shaped = with_payload(df, col)
-    raw, feed, unknown = (
-        shaped.where(F.col("_shape") == name).select(df.columns)
-        for name in ("raw", "feed", "unknown")
-    )
-    return raw, feed, unknown.withColumn("reason", F.lit("neither raw records nor a feed"))
+    """(raw, feed, rejects) by message shape; rejects carry a reason.
+
+    Three views of one parse: persist ``shaped_messages`` and pass it as ``df`` to read the source once.
+    """
+    shaped = df if {"shape", "reason"} <= set(df.columns) else shaped_messages(df, col)
+    raw, feed, unknown = (shaped.where(F.col("shape") == name).drop("shape") for name in ("raw", "feed", "unknown"))
+    return raw.drop("reason"), feed.drop("reason"), unknown
 
 
 def read_stream(
     spark: SparkSession,
     source: str,
     fmt: str = "text",
-    max_per_batch: int = 100,
+    max_per_batch: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A bounded-batch stream of payloads in a ``value`` column.
+    """A stream of payloads in a ``value`` column.
 
     ``fmt`` is a file format (``source`` is a folder) or ``kafka`` (``source`` is a topic, and
     ``options`` name the brokers). Everything present is delivered from the start; the query's
-    checkpoint keeps the position.
+    checkpoint keeps the position. A topic's batch starts with ``FETCH_MESSAGES`` messages or after ``FETCH_WAIT``,
+    whichever is first, and takes all there is; ``max_per_batch`` bounds messages, or files, on request only.
     """
     options = options or {}
     if fmt == "kafka":
-        reader = (
-            spark.readStream.format("kafka")
-            .option("subscribe", source)
-            .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_per_batch)
-        )
+        reader = spark.readStream.format("kafka").options(**topic_options(source, max_per_batch))
         return reader.options(**options).load().select(F.col("value").cast("string"))
-    reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", max_per_batch)
+    reader = spark.readStream.format(fmt)
+    if max_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_per_batch)
     if fmt == "text":
         reader = reader.schema("value string")
     return reader.options(**options).load(source)
+
+
+def topic_options(topic: str, max_per_batch: int | None = None) -> dict[str, str]:
+    found = {
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "minOffsetsPerTrigger": str(FETCH_MESSAGES),
+        "maxTriggerDelay": FETCH_WAIT,
+    }
+    if max_per_batch is not None:
+        found["maxOffsetsPerTrigger"] = str(max_per_batch)
+    return found

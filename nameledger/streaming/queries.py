@@ -12,7 +12,7 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from nameledger.functions.domains import DEFAULT_SHARDS
 from nameledger.operators.fold import shard_distribution
@@ -24,11 +24,9 @@ from nameledger.sources.state import compact_state, drop_old_versions, upsert_st
 T = TypeVar("T")
 log = logging.getLogger(__name__)
 
-BATCH_WAIT = "5 seconds"  # fixed value
-
-
 RETRIES = 3  # fixed value
 RETRY_WAIT = 0.5  # fixed value, seconds; it grows by itself with each attempt
+PUBLISH_WAIT = 1.0  # fixed value, seconds; likewise
 
 
 def retried(action: Callable[[], T], attempts: int = RETRIES, wait: float = RETRY_WAIT) -> T:
@@ -42,9 +40,59 @@ def retried(action: Callable[[], T], attempts: int = RETRIES, wait: float = RETR
     return action()
 
 
-def _started(writer: DataStreamWriter, checkpoint: str, once: bool) -> StreamingQuery:
+class Totals(StreamingQueryListener):
+    """Batches, rows and busy time of every query since it started, also those Spark no longer keeps."""
+
+    def __init__(self) -> None:
+        self.runs: dict[str, dict[str, float]] = {}
+
+    def add(self, run: str, batch: int, rows: int, seconds: float) -> None:
+        held = self.runs.setdefault(run, {"last": -1, "batches": 0.0, "rows": 0.0, "seconds": 0.0, "last_batch_rows": 0.0})
+        if batch <= held["last"]:
+            return
+        held["last"] = batch
+        if rows:
+            held["batches"] += 1
+            held["rows"] += rows
+            held["seconds"] += seconds
+            held["last_batch_rows"] = float(rows)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - the interface's name
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.add(str(p.runId), p.batchId, p.numInputRows, p.durationMs.get("triggerExecution", 0) / 1000)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+_listeners: dict[str, Totals] = {}
+
+
+def totals_of(spark: SparkSession) -> Totals:
+    """The session's listener; it is added with the first query."""
+    app = spark.sparkContext.applicationId
+    if app not in _listeners:
+        _listeners[app] = Totals()
+        spark.streams.addListener(_listeners[app])
+    return _listeners[app]
+
+
+def _started(
+    writer: DataStreamWriter, checkpoint: str, once: bool, every: str | None = None
+) -> StreamingQuery:
+    """Starts a query whose batches follow each other at once, or every so often (``every``)."""
+    totals_of(SparkSession.active())
     writer = writer.option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=BATCH_WAIT)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
     return writer.start()
 
 
@@ -57,30 +105,43 @@ def start_normalizer(
     once: bool = False,
     idna: bool = True,
     name: str | None = None,
+    topic: dict[str, str] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Raw-record and feed messages to event messages in ``target``, refused ones to ``rejects``.
 
-    Without ``rejects`` the query is a plain map over the stream. With it, each batch is read once
-    and kept while its two outputs are written.
+    ``target`` is a folder, or a topic when ``topic`` gives the options of its brokers. Without ``rejects``
+    the query is a plain map over the stream. With it, each batch is read once, kept while its two
+    outputs are written, and writing is tried again when it fails.
     """
     routed = messages_to_events(messages, mode=mode, idna=idna)
     if rejects is None:
-        writer = event_messages(routed).writeStream.format("text").option("path", target)
+        writer = event_messages(routed).writeStream
+        if topic is None:
+            writer = writer.format("text").option("path", target)
+        else:
+            writer = writer.format("kafka").options(**{**topic, "topic": target})
     else:
 
+        def publish(batch: DataFrame, number: int) -> None:
+            if topic is None:
+                event_messages(batch).write.mode("overwrite").text(f"{target}/batch={number}")
+            else:
+                event_messages(batch).write.format("kafka").options(**{**topic, "topic": target}).save()
+
         def write(batch: DataFrame, number: int) -> None:
             batch.persist()
             try:
-                event_messages(batch).write.mode("overwrite").text(f"{target}/batch={number}")
+                retried(lambda: publish(batch, number), wait=PUBLISH_WAIT)
                 bad = batch.where(F.col("reason").isNotNull()).select("value", "reason")
-                bad.write.mode("overwrite").json(f"{rejects}/batch={number}")
+                retried(lambda: bad.write.mode("overwrite").json(f"{rejects}/batch={number}"))
             finally:
                 batch.unpersist()
 
         writer = routed.writeStream.foreachBatch(write)
     if name:
         writer = writer.queryName(name)
-    return _started(writer, checkpoint, once)
+    return _started(writer, checkpoint, once, every)
 
 
 def start_aggregator(
@@ -94,6 +155,7 @@ def start_aggregator(
     name: str = "aggregator",
     compact_every: int = 50,
     keep_versions: int = 100,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Event messages folded into the state table, one new version per batch.
 
@@ -124,27 +186,34 @@ def start_aggregator(
                 drop_old_versions(spark, state_path, keep_versions)
 
     writer = events.writeStream.foreachBatch(write).queryName(name)
-    return _started(writer, checkpoint, once)
+    return _started(writer, checkpoint, once, every)
 
 
-def console_sink(
-    events: DataFrame, checkpoint: str, once: bool = False, rows: int = 20
-) -> StreamingQuery:
-    """Prints each batch; with a checkpoint of its own it is a second, independent reader."""
-    writer = events.writeStream.format("console").option("numRows", rows).option("truncate", False)
-    return _started(writer, checkpoint, once)
+def console_sink(events: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Prints every row; with a checkpoint of its own it is a second, independent reader.
+
+    Rows come to the driver one partition at a time.
+    """
+
+    def show(batch: DataFrame, number: int) -> None:
+        for row in batch.toLocalIterator():
+            print(*row, sep="\t")
+
+    return _started(events.writeStream.foreachBatch(show), checkpoint, once)
 
 
 def throughput(query: StreamingQuery) -> dict[str, float]:
-    """Batches, rows, and rows per second of a query, from its recent progress."""
-    progress = [p for p in query.recentProgress if p.numInputRows > 0]
-    rows = sum(p.numInputRows for p in progress)
-    seconds = sum(p.durationMs.get("triggerExecution", 0) for p in progress) / 1000
+    """Batches, rows, and rows per second of a query since it started."""
+    totals = totals_of(SparkSession.active())
+    for p in query.recentProgress:  # what the listener has not been told yet
+        totals.add(str(p.runId), p.batchId, p.numInputRows, p.durationMs.get("triggerExecution", 0) / 1000)
+    held = totals.runs.get(str(query.runId), {})
+    seconds = held.get("seconds", 0.0)
     return {
-        "batches": float(len(progress)),
-        "rows": float(rows),
-        "last_batch_rows": float(progress[-1].numInputRows) if progress else 0.0,
-        "rows_per_second": rows / seconds if seconds else 0.0,
+        "batches": held.get("batches", 0.0),
+        "rows": held.get("rows", 0.0),
+        "last_batch_rows": held.get("last_batch_rows", 0.0),
+        "rows_per_second": held.get("rows", 0.0) / seconds if seconds else 0.0,
     }
 
 

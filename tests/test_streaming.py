@@ -74,14 +74,15 @@ def test_aggregator_rejects(spark, rows):
     assert reasons == ["missing domain, type or value", "no parsable events"]
 
 
-def test_plain_normalizer_and_console(spark, rows):
+def test_plain_normalizer_and_console(spark, rows, capsys):
     source, events = folder(spark, "in"), folder(spark, "ev")
     rows([(m,) for m in sent()], "value string").write.text(source)
     stream = messages.read_stream(spark, source)
     streams.start_normalizer(stream, events, folder(spark, "m"), once=True, mode="strict").awaitTermination()
     assert messages.parse_events(spark.read.text(events)).count() == 202
-    shown = streams.console_sink(stream, folder(spark, "m"), once=True, rows=1)
+    shown = streams.console_sink(stream, folder(spark, "m"), once=True)
     shown.awaitTermination()
+    assert capsys.readouterr().out.count("\n") == 203, "every row is printed"
     assert streams.throughput(shown)["rows"] == 203, "a second reader gets everything too"
 
 
@@ -110,3 +111,38 @@ def test_a_failing_step_is_tried_again():
         raise AssertionError("the last failure is passed on")
     except OSError:
         assert len(calls) == 2
+
+
+def test_totals_outlive_what_spark_keeps():
+    totals = streams.Totals()
+    for batch in range(250):
+        totals.add("run", batch, 2, 0.5)
+        totals.add("run", batch, 2, 0.5)  # told twice
+    assert totals.runs["run"]["rows"] == 500 and totals.runs["run"]["batches"] == 250
+
+
+def test_topics_are_read_without_a_ceiling():
+    options = messages.topic_options("dns")
+    assert options["minOffsetsPerTrigger"] == "100" and options["maxTriggerDelay"] == "5s"
+    assert "maxOffsetsPerTrigger" not in options
+    assert messages.topic_options("dns", 7)["maxOffsetsPerTrigger"] == "7"
+
+
+def test_two_streams_of_one_name_lose_nothing(spark, rows):
+    table = folder(spark, "st")
+    for name in ("a.com", "b.com"):
+        source = folder(spark, "in")
+        rows([(json.dumps([{"domain": name, "type": "A", "value": "1.1.1.1"}]),)], "value string").write.text(source)
+        stream = messages.read_stream(spark, source)
+        streams.start_aggregator(stream, table, folder(spark, "m"), once=True).awaitTermination()
+    assert [r.domain for r in state.read_state(spark, table).orderBy("domain").collect()] == ["a.com", "b.com"]
+
+
+def test_the_aggregator_compacts_and_forgets(spark, rows):
+    source, table = folder(spark, "in"), folder(spark, "st")
+    texts = [json.dumps([{"domain": f"d{i}.com", "type": "A", "value": "1"}]) for i in range(8)]
+    rows([(t,) for t in texts], "value string").repartition(8).write.text(source)
+    stream = messages.read_stream(spark, source, max_per_batch=1)
+    streams.start_aggregator(stream, table, folder(spark, "m"), once=True, compact_every=4, keep_versions=2).awaitTermination()
+    assert len(state.versions(spark, table)) <= 5
+    assert state.read_state(spark, table).count() == 8
