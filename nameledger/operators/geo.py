@@ -1,11 +1,11 @@
 """IP → geo range, at most one range per address.
 
-A range table is prepared once. Ranges are split at coarse block borders, overlaps are settled, and
-each piece is filed under the blocks it touches at one level of the address space: the finest level
-where those are at most ``SPAN``. The lookup is then one equi-join per level on the block, with the
-range test as its condition. As pieces do not overlap, a block holds few of them by construction
-(at most 256 in an IPv4 /24, at most SPAN + 1 in a /16), so the joins do not fan out, and the
-address side is neither exploded nor, while the range table is small enough to broadcast, shuffled.
+A range table is prepared once. Each range is filed, cut to size, under aligned blocks of the address space: those of the
+level, eight bits apart from the next, at which its two ends part. So a block holds ranges of about its own size only,
+at most some twenty unless they overlap, whatever wider or narrower ranges surround it. Overlaps within a block are
+settled there; those between levels are settled at lookup, where the greatest start wins. The lookup is one equi-join
+per level in use, with the range test as its condition; it does not fan out, and while the range table is small
+enough to broadcast, the address side is not shuffled.
 """
 
 from dataclasses import dataclass
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from nameledger.functions.ip import lookup_v4, lookup_v6
 from nameledger.functions.text import non_empty, once
 
-SPAN = 16
-BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
+#: What a broadcast row takes besides its text.
+_ROW_BYTES = 96
 _UNMATCHED_SLOTS = 4096
 
 
@@ -29,31 +30,50 @@ class _Space:
     width: int
     levels: tuple[int, ...]
 
-    @property
-    def coarse(self) -> int:
-        return self.levels[-1]
-
     def number(self, ip: Column | str) -> Column:
         return lookup_v4(ip) if self.width == 32 else lookup_v6(ip)
 
     def block(self, address: Column, level: int) -> Column:
+        """The name of the block an address is in: a number, or the leading hex digits."""
         if self.width == 32:
             return F.shiftright(address, 32 - level)
-        return F.conv(F.left(F.hex(address), F.lit(level // 4)), 16, 10).cast("bigint")
+        return F.left(F.hex(address), F.lit(level // 4))
+
+    def agreed(self) -> Column:
+        """How many leading hex digits start and end have in common."""
+        if self.width == 32:
+            apart = F.col("start").bitwiseXOR(F.col("end"))
+            return F.when(apart == 0, F.lit(8)).otherwise(F.floor((32 - F.length(F.bin(apart))) / 4)).cast("int")
+        both = F.concat_ws("|", F.hex("start"), F.hex("end"))
+        return F.length(F.regexp_extract(both, r"^([0-9A-F]*)[0-9A-F]*\|\1", 1))
 
-    def bounds(self, block: Column) -> tuple[Column, Column]:
-        """First and last address of a coarse block."""
+    def blocks(self, agreed: Column, digits: Column) -> Column:
+        """The blocks of so many hex digits from start to end: one, sixteen at most, or 256 of the coarsest."""
         if self.width == 32:
-            first = F.shiftleft(block, 32 - self.coarse)
-            return first, first + (2 ** (32 - self.coarse) - 1)
-        digits = F.lpad(F.hex(block), self.coarse // 4, "0")
-        return F.unhex(F.rpad(digits, 32, "0")), F.unhex(F.rpad(digits, 32, "F"))
+            size = F.lit(32) - 4 * digits
+            return F.sequence(*[F.call_function("shiftright", F.col(c), size) for c in ("start", "end")])
+        head, counted = F.left(F.hex("start"), agreed), digits - agreed
+        ends = [F.conv(F.substring(F.hex(c), agreed + 1, counted), 16, 10).cast("bigint") for c in ("start", "end")]
+        several = F.transform(F.sequence(*ends), lambda n: F.concat(head, F.lpad(F.hex(n), counted, F.lit("0"))))
+        return F.when(counted == 0, F.array(head)).otherwise(several)
+
+    def bounds(self, block: Column, level: Column | int) -> tuple[Column, Column]:
+        """First and last address of a block."""
+        if self.width == 32:
+            size = F.pow(F.lit(2), F.lit(32) - level).cast("bigint")
+            return block * size, block * size + size - 1
+        return F.unhex(F.rpad(block, 32, "0")), F.unhex(F.rpad(block, 32, "F"))
+
+    def nowhere(self, ip: str) -> Column:
+        """A block no range is in, one of many, for addresses of the other version."""
+        slot = -1 - F.pmod(F.xxhash64(ip), F.lit(_UNMATCHED_SLOTS))
+        return slot if self.width == 32 else slot.cast("string")
 
     def step(self, address: Column, by: int) -> Column:
         return address + by if self.width == 32 else _step_bytes16(address, by)
 
 
-_SPACES = {4: _Space(32, (24, 16)), 6: _Space(128, (48, 32, 16))}
+_SPACES = {4: _Space(32, (32, 24, 16, 8)), 6: _Space(128, tuple(range(128, 0, -8)))}
 
 
 def _step_bytes16(address: Column, by: int) -> Column:
@@ -74,42 +94,36 @@ def _step_bytes16(address: Column, by: int) -> Column:
     return F.unhex(F.concat(hex16(high_moved), hex16(F.pmod(low_moved, top))))
 
 
-def _split_at_blocks(geo: DataFrame, space: _Space) -> DataFrame:
-    """Ranges cut at coarse block borders, with their block; unusable ranges are left out."""
+def _filed(geo: DataFrame, space: _Space) -> DataFrame:
+    """A row for each block of each range, cut to the block; unusable ranges are left out, equal ones are one."""
     usable = geo.where(F.col("start").isNotNull() & (F.col("end") >= F.col("start")))
-    blocks = F.sequence(
-        space.block(F.col("start"), space.coarse), space.block(F.col("end"), space.coarse)
-    )
-    first, last = space.bounds(F.col("coarse"))
-    return usable.withColumn("coarse", F.explode(blocks)).select(
-        "coarse",
+    single = usable.groupBy("start", "end").agg(F.min(F.struct("country", "city")).alias("_place"))
+    filed = once(single, "_agreed", space.agreed())
+    ahead = F.col("_agreed") + 1
+    digits = F.least(F.greatest(ahead - ahead % 2, F.lit(2)), F.lit(space.width // 4))
+    filed = once(filed, "_digits", digits.cast("int"))
+    blocks = space.blocks(F.col("_agreed"), F.col("_digits"))
+    placed = filed.select("*", (4 * F.col("_digits")).alias("level"), F.explode(blocks).alias("block"))
+    first, last = space.bounds(F.col("block"), F.col("level"))
+    return placed.select(
+        "level",
+        "block",
         F.greatest("start", first).alias("start"),
         F.least("end", last).alias("end"),
         F.col("start").alias("from"),
         F.col("end").alias("upto"),
-        "country",
-        "city",
+        "_place.*",
     )
 
 
-def _with_islands(pieces: DataFrame) -> DataFrame:
-    """Numbers the runs of pieces that overlap one another within a block."""
-    by_start = Window.partitionBy("coarse").orderBy("start", "end", "from", "country", "city")
-    reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    opened = F.when(reach >= F.col("start"), 0).otherwise(1)
-    return (
-        pieces.withColumn("_opened", opened)
-        .withColumn("island", F.sum("_opened").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-    )
+_PLACE = ["level", "block"]
 
 
 def _settle(pieces: DataFrame, space: _Space) -> DataFrame:
-    """Overlapping pieces cut into segments; each goes to the range with the greatest start.
+    """Overlapping pieces of a block cut into segments; each goes to the range with the greatest start.
 
-    Of ranges with the same start the one that ends first wins.
+    Of ranges with the same start the one that ends first wins. A segment meets the pieces of its own block only.
     """
-    island = ["coarse", "island"]
-    numbered = _with_islands(pieces)
     # A cut is (address, side): side 0 lies before the address, side 1 after it.
     edges = F.explode(
         F.array(
@@ -117,114 +131,86 @@ def _settle(pieces: DataFrame, space: _Space) -> DataFrame:
             F.struct(F.col("end").alias("at"), F.lit(1).alias("side")),
         )
     )
-    cuts = numbered.select(*island, edges.alias("cut")).distinct()
-    following = F.lead("cut").over(Window.partitionBy(*island).orderBy("cut"))
+    cuts = pieces.select(*_PLACE, edges.alias("cut")).distinct()
+    following = F.lead("cut").over(Window.partitionBy(*_PLACE).orderBy("cut"))
     segments = cuts.withColumn("next", following).where(F.col("next").isNotNull())
     at, side = F.col("cut.at"), F.col("cut.side")
     next_at, next_side = F.col("next.at"), F.col("next.side")
     bounded = segments.select(
-        *island,
+        *_PLACE,
         F.when(side == 0, at).otherwise(space.step(at, 1)).alias("seg_start"),
         F.when(next_side == 1, next_at).otherwise(space.step(next_at, -1)).alias("seg_end"),
     ).where(F.col("seg_start") <= F.col("seg_end"))
-    covering = bounded.join(numbered, island).where(
+    covering = bounded.join(pieces, _PLACE).where(
         (F.col("start") <= F.col("seg_start")) & (F.col("end") >= F.col("seg_end"))
     )
-    owner = F.min_by(
-        F.struct("country", "city", "from", "upto"), F.struct("_from_rank", "upto", "country", "city")
-    )
-    ranked = covering.withColumn(
-        "_from_rank", F.rank().over(Window.partitionBy(*island, "seg_start").orderBy(F.desc("from")))
-    )
-    settled = ranked.groupBy("coarse", "seg_start", "seg_end").agg(owner.alias("_owner"))
+    # of those with the greatest start (first), the one that ends first
+    latest = F.max("from").over(Window.partitionBy(*_PLACE, "seg_start"))
+    ahead = covering.withColumn("_latest", latest).where(F.col("from") == F.col("_latest"))
+    owner = F.min(F.struct("upto", "country", "city", "from")).alias("_owner")
+    settled = ahead.groupBy(*_PLACE, "seg_start", "seg_end").agg(owner)
     return settled.select(
-        "coarse", F.col("seg_start").alias("start"), F.col("seg_end").alias("end"), "_owner.*"
+        *_PLACE, F.col("seg_start").alias("start"), F.col("seg_end").alias("end"), "_owner.*"
     )
 
 
-def _home_level(space: _Space) -> Column:
-    """The finest level at which the piece touches at most SPAN blocks."""
-    level = F.lit(space.coarse)
-    for candidate in reversed(space.levels[:-1]):
-        level = F.when(_touched(space, candidate) <= SPAN, candidate).otherwise(level)
-    return level
-
-
-def _touched(space: _Space, level: int) -> Column:
-    return space.block(F.col("end"), level) - space.block(F.col("start"), level) + 1
-
-
 @dataclass(frozen=True)
 class GeoTable:
-    """A prepared range table: pieces without overlap, their filed rows and the levels in use."""
+    """A prepared range table: filed pieces without overlap in a block, their size and the levels in use."""
 
     pieces: DataFrame
     version: int
-    rows: int
+    size: int
     levels: tuple[int, ...]
 
 
 def prepare_geo(geo: DataFrame, version: int = 4) -> GeoTable:
-    """Settles overlaps and files the ranges (start, end, country, city) of one IP version.
+    """Files the ranges (start, end, country, city) of one IP version and settles overlaps within blocks.
 
     Runs one small job over the range table (two when ranges overlap): it finds out whether they
-    do, how many rows a join would broadcast, and which levels are in use.
+    do, how many bytes a join would broadcast over all levels, and which levels are in use.
     """
     space = _SPACES[version]
-    pieces = _split_at_blocks(geo, space)
-    facts = _facts(pieces, space)
+    pieces = _filed(geo, space)
+    facts = _facts(pieces)
     if facts["clash"]:
         pieces = _settle(pieces, space)
-        facts = _facts(pieces, space)
+        facts = _facts(pieces)
     levels = tuple(level for level in space.levels if level in facts["levels"])
-    leveled = pieces.withColumn("level", _home_level(space))
-    return GeoTable(leveled, version, facts["rows"], levels)
+    return GeoTable(pieces, version, facts["size"], levels)
 
 
-def _facts(pieces: DataFrame, space: _Space) -> Row:
-    by_start = Window.partitionBy("coarse").orderBy("start", "end")
+def _facts(pieces: DataFrame) -> Row:
+    by_start = Window.partitionBy(*_PLACE).orderBy("start", "end")
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    filed = F.lit(None)
-    for level in space.levels:
-        filed = F.when(F.col("level") == level, _touched(space, level)).otherwise(filed)
-    judged = pieces.withColumn("level", _home_level(space)).select(
-        "level", filed.alias("filed"), (reach >= F.col("start")).alias("clash")
-    )
+    text = F.coalesce(F.length("country"), F.lit(0)) + F.coalesce(F.length("city"), F.lit(0))
+    judged = pieces.select("level", text.alias("text"), (reach >= F.col("start")).alias("clash"))
     return judged.agg(
         F.coalesce(F.bool_or("clash"), F.lit(False)).alias("clash"),
-        F.coalesce(F.sum("filed"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("text") + _ROW_BYTES), F.lit(0)).alias("size"),
         F.collect_set("level").alias("levels"),
     ).first()
 
 
-def _filed(table: GeoTable, level: int) -> DataFrame:
-    space = _SPACES[table.version]
-    blocks = F.sequence(space.block(F.col("start"), level), space.block(F.col("end"), level))
-    return table.pieces.where(F.col("level") == level).select(
-        F.explode(blocks).alias("_block"), "start", "end", "country", "city"
-    )
-
-
 def _geo_columns(
-    df: DataFrame, table: GeoTable, ip: str, broadcast_rows: int
+    df: DataFrame, table: GeoTable, ip: str, broadcast_bytes: int
 ) -> tuple[DataFrame, list[str]]:
-    """Adds one (country, city) struct column per level, null where nothing covers the address."""
+    """Adds a struct column per level, the finest first, null where nothing covers the address."""
     space, v = _SPACES[table.version], table.version
-    small = table.rows <= broadcast_rows
+    small = table.size <= broadcast_bytes
     out, hits = once(df, f"_ip{v}", space.number(ip)), []
     for level in table.levels:
         hit = f"_geo{v}_{level}"
-        ranges = _filed(table, level).select(
-            "_block",
+        ranges = table.pieces.where(F.col("level") == level).select(
+            F.col("block").alias("_block"),
             F.col("start").alias("_start"),
             F.col("end").alias("_end"),
-            F.struct("country", "city").alias(hit),
+            F.struct("from", "upto", "country", "city").alias(hit),
         )
         block = space.block(F.col(f"_ip{v}"), level)
         if not small:
             # Addresses of the other version match nothing; keep them from meeting in one task.
-            nowhere = -1 - F.pmod(F.xxhash64(ip), F.lit(_UNMATCHED_SLOTS))
-            block = F.coalesce(block, nowhere)
+            block = F.coalesce(block, space.nowhere(ip))
         keyed = out.withColumn("_key", block)
         covered = (
             (keyed["_key"] == ranges["_block"])
@@ -237,34 +223,49 @@ def _geo_columns(
     return out.drop(f"_ip{v}"), hits
 
 
+def _best(hits: list[Column]) -> Column:
+    """Of the levels' hits, the one with the greatest start, and of equal starts the one that ends first."""
+    best = hits[0]
+    for hit in hits[1:]:
+        ahead = (hit["from"] > best["from"]) | ((hit["from"] == best["from"]) & (hit["upto"] < best["upto"]))
+        best = F.when(best.isNull() | ahead, hit).otherwise(best)
+    return best
+
+
 def geo_join(
     df: DataFrame,
     v4: GeoTable | DataFrame | None = None,
     v6: GeoTable | DataFrame | None = None,
     ip: str = "ip",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``df`` with ``country`` and ``city`` of the range that holds each address, else null.
 
     IPv4-mapped IPv6 addresses use the IPv4 table; text that is no address keeps its row.
+    ``broadcast_bytes`` bounds what all levels of a table together may broadcast.
     """
     base = df.drop("country", "city")
-    out, hits = base, []
+    out, found = base, []
     for version, table in ((4, v4), (6, v6)):
         if table is None:
             continue
         if isinstance(table, DataFrame):
             table = prepare_geo(table, version)
-        out, added = _geo_columns(out, table, ip, broadcast_rows)
-        hits += added
-    if not hits:
+        out, added = _geo_columns(out, table, ip, broadcast_bytes)
+        if added:
+            name = f"_best{version}"
+            place = _best([F.col(h) for h in added])
+            chosen = F.struct(place["country"].alias("country"), place["city"].alias("city"))
+            out = out.withColumn(name, F.when(F.coalesce(*added).isNotNull(), chosen)).drop(*added)
+            found.append(name)
+    if not found:
         none = F.lit(None).cast("string")
         return base.withColumns({"country": none, "city": none})
-    found = F.coalesce(*[F.col(h) for h in hits])
+    hit = F.coalesce(*found)
     return out.select(
         *base.columns,
-        non_empty(found["country"]).alias("country"),
-        non_empty(found["city"]).alias("city"),
+        non_empty(hit["country"]).alias("country"),
+        non_empty(hit["city"]).alias("city"),
     )
 
 
@@ -272,12 +273,12 @@ def overlay_geo(
     intel: DataFrame,
     v4: GeoTable | DataFrame | None = None,
     v6: GeoTable | DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Index records with geo laid over what they had: only non-empty values replace."""
     held = [c for c in ("country", "city") if c in intel.columns]
     kept = intel.withColumnsRenamed({c: f"_{c}" for c in held})
-    joined = geo_join(kept, v4, v6, broadcast_rows=broadcast_rows)
+    joined = geo_join(kept, v4, v6, broadcast_bytes=broadcast_bytes)
     for c in held:
         joined = joined.withColumn(c, F.coalesce(F.col(c), non_empty(f"_{c}")))
     return joined.drop(*[f"_{c}" for c in held])

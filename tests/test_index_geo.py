@@ -107,8 +107,8 @@ def places(df):
     return {r.ip: (r.country, r.city) for r in df.collect()}
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_geo_hits_and_misses(rows, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [10**6, 0])
+def test_geo_hits_and_misses(rows, broadcast_bytes):
     v4 = rows([(n("10.0.0.0"), n("10.0.0.255"), "TC4", "TestCity4"), (n("10.0.2.0"), n("10.0.3.9"), "X", ""),
                (9, 5, "BAD", "")], GEO4)
     v6 = rows([(b("2001:db8::"), b("2001:db8::ff"), "TC6", "TestCity6")], GEO6)
@@ -116,7 +116,7 @@ def test_geo_hits_and_misses(rows, broadcast_rows):
            "192.0.2.1", "::ffff:10.0.0.42", "2001:db8::1", "2001:db8::ff", "2001:db8::100",
            "2001:db8:ffff::1", "not-an-ip", " 10.0.0.42"]
     df = rows([(i,) for i in ips], "ip string")
-    got = places(geo.geo_join(df, v4, v6, broadcast_rows=broadcast_rows))
+    got = places(geo.geo_join(df, v4, v6, broadcast_bytes=broadcast_bytes))
     t4, t6, none = ("TC4", "TestCity4"), ("TC6", "TestCity6"), (None, None)
     want = [t4, t4, t4, none, none, ("X", None), none, none, t4, t6, t6, none, none, none, t4]
     assert [got[i] for i in ips] == want
@@ -160,15 +160,34 @@ def test_ipv6_ranges_of_all_widths_against_brute_force(rows):
     assert got == {i: brute(n(i), ranges) for i in ips}
 
 
+@pytest.mark.parametrize("version", [4, 6])
+def test_narrow_ranges_in_wide_ones_stay_apart(rows, version):
+    """One wide range over many narrow ones: no block gets more rows than its own kind, and hits are right."""
+    width, schema = (32, GEO4) if version == 4 else (128, GEO6)
+    value = (lambda x: x) if version == 4 else (lambda x: x.to_bytes(16, "big"))
+    base = n("10.0.0.0") if version == 4 else n("2001:db8::")
+    gap = 2**4 if version == 4 else 2**48
+    ranges = [(base, base + 3000 * gap, "wide", ""), (base, base + 40 * gap, "mid", "")]
+    ranges += [(base + i * gap + 2, base + i * gap + gap // 2, f"n{i}", "") for i in range(3000)]
+    table = geo.prepare_geo(rows([(value(s), value(e), c, t) for s, e, c, t in ranges], schema), version)
+    fullest = table.pieces.groupBy("level", "block").count().agg({"count": "max"}).first()[0]
+    assert fullest <= 64
+    numbers = {base + i * gap + d for i in (0, 1, 39, 41, 2999) for d in (0, 2, gap // 2, gap // 2 + 1)} | {base - 1, base + 3000 * gap}
+    ips = [str((ipaddress.IPv4Address if width == 32 else ipaddress.IPv6Address)(i)) for i in numbers]
+    kind = {"v4": table} if version == 4 else {"v6": table}
+    got = places(geo.geo_join(rows([(i,) for i in ips], "ip string"), **kind))
+    assert got == {i: brute(n(i), ranges) for i in ips}
+
+
 def test_prepared_table_and_plan(spark, rows):
     ranges = rows([(i * 1000, i * 1000 + 900, f"c{i}", "") for i in range(2000)]
                   + [(2**31, 2**31 + 2**24 - 1, "wide", "")], GEO4)
     table = geo.prepare_geo(ranges)
-    assert table.levels == (24, 16) and table.rows < 20_000
+    assert len(table.levels) == 3 and table.size < 2_000_000
     df = rows([("0.0.3.232",), ("128.77.1.1",)], "ip string")
     joined = geo.geo_join(df, v4=table)
     plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 2
+    assert plan.count("BroadcastHashJoin") == 3
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert places(joined) == {"0.0.3.232": ("c1", None), "128.77.1.1": ("wide", None)}
 

@@ -486,10 +486,28 @@ def geo_join_v6(spark, sf):
 @register("SELECT ip, country, city FROM intel")
 def geo_join_shuffled(spark, sf):
     """The same join with the range table taken as too large to broadcast."""
-    joined = geo.geo_join(_ip_index(spark, sf), v4=I.geo_v4(spark, sf), broadcast_rows=0)
+    joined = geo.geo_join(_ip_index(spark, sf), v4=I.geo_v4(spark, sf), broadcast_bytes=0)
     return joined.select("ip", "country", "city")
 
 
+@register(
+    """WITH numbers AS (SELECT event_id AS id, 3323068416 + (event_id * 7919) % 65536 AS number FROM dns_raw)
+       SELECT id, CASE WHEN number % 64 BETWEEN 8 AND 23 THEN 'narrow-' || number // 64
+         WHEN number < 3323068416 + 20000 THEN 'half' ELSE 'wide' END AS country
+       FROM numbers"""
+)
+def geo_join_nested(spark, sf):
+    """Addresses of one /16 against narrow ranges inside two wide ones."""
+    first, n = 3323068416, F.col("number")
+    addresses = I.dns_raw(spark, sf).select(F.col("event_id").alias("id"), (F.lit(first) + (F.col("event_id") * 7919) % 65536).alias("number"))
+    dotted = F.concat_ws(".", *[F.shiftright(n, by).bitwiseAND(F.lit(255)).cast("string") for by in (24, 16, 8, 0)])
+    narrow = spark.range(1024).select((F.col("id") * 64 + first + 8).alias("start"), (F.col("id") * 64 + first + 23).alias("end"),
+                                      F.concat(F.lit("narrow-"), F.floor((F.col("id") * 64 + first) / 64).cast("string")).alias("country"))
+    wide = spark.createDataFrame([(first, first + 65535, "wide"), (first, first + 19999, "half")], narrow.schema)
+    ranges = narrow.unionByName(wide).withColumn("city", F.lit(""))
+    return geo.geo_join(addresses.withColumn("ip", dotted), v4=ranges).select("id", "country")
+
+
 @register(
     """SELECT ip, coalesce(country, 'ZZ') AS country,
          coalesce(city, 'town_' || (length(ip) % 3)) AS city FROM intel"""
