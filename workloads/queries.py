@@ -240,6 +240,20 @@ def domain_tags(spark, sf):
     return raw.join(brands, "event_id").select("event_id", *[c.alias(n) for n, c in tags.items()])
 
 
+@register(
+    """SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'xn--mnchen-3ya.example' WHEN 1 THEN 'xn--fa-hia.de'
+         WHEN 2 THEN 'xn--wgv71a.jp' WHEN 3 THEN 'example.com' WHEN 4 THEN 'xn--bcher-kva.example'
+         WHEN 7 THEN 'host' || event_id || '.example.org' END AS domain FROM dns_raw"""
+)
+def normalize_domain_idna(spark, sf):
+    """Names beyond ASCII, from a list of literals; two of them are no valid names."""
+    given = F.array(*map(F.lit, ["München.Example.", "faß.de", "日本.jp", " EXAMPLE.com", "xn--bcher-kva.example", "-bad.com", "a_b.com"]))
+    place = F.col("event_id") % 8
+    names = F.when(place == 7, F.concat(F.lit("Host"), F.col("event_id").cast("string"), F.lit(".example.org")))
+    raw = I.dns_raw(spark, sf).select("event_id", names.otherwise(F.get(given, place.cast("int"))).alias("domain"))
+    return D.with_domain(raw, "domain", "name").select("event_id", F.col("name").alias("domain"))
+
+
 @register(
     """SELECT domain || '|' || type || '|' || value AS key, domain, type, value FROM state"""
 )
@@ -1067,6 +1081,54 @@ def stream_aggregator(spark, sf):
     return state_table.read_state(spark, table).drop("shard_id")
 
 
+@register(
+    """SELECT event_id, CASE WHEN event_id % 4 = 0 OR event_id % 4 = 1 THEN 'missing domain, type or value' END AS reason
+       FROM dns_raw"""
+)
+def event_rejects(spark, sf):
+    """Events judged for missing fields: every fourth has no domain, every fourth a blank type."""
+    place = F.col("event_id") % 4
+    made = I.dns_raw(spark, sf).select(
+        "event_id", F.when(place != 0, F.lit("a.com")).alias("domain"), F.when(place == 1, "").otherwise("A").alias("type"),
+        F.lit("1.1.1.1").alias("value"), F.lit(None).cast("bigint").alias("first_seen"), F.lit(None).cast("bigint").alias("last_seen"),
+    )
+    return ingest.classify_events(made).select("event_id", "reason")
+
+
+@register(
+    """SELECT value, 'neither raw records nor a feed' AS reason
+       FROM (SELECT 'junk-' || event_id AS value FROM dns_raw)"""
+)
+def reject_files(spark, sf):
+    """Refused messages written as JSON and read back."""
+    path = _scratch(spark, "rejects")
+    junk = I.dns_raw(spark, sf).select(F.concat(F.lit("junk-"), F.col("event_id").cast("string")).alias("value"))
+    both = junk.unionByName(I.raw_messages(spark, sf).select("value"))
+    intel_files.write_rejects(ingest.messages_to_events(both).select("value", "reason"), path)
+    return spark.read.json(path).select("value", "reason")
+
+
+@register(
+    """SELECT ip, arg_min(domain, domain) AS domain, any_value(country) AS country, any_value(city) AS city
+       FROM ip_pairs JOIN intel USING (ip) GROUP BY 1"""
+)
+def ip_geo_file(spark, sf):
+    """The flat output of an index in parts, written and read back."""
+    path = _scratch(spark, "ip-geo")
+    parts = geo.geo_join(index.ip_index(_state(spark, sf), buckets=4), v4=I.geo_v4(spark, sf))
+    intel_files.write_ip_geo(intel_files.ip_geo(parts), path)
+    return spark.read.schema("ip string, domain string, country string, city string").json(path)
+
+
+@register(
+    """SELECT count(*) AS records, count(DISTINCT ip) AS unique_ips,
+         (SELECT count(DISTINCT domain) FROM ip_pairs) AS unique_domains,
+         count(*) FILTER (WHERE country IS NOT NULL OR city IS NOT NULL) AS enriched FROM intel"""
+)
+def intel_summary_bucketed(spark, sf):
+    return rollups.intel_summary(geo.geo_join(index.ip_index(_state(spark, sf), buckets=4), v4=I.geo_v4(spark, sf)))
+
+
 @register("SELECT domain, type, value, first_seen, last_seen FROM state")
 def two_aggregators(spark, sf):
     """Two streams with a position each and one name, into one table, one after the other."""
