@@ -83,7 +83,7 @@ def with_domain(df: DataFrame, source: str, name: str, idna: bool = True) -> Dat
     found = F.col("_judged.plain")
     if _idna_wanted(idna):
         found = F.coalesce(found, idna_ascii("_judged.special"))
-    return judged.withColumn(name, found).drop("_quick", "_judged")
+    return once(judged, "_found", found).withColumn(name, F.col("_found")).drop("_quick", "_judged", "_found")
 
 
 def with_domain_arrays(df: DataFrame, arrays: dict[str, Column], idna: bool = True) -> DataFrame:
