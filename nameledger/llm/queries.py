@@ -11,6 +11,7 @@ from nameledger.llm.chat import format_conversations
 from nameledger.llm.common import table
 from nameledger.llm.lines import dedup_report
 from nameledger.llm.packing import pack_documents
+from nameledger.llm import quality
 from nameledger.llm.quality import judge
 from nameledger.llm.repeats import remove_repeats
 from nameledger.llm.secrets import scan
@@ -52,6 +53,46 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(columns)
 
 
+def _op4_sql() -> str:
+    lists = {**quality.COMMON_WORDS, quality.OTHER: quality.ALL_WORDS}
+    words = ", ".join(f"('{lang}', [{', '.join(repr(w) for w in found)}])" for lang, found in lists.items())
+    languages = ", ".join(repr(lang) for lang in quality.COMMON_WORDS)
+    space = r"\x20\x09-\x0D"
+
+    def hits(pattern: str) -> str:
+        return f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
+
+    return rf"""
+WITH lists(lang, list) AS (VALUES {words}),
+texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+  CASE WHEN lang IN ({languages}) THEN lang ELSE '{quality.OTHER}' END AS lang FROM documents),
+split AS (SELECT *, regexp_extract_all(t, '[^{space}]+') AS ws,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{space}]')) AS lines FROM texts),
+counted AS (SELECT *, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, {hits('[#*$%&|<>]')} AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines FROM split),
+windows AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS w FROM (SELECT rid, ws, unnest(range(1, n_words - 1)) AS i FROM counted)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, w) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT rid, count(DISTINCT i + j) AS n FROM twice, range(0, 3) AS r(j) GROUP BY rid),
+known AS (SELECT rid, lang, n_words, word_chars, [{hits('[A-Z]')}, {hits('[0-9]')}, length(t) - word_chars, n_symbols,
+    {hits("[!" + chr(34) + "''()+,./:;=?@\\[\\]^_`{}~" + chr(92) * 2 + "-]")}, {hits("[^\\x00-\\x7F]")}] AS c, length(t) AS n_chars,
+  list_transform(list, lambda x: len(list_filter(ws, lambda y: y = x))) AS f FROM counted JOIN lists USING (lang)),
+bins AS (SELECT rid, lang, 'c' AS kind, unnest(list_append(c, n_chars - list_sum(c))) AS n, generate_subscripts(list_append(c, 0), 1) AS k FROM known
+  UNION ALL SELECT rid, lang, 'w', unnest(list_append(f, n_words - list_sum(f))), generate_subscripts(list_append(f, 0), 1) FROM known),
+sums AS (SELECT lang, kind, k, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, kind) AS total FROM bins GROUP BY lang, kind, k),
+shares AS (SELECT b.rid, b.kind, b.n / sum(b.n) OVER (PARTITION BY b.rid, b.kind) AS p, s.n / s.total AS q
+  FROM bins b JOIN sums s USING (lang, kind, k) WHERE EXISTS (SELECT 1 FROM sums g WHERE g.lang = b.lang AND g.kind = 'w' AND g.total >= {quality.LEAST_REFERENCE_WORDS})),
+apart AS (SELECT rid, kind, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 0)) AS d FROM shares GROUP BY rid, kind),
+judged AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+  n_words < {quality.LEAST_WORDS} OR 100 * coalesce(r.n, 0) > {quality.MOST_REPEATED} * n_words AS base_failed,
+  word_chars >= {quality.LEAST_CHARS} AND (coalesce(c.d, 0) > {quality.MOST_CHAR_DISTANCE} OR coalesce(w.d, 0) > {quality.MOST_WORD_DISTANCE}) AS far
+  FROM counted LEFT JOIN repeats r USING (rid) LEFT JOIN apart c ON c.rid = counted.rid AND c.kind = 'c'
+  LEFT JOIN apart w ON w.rid = counted.rid AND w.kind = 'w')
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM judged
+"""
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes that repeat 50 bytes or more of an earlier document."""
     return remove_repeats(table(spark, sf_dir, "documents"))
@@ -110,5 +151,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_warc": OP2_SQL,
+    "op4_quality": _op4_sql(),
     "op9_chat": OP9_SQL,
 }
