@@ -161,6 +161,26 @@ def feed_to_events(spark, sf):
     return ingest.feed_to_events(I.feeds(spark, sf))
 
 
+@register(
+    """SELECT domain, type, value, first_seen, last_seen, device_id FROM feed_events
+       WHERE NOT feed_has_blank"""
+)
+def messages_strict(spark, sf):
+    """The same feeds as messages among others that give no events."""
+    junk = I.event_messages(spark, sf).where("value = 'not json'")
+    sent = I.feed_messages(spark, sf).unionAll(junk)
+    return ingest.events_of(ingest.messages_to_events(sent, mode="strict"))
+
+
+@register(
+    """SELECT domain, type, value, first_seen, last_seen, device_id FROM feed_events
+       WHERE NOT feed_has_blank"""
+)
+def typed_answers(spark, sf):
+    """Typed by their address; the feeds' addresses are IPv4."""
+    return ingest.feed_to_events(I.feeds(spark, sf), mode="strict", typed_answers=True)
+
+
 @register(
     """SELECT domain, type, value, first_seen, last_seen, device_id FROM feed_events
        WHERE NOT feed_has_blank"""
@@ -330,6 +350,21 @@ def cidr_range(spark, sf):
     return ends.select("event_id", F.col("_r.start").alias("low"), F.col("_r.end").alias("high"))
 
 
+@register(
+    """SELECT event_id, '20010DB8' || printf('%04X', (event_id % 65536)::INT) || repeat('0', 20) AS low,
+         '20010DB8' || printf('%04X', (event_id % 65536)::INT)
+           || CASE event_id % 3 WHEN 0 THEN repeat('F', 20) WHEN 1 THEN '0000' || repeat('F', 16) ELSE repeat('0', 18) || 'FF' END AS high
+       FROM dns_raw"""
+)
+def cidr_range_v6(spark, sf):
+    """Blocks of /48, /64 and /120."""
+    group = F.lower(F.hex(F.col("event_id") % 65536))
+    bits = F.element_at(F.array(F.lit("/48"), F.lit("/64"), F.lit("/120")), (F.col("event_id") % 3 + 1).cast("int"))
+    block = F.concat(F.lit("2001:db8:"), group, F.lit("::"), bits)
+    ends = I.dns_raw(spark, sf).select("event_id", IP.cidr_range_v6(block).alias("_r"))
+    return ends.select("event_id", F.hex("_r.start").alias("low"), F.hex("_r.end").alias("high"))
+
+
 @register(
     """SELECT event_id, strftime(make_timestamp(timestamp), '%Y-%m-%d %H:%M:%S') AS ts, timestamp AS micros
        FROM dns_raw"""
@@ -547,6 +582,18 @@ def geo_csv_plain(spark, sf):
     return geo.geo_join(_ip_index(spark, sf), v4=ranges).select("ip", "country", "city")
 
 
+@register(_CSV_EXPECTED.format(span=27))
+def geo_csv_bad_rows(spark, sf):
+    """The plain layout among lines that are no ranges: each has to go, and nothing else."""
+    path = _scratch(spark, "geo-bad")
+    good = I.geo_csv_plain(spark, sf)
+    bad = ["junk", "1.2.3.4", "300.1.1.1,300.1.1.2,XX", "9.0.0.9,9.0.0.1,XX", "x,y,z,a,b,c", "2001:db8::,2001:db8::f,V6"]
+    lines = good.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in good.columns]).alias("value"))
+    lines.unionByName(spark.createDataFrame([(x,) for x in bad], "value string")).write.text(path)
+    ranges = geo_files.read_geo_csv(spark, path, 4)
+    return geo.geo_join(_ip_index(spark, sf), v4=ranges).select("ip", "country", "city")
+
+
 @register(_CSV_EXPECTED.format(span=15))
 def geo_csv_named(spark, sf):
     path = _scratch(spark, "geo-named")
