@@ -5,20 +5,24 @@ length has one anchor, the least hash of its k-grams, so equal windows have equa
 
 1. Texts are put into blobs of a few megabytes, and a blob's distinct anchors are sent, as hashes, to buckets that find
    those found in more than one document. One bit per anchor comes back; windows without a shared anchor are done.
-2. The stretches of text around shared anchors, each distinct one once per blob, are sent to buckets. A bucket puts
-   all windows of its stretches into suffix order (prefix doubling, up to ``LENGTH`` bytes) and takes the previous
-   and next smaller document in that order: the longest previous factor reaches ``LENGTH`` where either is equal so far.
-   The run's first document comes back.
-3. Every blob marks the bytes of windows whose first document has a smaller id.
-
-The number of buckets follows the size of the input. An anchor found in very many blobs has its windows spread by
-their own hash, one by one. No document is compared with another, and no step holds more than a bucket or a blob.
+2. The windows in a row that have one anchor cover a stretch of text. The hashes of the stretches around shared anchors
+   are sent, each distinct one once per blob; back come the first document that has the stretch and whether other
+   stretches have the same anchor. If none has, that document is the first of all the stretch's windows.
+3. The others, where copies begin, end or differ, are sent as text, by the blob of the first document. A bucket puts
+   all their windows into suffix order (prefix doubling, up to ``LENGTH`` bytes) and takes the previous and next
+   smaller document in that order: the longest previous factor reaches ``LENGTH`` where either is equal so far. The
+   first document of each window comes back.
+4. Every blob marks the bytes of windows whose first document has a smaller id.
+
+The number of buckets follows the size of the input. An anchor found in very many blobs has its windows hashed and
+spread one by one. No document is compared with another, and no step holds more than a bucket or a blob; hashes have 64
+bits, and two of them, the anchor's and the stretch's, have to agree.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nameledger.llm.common import map_rows, written
-from nameledger.llm.rolling import kgram_hashes, mixed, sliding_min
+from nameledger.llm.rolling import BASE, kgrams_of, mixed, powers, prefix_sums, sliding_min
 
 LENGTH = 50
 K = 24
-BLOB_BYTES = 4 << 20
+BLOB_BYTES = 2 << 20
 #: Windows looked at in one piece of a very long text.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Text bytes behind one bucket, and blobs beyond which an anchor's windows are spread.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
 MANY_BLOBS = 256
+ROWS_AT_ONCE = 64
+#: The kind of row that holds a blob; it stands after all answers to it.
+BLOB = 9
 NO_ID = (1 << 63) - 1
 
 SENT = "`to` bigint, sender bigint, kind int, payload binary"
@@ -79,19 +86,31 @@ def to_blobs(docs: DataFrame) -> DataFrame:
     return written(map_rows(source, rows, "sender bigint, n_bytes bigint, blob binary"), "blobs")
 
 
-def anchored(text: bytes, length: int = LENGTH, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: first window, last window and the anchor's hash."""
-    starts, ends, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes from starts to ends, whatever stands before them."""
+    return mixed((sums[ends] - sums[starts]) * powers(BASE, len(sums))[starts] + (ends - starts).astype(np.uint64))
+
+
+def anchored(text: bytes, length: int = LENGTH, k: int = K) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one anchor: first window, last window, the anchor's hash and the stretch's."""
+    found = [[np.zeros(0, t)] for t in (np.int64, np.int64, np.uint64, np.uint64)]
     values = np.frombuffer(text, np.uint8)
     for at in range(0, len(text) - length + 1, SLICE):
-        grams = kgram_hashes(values[at : at + SLICE + length - 1], k)
+        sums = prefix_sums(values[at : at + SLICE + length - 1])
+        grams = kgrams_of(sums, k)
         keys = (grams & ~np.uint64(0xFFFFFFFF)) | (np.uint64(0xFFFFFFFF) - np.arange(len(grams), dtype=np.uint64))
         place = (np.uint64(0xFFFFFFFF) - (sliding_min(keys, length - k + 1) & np.uint64(0xFFFFFFFF))).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        starts.append(first + at)
-        ends.append(np.concatenate([first[1:], [len(place)]]) - 1 + at)
-        hashes.append(grams[place[first]])
-    return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
+        last = np.concatenate([first[1:], [len(place)]]) - 1
+        for part, new in zip(found, (first + at, last + at, grams[place[first]], stretch_hashes(sums, first, last + length)), strict=True):
+            part.append(new)
+    return tuple(np.concatenate(x) for x in found)
+
+
+def windows_of(text: bytes, first: int, last: int) -> np.ndarray:
+    """The hash of each window by itself."""
+    starts = np.arange(last - first + 1)
+    return stretch_hashes(prefix_sums(np.frombuffer(text[first : last + LENGTH], np.uint8)), starts, starts + LENGTH)
 
 
 class Anchors:
@@ -100,11 +119,13 @@ class Anchors:
     def __init__(self, blob: bytes, bits: int):
         self.ids, self.missing, self.texts = unpacked(blob)
         runs = [anchored(t) for t in self.texts]
-        self.starts, self.ends, self.hashes = (np.concatenate(x) for x in zip(*runs, strict=True))
+        self.starts, self.ends, self.hashes, self.stretch = (np.concatenate(x) for x in zip(*runs, strict=True))
         self.doc = np.repeat(np.arange(len(runs)), [len(r[0]) for r in runs])
-        self.distinct, self.at, counts = np.unique(self.hashes, return_inverse=True, return_counts=True)
-        pairs = np.unique(np.stack([self.at, self.doc], axis=1), axis=0)[:, 0] if counts.max(initial=0) > 1 else np.zeros(0, int)
-        self.several = np.bincount(pairs, minlength=len(self.distinct)) > 1  # found in two documents of this blob
+        self.distinct, self.at = np.unique(self.hashes, return_inverse=True)
+        some = np.zeros(len(self.distinct), np.int64)
+        some[self.at] = self.doc
+        # found in two documents of this blob
+        self.several = np.bincount(self.at, weights=self.doc != some[self.at], minlength=len(self.distinct)) > 0
         self.bucket = (self.distinct >> np.uint64(64 - bits)).astype(np.int64)  # ascending, as the hashes are
         self.bits = bits
 
@@ -122,33 +143,73 @@ class Anchors:
             both[:, part] = np.unpackbits(np.frombuffer(answers[bucket], np.uint8), count=2 * n).reshape(2, n)
         return both[0], both[1]
 
-    def stretches(self, answers: dict[int, bytes]) -> tuple[dict[int, dict[bytes, list[int]]], list[tuple[int, int, int, bytes]]]:
-        """Each bucket's distinct stretches with their place and least id, and where stretches stand: (document,
-        first window, bucket, stretch)."""
+    def shared_stretches(self, answers: dict[int, bytes]) -> "Stretches":
+        """All stretches with a shared anchor, in order; those of an anchor in very many blobs window by window."""
         shared, spread = self.flags(answers)
-        top = 64 - self.bits
-        sent: dict[int, dict[bytes, list[int]]] = {}
-        found: list[tuple[int, int, int, bytes]] = []
-
-        def note(doc: int, start: int, bucket: int, stretch: bytes) -> None:
-            mine = sent.setdefault(bucket, {})
-            known = mine.get(stretch)
-            if known is None:
-                mine[stretch] = [len(mine), int(self.ids[doc])]
-            elif self.ids[doc] < known[1]:
-                known[1] = int(self.ids[doc])
-            found.append((doc, start, bucket, stretch))
-
-        for i in np.flatnonzero(shared[self.at]).tolist():
-            doc, start, end, anchor = int(self.doc[i]), int(self.starts[i]), int(self.ends[i]), self.at[i]
-            if spread[anchor]:
-                for window in range(start, end + 1):
-                    stretch = self.texts[doc][window : window + LENGTH]
-                    own = mixed(np.frombuffer(hashlib.blake2b(stretch, digest_size=8).digest(), "<u8"))[0]
-                    note(doc, window, int(own >> np.uint64(top)), stretch)
-            else:
-                note(doc, start, int(self.bucket[anchor]), self.texts[doc][start : end + LENGTH])
-        return sent, found
+        use = np.flatnonzero(shared[self.at])
+        alone = spread[self.at[use]]
+        parts = [(self.doc[use], self.starts[use], self.ends[use], self.hashes[use], self.stretch[use], self.stretch[use] & np.uint64(0))]
+        parts = [tuple(x[~alone] for x in parts[0])]
+        for i in use[alone].tolist():
+            first, last = int(self.starts[i]), int(self.ends[i])
+            each = np.arange(first, last + 1)
+            own = windows_of(self.texts[self.doc[i]], first, last)
+            parts.append((np.full(len(each), self.doc[i]), each, each, np.full(len(each), self.hashes[i]), own, np.ones(len(each), np.uint64)))
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        order = np.lexsort((columns[1], columns[0]))
+        return Stretches(self, *(c[order] for c in columns))
+
+
+class Stretches:
+    """Where a blob's stretches stand (document, first and last window), and the distinct ones by bucket.
+
+    A single window of a much shared anchor goes to the bucket of its own hash, which also stands in for its anchor.
+    """
+
+    def __init__(self, anchors: Anchors, doc, start, end, anchor, stretch, single):
+        self.anchors, self.doc, self.start, self.end = anchors, doc, start, end
+        route = np.where(single > 0, stretch, anchor)
+        route_bucket = (route >> np.uint64(64 - anchors.bits)).astype(np.int64)
+        order = np.lexsort((anchor, stretch, route_bucket))
+        b, s, a = route_bucket[order], stretch[order], anchor[order]
+        new = np.concatenate([[True], (b[1:] != b[:-1]) | (s[1:] != s[:-1]) | (a[1:] != a[:-1])]) if len(order) else np.zeros(0, bool)
+        self.at = np.empty(len(order), np.int64)
+        self.at[order] = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        self.bucket, self.stretch, self.single = b[first], s[first], single[order][first]
+        # a single window has an anchor of its own here, so that it never counts as one of several stretches
+        self.anchor = np.where(self.single > 0, mixed(a[first] ^ self.stretch), a[first])
+        ids = anchors.ids[doc]
+        self.least = np.minimum.reduceat(ids[order], first) if len(first) else np.zeros(0, np.int64)
+        self.example = order[first]
+
+    def by_bucket(self) -> Iterator[tuple[int, slice]]:
+        if len(self.bucket):
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(self.bucket)) + 1, [len(self.bucket)]])
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                yield int(self.bucket[a]), slice(a, b)
+
+    def questions(self) -> Iterator[tuple[int, bytes]]:
+        for bucket, part in self.by_bucket():
+            yield bucket, b"".join([self.anchor[part].tobytes(), self.stretch[part].tobytes(), self.least[part].tobytes()])
+
+    def told(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each distinct stretch: the first document that has it, and whether its anchor has others."""
+        first, several = np.zeros(len(self.bucket), np.int64), np.zeros(len(self.bucket), bool)
+        for bucket, part in self.by_bucket():
+            n = part.stop - part.start
+            first[part] = np.frombuffer(answers[bucket], "<i8", n)
+            several[part] = np.frombuffer(answers[bucket], np.uint8, n, 8 * n) > 0
+        return first, several
+
+    def text(self, i: int) -> bytes:
+        at = self.example[i]
+        return self.anchors.texts[self.doc[at]][self.start[at] : self.end[at] + LENGTH]
+
+    def open_ones(self, several: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        for bucket, part in self.by_bucket():
+            if len(found := np.flatnonzero(several[part])):
+                yield bucket, (found + part.start).tolist()
 
 
 def short_hashes(distinct: np.ndarray, several: np.ndarray, bits: int) -> bytes:
@@ -240,53 +301,88 @@ def first_documents(stretches: list[bytes], docs: np.ndarray) -> list[tuple[np.n
     return [(length[a:b], first[at[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def stretch_payload(mine: dict[bytes, list[int]]) -> bytes:
-    sizes = np.array([len(mine), *map(len, mine), *(x[1] for x in mine.values())], dtype="<i8")
-    return sizes.tobytes() + b"".join(mine)
-
-
-def read_stretches(payload: bytes) -> tuple[list[bytes], np.ndarray]:
-    n = int(np.frombuffer(payload, "<i8", 1)[0])
-    head = np.frombuffer(payload, "<i8", 1 + 2 * n)
-    ends = head[1 : 1 + n].cumsum() + 8 * (1 + 2 * n)
-    return [payload[e - s : e] for e, s in zip(ends.tolist(), head[1 : 1 + n].tolist(), strict=True)], head[1 + n :]
-
-
-def answer_stretches(parts: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-    """Each blob's stretches in one bucket, answered in their order: the number of runs, then their sizes and documents."""
-    read = [(sender, *read_stretches(p)) for sender, p in parts]
-    least: dict[bytes, int] = {}
-    for _, stretches, docs in read:
-        for s, d in zip(stretches, docs.tolist(), strict=True):
-            if d < least.get(s, NO_ID + 1):
-                least[s] = d
-    found = dict(zip(least, first_documents(list(least), np.array(list(least.values()), dtype=np.int64)), strict=True))
-    for sender, stretches, _ in read:
-        runs = [found[s] for s in stretches]
+def answer_hashes(parts: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
+    """For each blob's stretch hashes in one bucket: the first document of each, and whether its anchor has others."""
+    sizes = [len(p) // 24 for _, p in parts]
+    anchor, stretch, least = (
+        np.concatenate([np.frombuffer(p, kind, n, 8 * n * i) for (_, p), n in zip(parts, sizes, strict=True)])
+        for i, kind in enumerate(("<u8", "<u8", "<i8"))
+    )
+    order = np.lexsort((stretch, anchor))
+    a, s = anchor[order], stretch[order]
+    new_anchor = np.concatenate([[True], a[1:] != a[:-1]])
+    new = new_anchor | np.concatenate([[True], s[1:] != s[:-1]])
+    heads, group = np.flatnonzero(new), np.cumsum(new) - 1
+    first = np.minimum.reduceat(least[order], heads)
+    of_anchor = np.cumsum(new_anchor) - 1
+    several = np.bincount(of_anchor[heads]) > 1
+    out_first, out_several = np.empty(len(order), "<i8"), np.empty(len(order), np.uint8)
+    out_first[order], out_several[order] = first[group], several[of_anchor]
+    begin = 0
+    for (sender, _), n in zip(parts, sizes, strict=True):
+        yield sender, out_first[begin : begin + n].tobytes() + out_several[begin : begin + n].tobytes()
+        begin += n
+
+
+def text_payload(stretches: Stretches, which: list[int], first: np.ndarray) -> bytes:
+    """Open stretches: their hashes, first documents and sizes, and the text of those that start in this blob."""
+    texts = [stretches.text(i) if stretches.least[i] == first[i] else b"" for i in which]
+    head = np.array([len(which), *first[which].tolist(), *map(len, texts)], dtype="<i8")
+    return head.tobytes() + stretches.stretch[which].tobytes() + b"".join(texts)
+
+
+def answer_texts(parts: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
+    """Each blob's open stretches in one bucket, in their order: the number of runs, then their sizes and documents."""
+    asked: list[tuple[int, list[int]]] = []
+    known: dict[int, tuple[bytes, int]] = {}
+    for sender, payload in parts:
+        n = int(np.frombuffer(payload, "<i8", 1)[0])
+        head = np.frombuffer(payload, "<i8", 1 + 2 * n)
+        hashes = np.frombuffer(payload, "<u8", n, 8 * (1 + 2 * n)).tolist()
+        at = 8 * (1 + 3 * n)
+        for h, doc, size in zip(hashes, head[1 : 1 + n].tolist(), head[1 + n :].tolist(), strict=True):
+            if size:
+                known[h] = payload[at : at + size], doc
+                at += size
+        asked.append((sender, hashes))
+    found = dict(zip(known, first_documents([t for t, _ in known.values()], np.array([d for _, d in known.values()], dtype=np.int64)), strict=True))
+    for sender, hashes in asked:
+        runs = [found[h] for h in hashes]
         counts = np.array([len(r[0]) for r in runs], dtype="<i8")
         yield sender, b"".join([counts.tobytes(), *(x.astype("<i8").tobytes() for r in runs for x in r)])
 
 
-def removed_spans(anchors: Anchors, shared: dict[int, bytes], answers: dict[int, bytes]) -> list[list[list[int]]]:
+def removed_spans(stretches: Stretches, told: dict[int, bytes], answers: dict[int, bytes]) -> list[list[list[int]]]:
     """Each document's removed stretches of bytes, apart from each other and in order."""
-    sent, found = anchors.stretches(shared)
-    runs: dict[int, list[tuple[list[int], list[int]]]] = {}
-    for bucket, mine in sent.items():
+    first, several = stretches.told(told)
+    runs: dict[int, tuple[list[int], list[int]]] = {}
+    for bucket, which in stretches.open_ones(several):
         data = np.frombuffer(answers[bucket], "<i8").tolist()
-        at, runs[bucket] = len(mine), []
-        for n in data[: len(mine)]:
-            runs[bucket].append((data[at : at + n], data[at + n : at + 2 * n]))
+        at = len(which)
+        for i, n in zip(which, data[: len(which)], strict=True):
+            runs[i] = data[at : at + n], data[at + n : at + 2 * n]
             at += 2 * n
-    spans: list[list[list[int]]] = [[] for _ in anchors.texts]
-    for doc, start, bucket, stretch in found:
-        own, mine = spans[doc], int(anchors.ids[doc])
-        for size, first in zip(*runs[bucket][sent[bucket][stretch][0]], strict=True):
-            if first < mine:
-                if own and start <= own[-1][1]:
-                    own[-1][1] = start + size + LENGTH - 1
-                else:
-                    own.append([start, start + size + LENGTH - 1])
+    ids = stretches.anchors.ids
+    closed = ~several[stretches.at]
+    hit = closed & (first[stretches.at] < ids[stretches.doc])
+    docs, begins, ends = [stretches.doc[hit]], [stretches.start[hit]], [stretches.end[hit] + LENGTH]
+    more: list[tuple[int, int, int]] = []
+    for i in np.flatnonzero(~closed).tolist():
+        doc, start = int(stretches.doc[i]), int(stretches.start[i])
+        for size, earliest in zip(*runs[int(stretches.at[i])], strict=True):
+            if earliest < ids[doc]:
+                more.append((doc, start, start + size + LENGTH - 1))
             start += size
+    extra = np.array(more, dtype=np.int64).reshape(-1, 3)
+    doc, begin, end = (np.concatenate([x[0], extra[:, i]]) for i, x in enumerate((docs, begins, ends)))
+    order = np.lexsort((begin, doc))
+    doc, begin, end = doc[order], begin[order], end[order]
+    spans: list[list[list[int]]] = [[] for _ in stretches.anchors.texts]
+    if len(doc):  # later windows end later, so the one before tells whether a span goes on
+        heads = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (begin[1:] > end[:-1])]))
+        tails = np.concatenate([heads[1:], [len(doc)]]) - 1
+        for d, a, b in zip(doc[heads].tolist(), begin[heads].tolist(), end[tails].tolist(), strict=True):
+            spans[d].append([a, b])
     return spans
 
 
@@ -304,6 +400,10 @@ def grouped(batches: Iterator[dict]) -> Iterator[tuple[int, Iterator[tuple[int,
         yield to, held
 
 
+def said(rows: list[tuple[int, int, bytes]], kind: int) -> dict[int, bytes]:
+    return {bucket: payload for k, bucket, payload in rows if k == kind}
+
+
 def delivered(sent: DataFrame) -> DataFrame:
     return sent.repartition("to").sortWithinPartitions("to", "kind", "sender")
 
@@ -333,30 +433,45 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
 
     def ask_stretches(batches: Iterator[dict]) -> Iterable[tuple]:
         for sender, rows in grouped(batches):
-            anchors = Anchors(rows[-1][2], bits)
-            sent, _ = anchors.stretches({bucket: p for kind, bucket, p in rows if kind == 0})
-            for bucket, mine in sent.items():
-                yield bucket, sender, 0, stretch_payload(mine)
+            stretches = Anchors(rows[-1][2], bits).shared_stretches(said(rows, 0))
+            for bucket, payload in stretches.questions():
+                yield bucket, sender, 0, payload
 
     def tell_stretches(batches: Iterator[dict]) -> Iterable[tuple]:
         for bucket, rows in grouped(batches):
-            for sender, payload in answer_stretches([(s, p) for _, s, p in rows]):
+            for sender, payload in answer_hashes([(s, p) for _, s, p in rows]):
                 yield sender, bucket, 1, payload
 
+    def ask_texts(batches: Iterator[dict]) -> Iterable[tuple]:
+        for sender, rows in grouped(batches):
+            stretches = Anchors(rows[-1][2], bits).shared_stretches(said(rows, 0))
+            first, several = stretches.told(said(rows, 1))
+            for bucket, which in stretches.open_ones(several):
+                yield bucket, sender, 0, text_payload(stretches, which, first)
+
+    def tell_texts(batches: Iterator[dict]) -> Iterable[tuple]:
+        for bucket, rows in grouped(batches):
+            for sender, payload in answer_texts([(s, p) for _, s, p in rows]):
+                yield sender, bucket, 2, payload
+
     def finish(batches: Iterator[dict]) -> Iterable[tuple]:
         for _, rows in grouped(batches):
             anchors = Anchors(rows[-1][2], bits)
-            told = [{bucket: p for kind, bucket, p in rows if kind == k} for k in (0, 1)]
-            for doc, missing, text, spans in zip(anchors.ids.tolist(), anchors.missing, anchors.texts, removed_spans(anchors, *told), strict=True):
+            spans_of = removed_spans(anchors.shared_stretches(said(rows, 0)), said(rows, 1), said(rows, 2))
+            for doc, missing, text, spans in zip(anchors.ids.tolist(), anchors.missing, anchors.texts, spans_of, strict=True):
                 edges = [0, *(x for span in spans for x in span), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 row = None if missing else doc, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()
                 yield (*row, kept) if texts else row
 
-    whole = blobs.select(F.col("sender").alias("to"), F.lit(0).cast("bigint").alias("sender"), F.lit(2).alias("kind"), F.col("blob").alias("payload"))
-    asked = map_rows(blobs.select("sender", "blob"), ask_anchors, SENT)
-    shared = written(map_rows(delivered(asked), tell_anchors, SENT), "shared-anchors")
-    stretches = map_rows(delivered(shared.unionByName(whole)), ask_stretches, SENT)
-    answers = written(map_rows(delivered(stretches), tell_stretches, SENT), "first-documents")
+    whole = blobs.select(F.col("sender").alias("to"), F.lit(0).cast("bigint").alias("sender"), F.lit(BLOB).alias("kind"), F.col("blob").alias("payload"))
+
+    def step(sent: DataFrame, rows: Callable[[Iterator[dict]], Iterable[tuple]]) -> DataFrame:
+        return map_rows(delivered(sent), rows, SENT, ROWS_AT_ONCE)
+
+    asked = map_rows(blobs.select("sender", "blob"), ask_anchors, SENT, ROWS_AT_ONCE)
+    shared = written(step(asked, tell_anchors), "shared-anchors").unionByName(whole)
+    told = written(step(step(shared, ask_stretches), tell_stretches), "first-documents").unionByName(shared)
+    answers = written(step(step(told, ask_texts), tell_texts), "window-documents").unionByName(told)
     schema = f"{RESULT}, kept binary" if texts else RESULT
-    return map_rows(delivered(shared.unionByName(answers).unionByName(whole)), finish, schema)
+    return map_rows(delivered(answers), finish, schema, ROWS_AT_ONCE)

@@ -30,14 +30,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Sums from which the polynomial hash of any run of ``values`` follows."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(INVERSE, len(values)), out=sums[1:])
+    return sums
+
+
+def kgrams_of(sums: np.ndarray, k: int) -> np.ndarray:
+    if len(sums) <= k:
+        return np.zeros(0, dtype=np.uint64)
+    return mixed((sums[k:] - sums[:-k]) * powers(BASE, len(sums) - k))
+
+
 def kgram_hashes(values: np.ndarray, k: int) -> np.ndarray:
     """The hash of each run of ``k`` values; equal runs have equal hashes, wherever they stand."""
-    n = len(values)
-    if n < k:
-        return np.zeros(0, dtype=np.uint64)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(INVERSE, n), out=sums[1:])
-    return mixed((sums[k:] - sums[:-k]) * powers(BASE, n - k + 1))
+    return kgrams_of(prefix_sums(values), k)
 
 
 def sliding_min(keys: np.ndarray, window: int) -> np.ndarray:

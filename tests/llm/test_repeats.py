@@ -70,17 +70,25 @@ def whole_in_process(data, blob, many, bits=3):
     for bucket, parts in asked.items():
         for sender, payload in R.shared_anchors(parts):
             shared[sender][bucket] = payload
+    stretches = [a.shared_stretches(x) for a, x in zip(anchors, shared)]
+    asked, told, answers = {}, [{} for _ in blobs], [{} for _ in blobs]
+    for sender, x in enumerate(stretches):
+        for bucket, payload in x.questions():
+            asked.setdefault(bucket, []).append((sender, payload))
+    for bucket, parts in asked.items():
+        for sender, payload in R.answer_hashes(parts):
+            told[sender][bucket] = payload
     asked = {}
-    for sender, a in enumerate(anchors):
-        for bucket, mine in a.stretches(shared[sender])[0].items():
-            asked.setdefault(bucket, []).append((sender, R.stretch_payload(mine)))
-    answers = [{} for _ in blobs]
+    for sender, x in enumerate(stretches):
+        first, several = x.told(told[sender])
+        for bucket, which in x.open_ones(several):
+            asked.setdefault(bucket, []).append((sender, R.text_payload(x, which, first)))
     for bucket, parts in asked.items():
-        for sender, payload in R.answer_stretches(parts):
+        for sender, payload in R.answer_texts(parts):
             answers[sender][bucket] = payload
     out = []
     for sender, a in enumerate(anchors):
-        for doc, missing, text, spans in zip(a.ids.tolist(), a.missing, a.texts, R.removed_spans(a, shared[sender], answers[sender])):
+        for doc, missing, text, spans in zip(a.ids.tolist(), a.missing, a.texts, R.removed_spans(stretches[sender], told[sender], answers[sender])):
             gone = sum(e - s for s, e in spans)
             kept, last = b"", 0
             for s, e in spans:
