@@ -48,7 +48,7 @@ def prepared(spark, sf_dir: str) -> dict:
     spark.range(500_000).select(dotted.alias("ip")).write.parquet(f"{folder}/ips")
     read = spark.read.parquet
     return {
-        "messages_to_events": lambda: ingest.events_of(ingest.messages_to_events(spark.read.text(f"{folder}/messages"))),
+        "messages_to_events": lambda: ingest.message_events(spark.read.text(f"{folder}/messages")),
         "feed_to_events": lambda: ingest.feed_to_events(read(f"{folder}/feeds")),
         "raw_to_events": lambda: ingest.raw_to_events(read(f"{folder}/raw")),
         "geo_join_200k_ranges_500k_ips": lambda: geo.geo_join(read(f"{folder}/ips"), v4=read(f"{folder}/ranges")),

@@ -76,14 +76,22 @@ def normalize_domain(value: Column | str, idna: bool = True) -> Column:
     return F.coalesce(judged["plain"], idna_ascii(judged["special"]))
 
 
+def with_domains(df: DataFrame, sources: dict[str, str], idna: bool = True) -> DataFrame:
+    """Adds, for each name, the canonical form of the domain in its source column; one Python pass for all of them."""
+    quick = once(df, "_quick", F.struct(*[_quick_name(source).alias(n) for n, source in sources.items()]))
+    judged = once(quick, "_judged", F.struct(*[_judge(F.col(f"_quick.{n}"), F.col(source)).alias(n) for n, source in sources.items()]))
+    found = {}
+    for name in sources:
+        found[name] = F.col(f"_judged.{name}.plain")
+        if _idna_wanted(idna):
+            found[name] = F.coalesce(found[name], idna_ascii(f"_judged.{name}.special"))
+    named = once(judged, "_found", F.struct(*[value.alias(name) for name, value in found.items()]))
+    return named.withColumns({name: F.col(f"_found.{name}") for name in sources}).drop("_quick", "_judged", "_found")
+
+
 def with_domain(df: DataFrame, source: str, name: str, idna: bool = True) -> DataFrame:
     """Adds the canonical form of the domain in ``source`` as column ``name``."""
-    quick = once(df, "_quick", _quick_name(source))
-    judged = once(quick, "_judged", _judge(F.col("_quick"), F.col(source)))
-    found = F.col("_judged.plain")
-    if _idna_wanted(idna):
-        found = F.coalesce(found, idna_ascii("_judged.special"))
-    return once(judged, "_found", found).withColumn(name, F.col("_found")).drop("_quick", "_judged", "_found")
+    return with_domains(df, {name: source}, idna)
 
 
 def with_domain_arrays(df: DataFrame, arrays: dict[str, Column], idna: bool = True) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nameledger import schemas
-from nameledger.functions.domains import bare_domain, with_domain, with_domain_arrays
+from nameledger.functions.domains import bare_domain, with_domain, with_domain_arrays, with_domains
 from nameledger.functions.ip import ip_version
 from nameledger.functions.records import temporal_range
 from nameledger.functions.text import is_blank, trimmed
@@ -240,11 +240,79 @@ def with_feed_events(
     return judged.withColumn("events", events).drop("_names", "_cnames")
 
 
+def _feed_entries(correlations: Column, timestamp: Column, device: Column) -> Column:
+    """One struct per correlation, in the shape all kinds of entries share."""
+
+    def entry(c: Column) -> Column:
+        first, last = temporal_range(c["temporal"], timestamp)
+        return _entry(c["domain"], None, None, c["answer_ips"], c["cname_target"], first, last, device)
+
+    return F.transform(correlations, entry)
+
+
+def _raw_entries(records: Column) -> Column:
+    def entry(r: Column) -> Column:
+        seen = F.coalesce(r["timestamp"], F.lit(0))
+        return _entry(r["domain"], r["type"], r["value"], None, None, seen, seen, r["device_id"])
+
+    return F.transform(records, entry)
+
+
+def _entry(domain, rtype, value, answers, alias, first, last, device) -> Column:
+    values = {
+        "domain": domain, "type": rtype, "value": value, "answers": answers, "alias": alias,
+        "first": first, "last": last, "device": device,
+    }
+    kinds = {"answers": "array<string>", "first": "bigint", "last": "bigint"}
+    return F.struct(
+        *[(F.lit(None) if v is None else v).cast(kinds.get(n, "string")).alias(n) for n, v in values.items()],
+        F.lit(answers is None).alias("is_raw"),
+    )
+
+
+def _events_of_entries(df: DataFrame, entries: Column, typed_answers: bool, idna: bool) -> DataFrame:
+    """One row per event: names are worked out as plain columns, after entries are rows of their own."""
+    rows = df.select(F.explode_outer(entries).alias("_entry")).where(F.col("_entry").isNotNull()).select("_entry.*")
+    named = with_domains(rows, {"_name": "domain", "_cname": "alias"}, idna).where(F.col("_name").isNotNull())
+    name, first, last = F.col("_name"), F.col("first"), F.col("last")
+    device = F.coalesce("device", F.lit(""))
+
+    def answer_type(ip: Column) -> Column:
+        if not typed_answers:
+            return F.lit("A")
+        return F.when(ip_version(trimmed(ip)) == 6, "AAAA").otherwise("A")
+
+    usable = _raw_reason(F.col("domain"), F.col("type"), F.col("value"), name).isNull()
+    own = F.when(usable, F.array(_event(name, F.col("type"), trimmed("value"), first, last, device)))
+    answers = F.transform(
+        F.filter("answers", lambda ip: ~is_blank(ip)), lambda ip: _event(name, answer_type(ip), ip, first, last, device)
+    )
+    alias = F.when(F.col("_cname").isNotNull(), F.array(_event(name, F.lit("CNAME"), F.col("_cname"), first, last, device)))
+    fed = F.concat(F.coalesce(answers, _no_events()), F.coalesce(alias, _no_events()))
+    events = F.when(F.col("is_raw"), own).otherwise(fed)
+    out = named.select(F.explode_outer(events).alias("_event"))
+    return out.where(F.col("_event").isNotNull()).select("_event.*")
+
+
 def feed_to_events(
     df: DataFrame, mode: str = "lenient", typed_answers: bool = False, idna: bool = True
 ) -> DataFrame:
-    """One row per event of each feed."""
-    return events_of(with_feed_events(df, mode, typed_answers, idna))
+    """One row per event of each feed; only the strict mode has to judge feeds as a whole."""
+    _check_mode(mode)
+    if mode == "strict":
+        return events_of(with_feed_events(df, mode, typed_answers, idna))
+    entries = _feed_entries(F.col("domain_correlations"), F.col("timestamp"), F.col("device_id"))
+    return _events_of_entries(df, entries, typed_answers, idna)
+
+
+def message_events(
+    df: DataFrame, col: str = "value", typed_answers: bool = False, idna: bool = True
+) -> DataFrame:
+    """One row per event of payloads of either shape, leniently: what ``events_of(messages_to_events(df))`` gives,
+    without arrays of events in between."""
+    fed = _feed_entries(F.col("_feed.domain_correlations"), F.col("_feed.timestamp"), F.col("_feed.device_id"))
+    entries = F.when(F.col("_shape") == "raw", _raw_entries(F.col("_raw"))).otherwise(fed)
+    return _events_of_entries(with_payload(df, col), entries, typed_answers, idna)
 
 
 def feed_rejects(df: DataFrame, idna: bool = True) -> DataFrame:

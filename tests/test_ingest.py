@@ -134,3 +134,20 @@ def test_event_messages(rows):
     judged = ingest.classify_events(messages.parse_events(df)).orderBy("domain").collect()
     assert [r.reason for r in judged] == [None, "missing domain, type or value"]
     assert ingest.valid_events(messages.parse_events(df)).first().first_seen == 0
+
+
+def test_flat_events_are_those_of_the_arrays(rows):
+    payloads = [
+        '[{"domain":"A.com.","type":"A","value":" 1.1.1.1 ","timestamp":5},{"domain":"b.com","type":"TXT","value":"x"}]',
+        '{"domain":"é.com","type":"CNAME","value":"c.com","device_id":"d"}', "null", "[]", "junk", "{}",
+        '{"feed_type":"f","device_id":"s","timestamp":9,"domain_correlations":[{"domain":"Q.com","answer_ips":["1.2.3.4"," ","::1"],'
+        '"cname_target":"ü.com"},{"domain":"","answer_ips":["9.9.9.9"]},{"domain":"r.com","cname_target":"-bad"},{"domain":"s.com"}]}',
+    ]
+    df = rows([(p,) for p in payloads], "value string")
+    for typed in (False, True):
+        flat = ingest.message_events(df, typed_answers=typed)
+        arrays = ingest.events_of(ingest.messages_to_events(df, typed_answers=typed))
+        assert flat.columns == arrays.columns
+        assert sorted(map(tuple, flat.collect())) == sorted(map(tuple, arrays.collect())) and flat.count() >= 5
+    plan = ingest.message_events(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

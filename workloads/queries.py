@@ -153,6 +153,15 @@ def route_messages(spark, sf):
        UNION ALL SELECT domain, type, value, first_seen, last_seen, device_id FROM feed_events"""
 )
 def messages_to_events(spark, sf):
+    return ingest.message_events(_mixed(spark, sf))
+
+
+@register(
+    """SELECT domain, type, value, first_seen, last_seen, device_id FROM dns_events
+       UNION ALL SELECT domain, type, value, first_seen, last_seen, device_id FROM feed_events"""
+)
+def messages_to_event_arrays(spark, sf):
+    """The same by way of one array of events per message, as the normaliser publishes them."""
     return ingest.events_of(ingest.messages_to_events(_mixed(spark, sf)))
 
 
