@@ -170,7 +170,7 @@ class Stretches:
         self.anchors, self.doc, self.start, self.end = anchors, doc, start, end
         route = np.where(single > 0, stretch, anchor)
         route_bucket = (route >> np.uint64(64 - anchors.bits)).astype(np.int64)
-        order = np.lexsort((anchor, stretch, route_bucket))
+        order = np.lexsort((stretch, route_bucket))
         b, s, a = route_bucket[order], stretch[order], anchor[order]
         new = np.concatenate([[True], (b[1:] != b[:-1]) | (s[1:] != s[:-1]) | (a[1:] != a[:-1])]) if len(order) else np.zeros(0, bool)
         self.at = np.empty(len(order), np.int64)

@@ -24,10 +24,9 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    """Spreads every bit over the whole word (the finaliser of a well-known 64-bit hash)."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    """Spreads every bit over the whole word."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(29))
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
