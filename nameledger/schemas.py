@@ -48,13 +48,6 @@ IP_INTEL = _struct(
     city=_S,
 )
 
-GEO_V4 = _struct(start=_L, end=_L, country=_S, city=_S)
-GEO_V6 = _struct(start=T.BinaryType(), end=T.BinaryType(), country=_S, city=_S)
-
-IP_GEO = _struct(ip=_S, domain=_S, country=_S, city=_S)
-STAGING = _struct(ip=_S, domain=_S, first_seen=_L, last_seen=_L, source_batch=_S)
-KEYED_HISTORY = _struct(key=_S, ts=_L, value=_S, is_delete=T.BooleanType())
-
 # The feed exactly as sensors emit it: FEED plus summaries nothing downstream needs.
 _I, _B, _D = T.IntegerType(), T.BooleanType(), T.DoubleType()
 

@@ -19,8 +19,9 @@ def raw_records(payload: Column | str) -> Column:
     return F.from_json(as_column(payload), T.ArrayType(schemas.RAW_RECORD))
 
 
-def feed_document(payload: Column | str) -> Column:
-    return F.from_json(as_column(payload), schemas.FEED)
+def feed_document(payload: Column | str, full: bool = False) -> Column:
+    """A feed; ``full`` also reads the summaries that sensors add and nothing downstream needs."""
+    return F.from_json(as_column(payload), schemas.FULL_FEED if full else schemas.FEED)
 
 
 def event_list(payload: Column | str) -> Column:
@@ -92,9 +93,11 @@ def parse_raw(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> Da
     return _exploded(df, raw_records(col), keep)
 
 
-def parse_feed(df: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+def parse_feed(
+    df: DataFrame, col: str = "value", keep: Sequence[str] = (), full: bool = False
+) -> DataFrame:
     """One row per feed document; text that is not a feed object is left out."""
-    parsed = df.select(*keep, feed_document(col).alias("_feed"))
+    parsed = df.select(*keep, feed_document(col, full).alias("_feed"))
     named = parsed.where(
         F.col("_feed.feed_type").isNotNull() | F.col("_feed.domain_correlations").isNotNull()
     )

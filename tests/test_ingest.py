@@ -151,3 +151,17 @@ def test_flat_events_are_those_of_the_arrays(rows):
         assert sorted(map(tuple, flat.collect())) == sorted(map(tuple, arrays.collect())) and flat.count() >= 5
     plan = ingest.message_events(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_full_feeds_keep_their_summaries(rows):
+    text = (
+        '{"feed_type":"f","device_id":"s","timestamp":9,"feed_stats":{"total_queries":7},"domain_correlations":'
+        '[{"domain":"a.com","ndpi_protocol":{"protocol_name":"DNS","bytes_sent":5},"intelligence":{"threat_score":0.5}}],'
+        '"ml_insights":{"behavioral_analysis":{"peak_query_time":13}}}'
+    )
+    df = rows([(text,), ("junk",)], "value string")
+    got = messages.parse_feed(df, full=True).first()
+    assert (got.feed_stats.total_queries, got.ml_insights.behavioral_analysis.peak_query_time) == (7, 13)
+    [entry] = got.domain_correlations
+    assert (entry.ndpi_protocol.protocol_name, entry.intelligence.threat_score) == ("DNS", 0.5)
+    assert "feed_stats" not in messages.parse_feed(df).columns

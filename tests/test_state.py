@@ -184,8 +184,9 @@ def test_decoding_stored_pairs(rows):
 
 HISTORY = "key string, ts bigint, value string, is_delete boolean"
 VERSIONS = [
-    ("key1", 1, "val1", False), ("key1", 2, "val2", False), ("key2", 3, "value1", False),
-    ("key1", 4, None, True), ("key2", 4, None, True), ("key3", 4, "value2", False),
+    ("mx.a", 10, "blue", False), ("mx.a", 20, "green", False), ("ns.b", 25, "seven", False),
+    ("mx.a", 40, None, True), ("ns.b", 45, None, True), ("txt.c", 45, "open", False),
+    ("mx.a", 60, "grey", False),
 ]
 
 
@@ -195,22 +196,23 @@ def test_reads_as_of_a_time(rows):
     def at(ts):
         return sorted((r.key, r.ts, r.value) for r in keyed.read_as_of(history, ts).collect())
 
-    assert at(0) == []
-    assert at(1) == [("key1", 1, "val1")]
-    assert at(3) == [("key1", 2, "val2"), ("key2", 3, "value1")]
-    assert at(5) == [("key3", 4, "value2")]
-    listed = [(r.key, r.ts) for r in keyed.history_between(history, 1, 5).collect()]
-    assert listed == [("key1", 4), ("key1", 2), ("key1", 1), ("key2", 4), ("key2", 3), ("key3", 4)]
+    assert at(9) == []
+    assert at(10) == [("mx.a", 10, "blue")]
+    assert at(39) == [("mx.a", 20, "green"), ("ns.b", 25, "seven")]
+    assert at(50) == [("txt.c", 45, "open")]
+    assert at(99) == [("mx.a", 60, "grey"), ("txt.c", 45, "open")]
+    listed = [(r.key, r.ts) for r in keyed.history_between(history, 15, 50).collect()]
+    assert listed == [("mx.a", 40), ("mx.a", 20), ("ns.b", 45), ("ns.b", 25), ("txt.c", 45)]
 
 
 def test_multi_get_keeps_the_order_and_the_misses(rows):
-    table = rows([("hello1", "w1"), ("hello2", "w2")], "key string, value string")
-    keys = rows([(0, "noexist"), (1, "hello2"), (2, "hello1"), (3, "hello2")], "pos int, key string")
-    got = [(r.key, r.value) for r in keyed.multi_get(table, keys).collect()]
-    assert got == [("noexist", None), ("hello2", "w2"), ("hello1", "w1"), ("hello2", "w2")]
-    asked = rows([(0, "key1"), (1, "key2"), (2, "nokey")], "pos int, key string")
-    at3 = [r.value for r in keyed.multi_get_as_of(rows(VERSIONS, HISTORY), asked, 3).collect()]
-    assert at3 == ["val2", "value1", None]
+    table = rows([("left", "l"), ("right", "r")], "key string, value string")
+    keys = rows([(0, "up"), (1, "right"), (2, "left"), (3, "right")], "pos int, key string")
+    got = [(r.key, r.value) for r in keyed.multi_get(table, keys).orderBy("pos").collect()]
+    assert got == [("up", None), ("right", "r"), ("left", "l"), ("right", "r")]
+    asked = rows([(0, "mx.a"), (1, "ns.b"), (2, "none")], "pos int, key string")
+    found = keyed.multi_get_as_of(rows(VERSIONS, HISTORY), asked, 30).orderBy("pos").collect()
+    assert [r.value for r in found] == ["green", "seven", None]
 
 
 def test_a_key_asked_for_very_often(rows):
@@ -233,22 +235,22 @@ def test_scans(rows):
 
 
 def test_change_batches(rows):
-    table = rows([("key2", "foo")], "key string, value string")
-    ops = rows([(1, "key1", "val0", False), (2, "key1", "val1", False), (3, "key2", None, True)],
+    table = rows([("gone", "old"), ("kept", "same")], "key string, value string")
+    ops = rows([(7, "made", "one", False), (9, "made", "two", False), (8, "gone", None, True)],
                "seq int, key string, value string, is_delete boolean")
     after = keyed.apply_changes(table, ops)
-    assert [(r.key, r.value) for r in after.collect()] == [("key1", "val1")]
-    assert keyed.delete_range(after, "key1", "key2").count() == 0
-    assert keyed.delete_range(after, "key2", "key9").count() == 1
-    assert keyed.delete_keys(after, rows([("key1",)], "key string")).count() == 0
+    assert sorted((r.key, r.value) for r in after.collect()) == [("kept", "same"), ("made", "two")]
+    assert [r.key for r in keyed.delete_range(after, "ka", "ma").collect()] == ["made"]
+    assert keyed.delete_range(after, "x", "z").count() == 2
+    assert [r.key for r in keyed.delete_keys(after, rows([("made",)], "key string")).collect()] == ["kept"]
 
 
 def test_merges(rows):
-    base = rows([("hello", "foo")], "key string, value string")
-    ops = rows([(2, "hello", "baz"), (1, "hello", "bar"), (1, "new", "x")],
+    base = rows([("seen", "a.com,")], "key string, value string")
+    ops = rows([(30, "seen", "c.com"), (4, "seen", "b.com,"), (1, "first", "z.com")],
                "seq int, key string, value string")
     got = {r.key: r.value for r in keyed.append_by_key(base, ops).collect()}
-    assert got == {"hello": "foobarbaz", "new": "x"}
+    assert got == {"seen": "a.com,b.com,c.com", "first": "z.com"}
     many = rows([(i, "k", f"{i};") for i in range(100)], "seq int, key string, value string")
     far = many.unionByName(rows([(10**12, "k", "end;")], "seq int, key string, value string".replace("int", "bigint", 1)))
     parts = keyed.append_by_key(base.limit(0), far, runs=10).orderBy("part").collect()
@@ -260,11 +262,11 @@ def test_merges(rows):
 
 
 def test_retention_and_changes(rows):
-    table = rows([("change", "old"), ("delete", "new")], "key string, value string")
-    kept = keyed.retain(table, F.col("key") != "delete", {"value": F.lit("new")})
-    assert [(r.key, r.value) for r in kept.collect()] == [("change", "new")]
+    table = rows([("stay", "v1"), ("drop", "v9")], "key string, value string")
+    kept = keyed.retain(table, F.col("key") != "drop", {"value": F.upper("value")})
+    assert [(r.key, r.value) for r in kept.collect()] == [("stay", "V1")]
     seen = rows([(0,), (10,), (90,)], "last_seen bigint")
     assert [r[0] for r in keyed.expire(seen, 100, 50).collect()] == [0, 90]
-    new = rows([("change", "new"), ("added", None)], "key string, value string")
+    new = rows([("stay", "v2"), ("born", None)], "key string, value string")
     got = {r.key: (r.op, r.value) for r in keyed.changes_since(table, new).collect()}
-    assert got == {"change": ("update", "new"), "delete": ("delete", None), "added": ("insert", None)}
+    assert got == {"stay": ("update", "v2"), "drop": ("delete", None), "born": ("insert", None)}
