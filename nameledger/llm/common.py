@@ -42,8 +42,11 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[tuple]], schema: str) -> DataFrame:
-    """Streams each partition through ``rows``: column lists of a batch in, tuples out, in Arrow batches."""
+def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[tuple]], schema: str, at_once: int | None = None) -> DataFrame:
+    """Streams each partition through ``rows``: column lists of a batch in, tuples out, in Arrow batches.
+
+    ``at_once`` bounds the rows taken from a batch and given out at a time, for rows of many kilobytes.
+    """
     kind = StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,12 +57,26 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[tuple]], s
             columns = zip(*held, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-        for row in rows(b.to_pydict() for b in batches):
+        parts = batches if at_once is None else (b.slice(i, at_once) for b in batches for i in range(0, b.num_rows, at_once))
+        for row in rows(b.to_pydict() for b in parts):
             held.append(row)
-            if len(held) >= ROWS_OUT:
+            if len(held) >= (at_once or ROWS_OUT):
                 yield batch()
                 held = []
         if held:
             yield batch()
 
     return df.mapInArrow(run, kind)
+
+
+def most_frequent(words: DataFrame, count: int, slots: int = 64) -> list[tuple[object, int]]:
+    """The about ``count`` most frequent values of the column ``word`` and their estimated counts, most frequent first.
+
+    Every row is counted, by sketches of bounded size. A value belongs to one of ``slots`` by its hash, and each slot's
+    sketches are merged in a task of its own; the driver gets some values per slot.
+    """
+    per_slot = max(8, 4 * count // slots)
+    slot = F.pmod(F.xxhash64("word"), F.lit(slots)).alias("slot")
+    top = F.expr(f"approx_top_k(word, {per_slot}, {max(512, 8 * per_slot)})").alias("top")
+    found = [x for row in words.where("word IS NOT NULL").groupBy(slot).agg(top).collect() for x in row["top"] or []]
+    return sorted(((x["item"], x["count"]) for x in found), key=lambda x: (-x[1], x[0]))[:count]

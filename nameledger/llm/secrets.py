@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nameledger.functions.text import let
-from nameledger.llm.common import words_of, written
+from nameledger.llm.common import most_frequent, words_of, written
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*[0-9])(?=[0-9+/_=\-]*[A-Za-z])[A-Za-z0-9+/_=\-]{16,}"
 BEFORE, AFTER = 64, 24
@@ -23,7 +23,7 @@ MASK = "[SECRET]"
 TREES, DEPTH, SEED = 20, 6, 11
 #: Rows of each kind of labelled finding made for training, and the most frequent words kept as a dictionary.
 EXAMPLES = 150
-DICTIONARY, SKETCHED_WORDS = 2_000, 20_000
+DICTIONARY = 2_000
 
 KEY_WORDS = "token|secret|password|passwd|pwd|api.?key|access.?key|private.?key|auth|bearer|credential"
 PLAIN_WORDS = "commit|revision|sha|md5|checksum|digest|hash|etag|build|version|uuid|guid|session.?id|order|page|image|href|src"
@@ -38,8 +38,7 @@ def dictionary(docs: DataFrame) -> list[str]:
     """The most frequent words of three letters or more of all texts, in lower case: a list of bounded length."""
     words = docs.select(F.explode(words_of(F.col("text"))).alias("word")).where("length(word) >= 3")
     bare = words.select(F.lower(F.regexp_replace("word", r"[^\p{L}]", "")).alias("word"))
-    found = bare.agg(F.expr(f"approx_top_k(word, {DICTIONARY}, {SKETCHED_WORDS})").alias("top")).first()["top"] or []
-    return sorted(x["item"] for x in found if len(x["item"]) >= 3)
+    return sorted(word for word, _ in most_frequent(bare.where("length(word) >= 3"), DICTIONARY))
 
 
 def with_features(findings: DataFrame, known: list[str]) -> DataFrame:
