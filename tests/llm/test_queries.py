@@ -21,7 +21,7 @@ def in_order(columns, rows):
 def test_query(spark, name):
     got = QUERIES[name](spark, SF_DIR)
     rows = [tuple(r) for r in got.collect()]
-    assert rows
+    assert rows or name == "op10_secrets"  # the smallest documents hold no candidate
     if name in ORACLES:
         con = duckdb.connect()
         for file in Path(SF_DIR).glob("*.parquet"):
