@@ -6,8 +6,8 @@ few of each (prefix filter), so those words are the join's keys. Where such a wo
 a key only together with a second word of a prefix longer by one, which two similar sets share as well. Lengths, the
 places of the shared word and two 64-bit parity vectors rule out most pairs before words are compared.
 
-Families of many similar classes are not expanded into all pairs: every class meets the most frequent class of its
-keys first, and only classes that have found no earlier match there are joined with all others.
+Families of many similar classes are not expanded into all pairs: a class that may match the most frequent class of
+one of its keys meets that first, and is joined with all others only if it found no earlier match there.
 """
 
 from __future__ import annotations
@@ -16,12 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nameledger.functions.text import let
-from nameledger.llm.common import words_of, written
+from nameledger.llm.common import most_frequent, words_of, written
 
 LEAST_WORDS = 5
 #: A similarity of 0.8 in whole numbers: WHOLE * shared >= PART * united.
 PART, WHOLE = 4, 5
-SKETCHED_WORDS = 20_000
 TIERS = (3_000, 300, 30)
 TIER_BIT = 60
 #: A table of used slots is broadcast to find candidates' lines again: at most this many numbers, whatever the input.
@@ -33,10 +32,9 @@ def word_hashes(line: Column) -> Column:
 
 
 def frequent_words(docs: DataFrame) -> list[list[int]]:
-    """Hashes of the most frequent words of all texts, by tier, from a sketch of bounded size that sees every word."""
+    """Hashes of the most frequent words of all texts, by tier, from sketches that see every word."""
     hashed = docs.select(F.explode(word_hashes(F.coalesce("text", F.lit("")))).alias("word"))
-    found = hashed.agg(F.expr(f"approx_top_k(word, {TIERS[0]}, {SKETCHED_WORDS})").alias("top")).first()["top"] or []
-    words = [x["item"] for x in sorted(found, key=lambda x: (-x["count"], x["item"])) if x["count"] > 1]
+    words = [word for word, count in most_frequent(hashed, TIERS[0]) if count > 1]
     return [words[end:start] for start, end in zip(TIERS, [*TIERS[1:], 0], strict=True)]
 
 
@@ -87,16 +85,14 @@ def parity(seed: int) -> Column:
     return F.expr(f"aggregate(tokens, 0L, (a, x) -> a ^ shiftleft(1L, {shift}))")
 
 
-def possible(a: str, b: str) -> Column:
-    """False only for pairs that cannot reach the similarity: by length, place in the prefix and parity."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    needed = F.ceil((na + nb) * PART / (PART + WHOLE))
-    reachable = F.least(na - F.col(f"{a}.at"), nb - F.col(f"{b}.at"))  # if the key's word is the first they share
-    apart = F.bit_count(F.col(f"{a}.odd").bitwiseXOR(F.col(f"{b}.odd"))), F.bit_count(F.col(f"{a}.even").bitwiseXOR(F.col(f"{b}.even")))
-    return (
-        (na * WHOLE >= nb * PART) & (nb * WHOLE >= na * PART) & (reachable >= needed)
-        & (F.greatest(*apart) <= na + nb - 2 * needed)
-    )
+def possible(a: Column, b: Column) -> Column:
+    """False only for pairs (n, at, odd, even) that cannot reach the similarity: by length, place in the prefix and
+    parity."""
+    needed = F.ceil((a["n"] + b["n"]) * PART / (PART + WHOLE))
+    reachable = F.least(a["n"] - a["at"], b["n"] - b["at"])  # if the key's word is the first they share
+    apart = F.greatest(*[F.bit_count(a[c].bitwiseXOR(b[c])) for c in ("odd", "even")])
+    lengths = (a["n"] * WHOLE >= b["n"] * PART) & (b["n"] * WHOLE >= a["n"] * PART)
+    return lengths & (reachable >= needed) & (apart <= a["n"] + b["n"] - 2 * needed)
 
 
 def matched(pairs: DataFrame, docs: DataFrame, tiers: list[list[int]], classes: DataFrame) -> DataFrame:
@@ -135,33 +131,45 @@ def line_decisions(docs: DataFrame) -> DataFrame:
         "lines",
     )
     classes = written(
-        lines.where(F.col("n") >= LEAST_WORDS)
-        .groupBy("one", "two")
-        .agg(F.min(place).alias("first"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "odd", "even", "keys")]),
+        lines.where(F.col("n") >= LEAST_WORDS).groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("copies")),
         "line-classes",
     )
-    entries = classes.select("one", "two", F.col("first.doc").alias("doc"), "copies", "n", "odd", "even", F.inline("keys"))
-    leaders = (
-        entries.groupBy("key")
-        .agg(F.count("*").alias("members"), F.max(F.struct("copies", "one", "n", "at", "odd", "even")).alias("lead"))
-        .where("members > 1")
-        .select("key", "lead.*")
-    )
-    star = (
-        entries.alias("a").join(leaders.alias("b"), "key")
-        .where((F.col("a.one") != F.col("b.one")) & possible("a", "b"))
-        .select(F.col("a.one").alias("a"), F.col("b.one").alias("b")).distinct()
+
+    def entries() -> DataFrame:
+        """A row for each key of each class, from the class's first line."""
+        firsts = lines.where(F.col("n") >= LEAST_WORDS).join(classes, ["one", "two"]).where(place == F.col("first"))
+        return firsts.select("one", F.col("first.doc").alias("doc"), "copies", "n", "odd", "even", F.inline("keys"))
+
+    # keys of one class alone go first; what is left is dealt by key once, for the leaders and for both joins
+    repeated = entries().select("key").groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    members = entries().join(repeated, "key", "left_semi")
+    leaders = members.groupBy("key").agg(F.max(F.struct("copies", "one", "n", "at", "odd", "even")).alias("lead"))
+    def marks(of: str) -> Column:
+        return F.struct(*[F.col(f"{of}.{c}").alias(c) for c in ("n", "at", "odd", "even")])
+
+    with_lead = (F.col("m.one") != F.col("lead.one")) & possible(marks("m"), F.col("lead"))
+    led = members.alias("m").join(leaders, "key").select("m.*", "lead", with_lead.alias("with_lead"))
+    # a line that may match its key's leader meets it first; one that may not, and the leader, meet the others at once;
+    # both sides of that join are the same rows, dealt once
+    earlier = (F.col("m.one") != F.col("o.one")) & (F.col("o.doc") <= F.col("m.doc")) & possible(marks("m"), marks("o"))
+    direct = (
+        led.where(~F.col("with_lead")).alias("m").join(members.alias("o"), F.col("m.key") == F.col("o.key"))
+        .where(earlier).select(F.col("m.one").alias("a"), F.col("o.one").alias("b"), F.lit(False).alias("lead"))
     )
-    settled = written(matched(star, docs, tiers, classes), "settled")
-    # a class that is alone under all its keys has no match; one that is settled needs no other
-    shared = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    open_ones = entries.join(settled, ["one", "two"], "left_anti").join(shared, "key", "left_semi")
+    star = led.where("with_lead").select(F.col("one").alias("a"), F.col("lead.one").alias("b"), F.lit(True).alias("lead"))
+    pairs = written(star.unionByName(direct).groupBy("a", "b").agg(F.max("lead").alias("lead")), "pairs")
+    settled = written(matched(pairs.select("a", "b"), docs, tiers, classes), "settled")
+    # those that the leader did not settle meet all others too: of the entries, only what shares a key with them
+    waiting = pairs.where("lead").select(F.col("a").alias("one")).distinct().join(settled.select("one"), "one", "left_anti")
+    late = written(entries().join(waiting, "one", "left_semi"), "late-entries")
+    slots = late.select(F.pmod("key", F.lit(SLOTS)).alias("slot")).distinct()
+    near = entries().withColumn("slot", F.pmod("key", F.lit(SLOTS))).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
     rest = (
-        open_ones.alias("a").join(entries.alias("b"), "key")
-        .where((F.col("a.one") != F.col("b.one")) & (F.col("b.doc") <= F.col("a.doc")) & possible("a", "b"))
-        .select(F.col("a.one").alias("a"), F.col("b.one").alias("b")).distinct()
+        late.alias("m").join(near.alias("o"), F.col("m.key") == F.col("o.key"))
+        .where(earlier).select(F.col("m.one").alias("a"), F.col("o.one").alias("b")).distinct()
     )
-    gone = settled.unionByName(matched(rest, docs, tiers, classes)).withColumn("gone", F.lit(True))
+    rest = rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    gone = settled.unionByName(matched(rest, docs, tiers, classes)).distinct().withColumn("gone", F.lit(True))
     named = classes.select("one", "two", "first").join(gone, ["one", "two"], "left")
     decided = lines.select("doc_id", "text_hash", "line_no", "one", "two", place.alias("place")).join(named, ["one", "two"], "left")
     removed = F.coalesce((F.col("place") > F.col("first")) | F.col("gone"), F.lit(False))
