@@ -25,15 +25,20 @@ BUDGET = 2
 PAIRS_AT_ONCE = 1 << 18
 
 
-def fingerprint(text: str, width: int = WIDTH) -> int:
-    """64 bits, each set if it is set in over half of the shingles' XXH64 hashes; no words: zero."""
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """XXH64 of each run of ``width`` words, or of all words if there are fewer; none without words."""
     from xxhash import xxh64_intdigest
 
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z change, only ASCII space splits
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     shingles = [b" ".join(words)] if len(words) < width else map(b" ".join, zip(*(words[i:] for i in range(width))))
-    hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in shingles), dtype="<u8")
+    return np.fromiter((xxh64_intdigest(s, SEED) for s in shingles), dtype="<u8")
+
+
+def fingerprint(text: str, width: int = WIDTH) -> int:
+    """64 bits, each set if it is set in over half of the shingles' XXH64 hashes; no words: zero."""
+    hashes = shingle_hashes(text, width)
     total = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         total += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -194,6 +199,12 @@ def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     last = F.lit((1 << 63) - 1)
     least_of = marked.groupBy("fp").agg(F.min(F.struct(F.coalesce("doc_id", last).alias("__id"), F.col("text_hash").alias("__hash"))).alias("row"))
     stay = fingerprint_groups(marked).join(least_of, "fp").groupBy("part").agg(F.min("row").alias("row")).select("row.*")
+    return kept_rows(docs, stay)
+
+
+def kept_rows(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each (__id, __hash) of ``stay``: doc_id, null as the greatest number, and hash of the text."""
+    last = F.lit((1 << 63) - 1)
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), last).alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__hash"), F.struct("*").alias("__row")
     )
