@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity self-join, in built-in functions.
 
-A line is the set of its words. Lines with equal sets are one class, found by grouping alone. Words are ordered by
-rarity, counted over all lines; two sets with a Jaccard similarity of 0.8 share a word among the rarest
+A line is the set of its words. Lines with equal sets are one class, found by grouping alone, however short they are. Words
+are ordered by rarity, counted over all lines; two sets with a Jaccard similarity of 0.8 share a word among the rarest
 few of each (prefix filter), so those words are the join's keys. Where such a word is one of the frequent ones, it is
 a key only together with a second word of a prefix longer by one, which two similar sets share as well. Lengths, the
 places of the shared word and two 64-bit parity vectors rule out most pairs before words are compared.
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from nameledger.functions.text import let
 from nameledger.llm.common import most_frequent, words_of, written
 
-LEAST_WORDS = 5
+#: Sets of fewer words are similar by 0.8 only if they are equal; four words and a fifth are similar.
+LEAST_WORDS = 4
 #: A similarity of 0.8 in whole numbers: WHOLE * shared >= PART * united.
 PART, WHOLE = 4, 5
 TIERS = (3_000, 300, 30)
@@ -119,19 +120,20 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no and removed of every line.
 
     A line is removed if an earlier one, in the order of doc_id, text and place, is similar by
-    0.8 or more or has the same words. Lines of fewer than ``LEAST_WORDS`` different words are left alone, blank ones
-    too. Null texts are one empty line; null ids come last; rows with equal id and text count once, as the same lines.
+    0.8 or more or has the same words. Blank lines are left alone. Null texts are one empty line;
+    null ids come last; rows with equal id and text count once, as the same lines.
     """
     tiers = frequent_words(docs)
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "text_hash", "line_no")
     lines = written(
         with_sets(docs, tiers).select(
-            "doc_id", "text_hash", "line_no", "n", "one", "two", parity(0).alias("odd"), parity(1).alias("even"), prefix_keys().alias("keys")
+            "doc_id", "text_hash", "line_no", "n", "one", "two", parity(0).alias("odd"), parity(1).alias("even"),
+            F.when(F.col("n") >= LEAST_WORDS, prefix_keys()).alias("keys"),
         ),
         "lines",
     )
     classes = written(
-        lines.where(F.col("n") >= LEAST_WORDS).groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("copies")),
+        lines.where("n > 0").groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("copies")),
         "line-classes",
     )
 

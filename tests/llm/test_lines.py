@@ -63,3 +63,22 @@ def test_texts_without_their_removed_lines(rows):
 
 def test_no_documents(rows):
     assert dedup_report(rows([], SCHEMA)).count() == 0 and drop_repeated_lines(rows([], SCHEMA)).count() == 0
+
+
+def test_short_lines_go_too(rows):
+    """Lines of fewer than five words: equal sets, within a document too, and four words beside the same and a fifth."""
+    draw = random.Random(5)
+    words = ["All", "rights", "reserved.", "And", "ornd.", "x", "y"]
+    data = [(i, "\n".join(" ".join(draw.choices(words, k=draw.randint(0, 6))) for _ in range(3))) for i in range(25)]
+    data += [(40, "one\none\n\n\ntwo one\none two"), (41, "one"), (42, "a b c\na b c d"), (43, "a b c d e\nb c d e"), (None, "one\nlast")]
+    seen, want = [], {}
+    for doc, text in sorted(data, key=lambda x: x[0] if x[0] is not None else 1 << 63):
+        sets = [frozenset(line.split()) for line in text.split("\n")]
+        gone = []
+        for at, found in enumerate(sets):
+            if found and any(5 * len(found & s) >= 4 * len(found | s) for s in seen):
+                gone.append(at)
+            seen.append(found)
+        want[doc] = gone
+    got = {r.doc_id: r.removed_lines for r in dedup_report(rows([(d, t, 1, "x", 2, "y") for d, t in data], SCHEMA)).collect()}
+    assert got == want and got[40] == [1, 5] and got[43] == [0, 1] and got[None] == [0]
