@@ -13,9 +13,12 @@ from nameledger.llm.lines import dedup_report
 from nameledger.llm.packing import pack_documents
 from nameledger.llm import quality
 from nameledger.llm.quality import judge
+from nameledger.llm.repair import damaged, repair_report
 from nameledger.llm.repeats import remove_repeats
 from nameledger.llm.secrets import scan
 from nameledger.llm.simhash import near_groups
+from nameledger.llm.spelling import group_variants, run_counts
+from nameledger.llm import urls
 from nameledger.llm.warc import archive_pages
 from nameledger.llm.winnowing import fingerprint_documents
 
@@ -136,6 +139,48 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).select(*columns)
 
 
+#: No table has a list of blocked URLs: it is made of the pages on hosts named so.
+LISTED_HOSTS = "casino|free-bets|ads-track|spam-farm|cheap-pills|adult"
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules and by a list of URLs."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(urls.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
+    return urls.judge_urls(pages, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op11_sql() -> str:
+    def part(i: int) -> str:
+        return f"regexp_extract(coalesce(url, ''), '{urls.PARTS}', {i})"
+
+    def fits(host: str, path: str) -> str:
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+    rules = sorted(urls.RULES, key=lambda r: -len(r[1] + r[2]))
+    rule = " ".join(f"WHEN {fits(h, p)} THEN '{h + p}'" for _, h, p in rules)
+    verdict = " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in rules)
+    return rf"""
+WITH told AS (SELECT page_id, url, translate({part(1)}, '{urls.UPPER}', '{urls.LOWER}') AS host, {part(2)} AS path,
+  list_sort(list_filter(string_split({part(3)}, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '{urls.TRACKING}'))) AS asked FROM pages),
+named AS (SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(host, '{urls.NOT_IN_FRONT}', ''), '{urls.NOT_BEHIND}', '')
+  || regexp_replace(path, '{urls.NOT_IN_PATH}', '') || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END END AS canonical FROM told)
+SELECT page_id, host, path, CASE {rule} END AS rule, CASE {verdict}
+  WHEN canonical <> '' AND canonical IN (SELECT canonical FROM named WHERE canonical IS NOT NULL AND regexp_matches(host, '{LISTED_HOSTS}')) THEN 'block'
+  ELSE 'allow' END AS verdict FROM named
+"""
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired by the cheapest edits."""
+    return repair_report(damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the documents with the form and the root it is a variant of."""
+    return group_variants(run_counts(table(spark, sf_dir, "documents"), damage=True))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -147,10 +192,14 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
+    "op11_urls": op11_urls,
+    "op12_repair": op12_repair,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc": OP2_SQL,
     "op4_quality": _op4_sql(),
     "op9_chat": OP9_SQL,
+    "op11_urls": _op11_sql(),
 }
