@@ -3,9 +3,10 @@
 A range table is prepared once. Each range is filed, cut to size, under aligned blocks of the address space: those of the
 level, eight bits apart from the next, at which its two ends part. So a block holds ranges of about its own size only,
 at most some twenty unless they overlap, whatever wider or narrower ranges surround it. Overlaps within a block are
-settled there; those between levels are settled at lookup, where the greatest start wins. The lookup is one equi-join
-per level in use, with the range test as its condition; it does not fan out, and while the range table is small
-enough to broadcast, the address side is not shuffled.
+settled there; those between levels are settled at lookup, where the greatest start wins. While the range table is
+small enough to broadcast, the lookup is one equi-join per level in use, with the range test as its condition; it does
+not fan out and the address side is not shuffled. Beyond that, addresses and pieces of all levels and both IP versions go
+through one exchange together, and the last piece of each level is carried forward to the addresses behind it.
 """
 
 from dataclasses import dataclass
@@ -16,11 +17,11 @@ from pyspark.sql import functions as F
 
 from nameledger.functions.ip import lookup_v4, lookup_v6
 from nameledger.functions.text import non_empty, once
+from nameledger.operators.predecessor import carry_forward, deal
 
 BROADCAST_BYTES = 256 << 20
 #: What a broadcast row takes besides its text.
 _ROW_BYTES = 96
-_UNMATCHED_SLOTS = 4096
 
 
 @dataclass(frozen=True)
@@ -64,10 +65,13 @@ class _Space:
             return block * size, block * size + size - 1
         return F.unhex(F.rpad(block, 32, "0")), F.unhex(F.rpad(block, 32, "F"))
 
-    def nowhere(self, ip: str) -> Column:
-        """A block no range is in, one of many, for addresses of the other version."""
-        slot = -1 - F.pmod(F.xxhash64(ip), F.lit(_UNMATCHED_SLOTS))
-        return slot if self.width == 32 else slot.cast("string")
+    def ordered(self, address: Column) -> Column:
+        """The address as bytes in numeric order."""
+        return F.unhex(F.lpad(F.hex(address), 8, F.lit("0"))) if self.width == 32 else address
+
+    def dealing_key(self, address: Column) -> Column:
+        """A number to deal addresses by: the address itself, or its leading 60 bits."""
+        return address if self.width == 32 else F.conv(F.left(F.hex(address), F.lit(15)), 16, 10).cast("bigint")
 
     def step(self, address: Column, by: int) -> Column:
         return address + by if self.width == 32 else _step_bytes16(address, by)
@@ -192,12 +196,9 @@ def _facts(pieces: DataFrame) -> Row:
     ).first()
 
 
-def _geo_columns(
-    df: DataFrame, table: GeoTable, ip: str, broadcast_bytes: int
-) -> tuple[DataFrame, list[str]]:
-    """Adds a struct column per level, the finest first, null where nothing covers the address."""
+def _geo_columns(df: DataFrame, table: GeoTable, ip: str) -> tuple[DataFrame, list[str]]:
+    """Adds a struct column per level, the finest first, null where nothing covers the address; ranges are broadcast."""
     space, v = _SPACES[table.version], table.version
-    small = table.size <= broadcast_bytes
     out, hits = once(df, f"_ip{v}", space.number(ip)), []
     for level in table.levels:
         hit = f"_geo{v}_{level}"
@@ -207,22 +208,59 @@ def _geo_columns(
             F.col("end").alias("_end"),
             F.struct("from", "upto", "country", "city").alias(hit),
         )
-        block = space.block(F.col(f"_ip{v}"), level)
-        if not small:
-            # Addresses of the other version match nothing; keep them from meeting in one task.
-            block = F.coalesce(block, space.nowhere(ip))
-        keyed = out.withColumn("_key", block)
+        keyed = out.withColumn("_key", space.block(F.col(f"_ip{v}"), level))
         covered = (
             (keyed["_key"] == ranges["_block"])
             & (keyed[f"_ip{v}"] >= ranges["_start"])
             & (keyed[f"_ip{v}"] <= ranges["_end"])
         )
-        joined = keyed.join(F.broadcast(ranges) if small else ranges, covered, "left")
+        joined = keyed.join(F.broadcast(ranges), covered, "left")
         out = joined.drop("_key", "_block", "_start", "_end")
         hits.append(hit)
     return out.drop(f"_ip{v}"), hits
 
 
+def _carried(df: DataFrame, tables: list[GeoTable], ip: str) -> DataFrame:
+    """Adds ``_place``, the struct of the range that holds each address, however large the tables: one exchange of ``df``."""
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(tables))
+    points = df
+    for t in tables:
+        points = once(points, f"_ip{t.version}", _SPACES[t.version].number(ip))
+    keys = [_SPACES[t.version].dealing_key(F.col(f"_ip{t.version}")) for t in tables]
+    dealt = deal(points, keys, parts)
+    parts = max(parts, dealt[-1].first + len(dealt[-1].bounds) + 1)
+
+    spread = F.monotonically_increasing_id()
+    part = F.pmod(spread, F.lit(parts)).cast("int")  # text that is no address meets nothing anywhere
+    at = F.lit(None).cast("binary")
+    pieces = None
+    for t, key, mine in zip(tables, keys, dealt, strict=True):
+        space, number = _SPACES[t.version], F.col(f"_ip{t.version}")
+        first, last = mine.of(key), mine.of(key, last=True)
+        part = F.when(number.isNotNull(), (first + F.pmod(spread, last - first + 1)).cast("int")).otherwise(part)
+        at = F.when(number.isNotNull(), space.ordered(number)).otherwise(at)
+        low, high = mine.of(space.dealing_key(F.col("start"))), mine.of(space.dealing_key(F.col("end")), last=True)
+        slot = F.array_position(F.array(*[F.lit(x) for x in t.levels]), F.col("level")) - 1
+        ends = [space.ordered(F.col(c)).alias(c) for c in ("end", "from", "upto")]
+        sent = t.pieces.select(
+            F.explode(F.sequence(low, high).cast("array<int>")).alias("part"),
+            space.ordered(F.col("start")).alias("at"),
+            F.struct(slot.alias("slot"), *ends, "country", "city").alias("range"),
+        )
+        pieces = sent if pieces is None else pieces.unionByName(sent)
+    rows = points.select(part.alias("part"), at.alias("at"), F.struct(*df.columns).alias("row"))
+    slots = max(len(t.levels) for t in tables)
+    held = carry_forward(rows, pieces, parts, slots)
+    hits = [F.when(F.col(f"slot{i}")["end"] >= F.col("at"), F.col(f"slot{i}")) for i in range(slots)]
+    # each is needed by name: the choice compares them with one another
+    named = held.select("row", *[h.alias(f"hit{i}") for i, h in enumerate(hits)])
+    place = _best([F.col(f"hit{i}") for i in range(slots)])
+    found = F.coalesce(*[F.col(f"hit{i}") for i in range(slots)]).isNotNull()
+    chosen = F.when(found, F.struct(place["country"].alias("country"), place["city"].alias("city")))
+    return named.select("row.*", chosen.alias("_place"))
+
+
 def _best(hits: list[Column]) -> Column:
     """Of the levels' hits, the one with the greatest start, and of equal starts the one that ends first."""
     best = hits[0]
@@ -245,19 +283,25 @@ def geo_join(
     ``broadcast_bytes`` bounds what all levels of a table together may broadcast.
     """
     base = df.drop("country", "city")
-    out, found = base, []
+    out, found, large = base, [], []
     for version, table in ((4, v4), (6, v6)):
         if table is None:
             continue
         if isinstance(table, DataFrame):
             table = prepare_geo(table, version)
-        out, added = _geo_columns(out, table, ip, broadcast_bytes)
+        if table.levels and table.size > broadcast_bytes:
+            large.append(table)
+            continue
+        out, added = _geo_columns(out, table, ip)
         if added:
             name = f"_best{version}"
             place = _best([F.col(h) for h in added])
             chosen = F.struct(place["country"].alias("country"), place["city"].alias("city"))
             out = out.withColumn(name, F.when(F.coalesce(*added).isNotNull(), chosen)).drop(*added)
             found.append(name)
+    if large:
+        out = _carried(out, large, ip)
+        found.append("_place")
     if not found:
         none = F.lit(None).cast("string")
         return base.withColumns({"country": none, "city": none})

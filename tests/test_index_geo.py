@@ -1,10 +1,13 @@
 import ipaddress
 import random
 import uuid
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from nameledger.operators import geo, index, lookup, rollups
+from nameledger.functions import ip
+from nameledger.operators import geo, index, lookup, predecessor, rollups
 from nameledger.session import shared_dir
 from nameledger.sources import geo as geo_files
 from nameledger.sources import intel as intel_files
@@ -109,15 +112,15 @@ def places(df):
 
 @pytest.mark.parametrize("broadcast_bytes", [10**6, 0])
 def test_geo_hits_and_misses(rows, broadcast_bytes):
-    v4 = rows([(n("10.0.0.0"), n("10.0.0.255"), "TC4", "TestCity4"), (n("10.0.2.0"), n("10.0.3.9"), "X", ""),
+    v4 = rows([(n("10.0.0.0"), n("10.0.0.255"), "NL", "Delft"), (n("10.0.2.0"), n("10.0.3.9"), "X", ""),
                (9, 5, "BAD", "")], GEO4)
-    v6 = rows([(b("2001:db8::"), b("2001:db8::ff"), "TC6", "TestCity6")], GEO6)
-    ips = ["10.0.0.42", "10.0.0.0", "10.0.0.255", "10.0.1.0", "9.255.255.255", "10.0.3.9", "10.0.3.10",
-           "192.0.2.1", "::ffff:10.0.0.42", "2001:db8::1", "2001:db8::ff", "2001:db8::100",
-           "2001:db8:ffff::1", "not-an-ip", " 10.0.0.42"]
+    v6 = rows([(b("2001:db8::"), b("2001:db8::ff"), "SE", "Lund")], GEO6)
+    ips = ["10.0.0.77", "10.0.0.0", "10.0.0.255", "10.0.1.0", "9.255.255.255", "10.0.3.9", "10.0.3.10",
+           "192.0.2.1", "::ffff:10.0.0.77", "2001:db8::1", "2001:db8::ff", "2001:db8::100",
+           "2001:db8:ffff::1", "not-an-ip", " 10.0.0.77"]
     df = rows([(i,) for i in ips], "ip string")
     got = places(geo.geo_join(df, v4, v6, broadcast_bytes=broadcast_bytes))
-    t4, t6, none = ("TC4", "TestCity4"), ("TC6", "TestCity6"), (None, None)
+    t4, t6, none = ("NL", "Delft"), ("SE", "Lund"), (None, None)
     want = [t4, t4, t4, none, none, ("X", None), none, none, t4, t6, t6, none, none, none, t4]
     assert [got[i] for i in ips] == want
     assert set(places(geo.geo_join(df)).values()) == {none}
@@ -130,7 +133,8 @@ def brute(number, ranges):
     return (best[2] or None, best[3] or None) if best else (None, None)
 
 
-def test_overlapping_ranges_against_brute_force(rows):
+@pytest.mark.parametrize("broadcast_bytes", [10**8, 0])
+def test_overlapping_ranges_against_brute_force(rows, broadcast_bytes):
     rng = random.Random(5)
     ranges = [(0, 2**32 - 1, "ALL", ""), (5, 5, "S1", ""), (5, 9, "S2", "")]
     for i in range(120):
@@ -141,11 +145,12 @@ def test_overlapping_ranges_against_brute_force(rows):
     for r in ranges:
         numbers |= {r[0], r[1], max(r[0] - 1, 0), min(r[1] + 1, 2**32 - 1), (r[0] + r[1]) // 2}
     ips = [str(ipaddress.IPv4Address(i)) for i in numbers]
-    got = places(geo.geo_join(rows([(i,) for i in ips], "ip string"), v4=rows(ranges, GEO4)))
+    got = places(geo.geo_join(rows([(i,) for i in ips], "ip string"), v4=rows(ranges, GEO4), broadcast_bytes=broadcast_bytes))
     assert got == {i: brute(n(i), ranges) for i in ips}
 
 
-def test_ipv6_ranges_of_all_widths_against_brute_force(rows):
+@pytest.mark.parametrize("broadcast_bytes", [10**8, 0])
+def test_ipv6_ranges_of_all_widths_against_brute_force(rows, broadcast_bytes):
     rng = random.Random(6)
     base, top = n("2001:db8::"), 2**128 - 1
     ranges = [(top, top, "top", ""), (top - 2**64 - 5, top - 2**64 + 5, "mid", "")]
@@ -156,7 +161,7 @@ def test_ipv6_ranges_of_all_widths_against_brute_force(rows):
     numbers = {v for r in ranges for v in (r[0], r[1], r[0] - 1, min(r[1] + 1, top), (r[0] + r[1]) // 2)}
     ips = [str(ipaddress.IPv6Address(i)) for i in numbers]
     table = rows([(s.to_bytes(16, "big"), e.to_bytes(16, "big"), c, t) for s, e, c, t in ranges], GEO6)
-    got = places(geo.geo_join(rows([(i,) for i in ips], "ip string"), v6=table))
+    got = places(geo.geo_join(rows([(i,) for i in ips], "ip string"), v6=table, broadcast_bytes=broadcast_bytes))
     assert got == {i: brute(n(i), ranges) for i in ips}
 
 
@@ -175,8 +180,68 @@ def test_narrow_ranges_in_wide_ones_stay_apart(rows, version):
     numbers = {base + i * gap + d for i in (0, 1, 39, 41, 2999) for d in (0, 2, gap // 2, gap // 2 + 1)} | {base - 1, base + 3000 * gap}
     ips = [str((ipaddress.IPv4Address if width == 32 else ipaddress.IPv6Address)(i)) for i in numbers]
     kind = {"v4": table} if version == 4 else {"v6": table}
-    got = places(geo.geo_join(rows([(i,) for i in ips], "ip string"), **kind))
-    assert got == {i: brute(n(i), ranges) for i in ips}
+    for broadcast_bytes in (10**8, 0):
+        got = places(geo.geo_join(rows([(i,) for i in ips], "ip string"), **kind, broadcast_bytes=broadcast_bytes))
+        assert got == {i: brute(n(i), ranges) for i in ips}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 70])
+def test_carried_ranges_with_hot_addresses_and_bounds(spark, rows, parts):
+    """Both versions at once: a hot address, ranges that start, end or lie at the bounds, and text that is no address."""
+    draw = random.Random(parts)
+    four = [(0, 2**32 - 1, "all", ""), (n("9.9.9.9"), n("9.9.9.9"), "one", ""), (n("9.9.0.0"), n("9.9.255.255"), "wide", "")]
+    four += [(i * 2**24 + 7, i * 2**24 + draw.choice([7, 900, 2**23]), f"c{i}", "t") for i in range(200)]
+    base = n("2001:db8::")
+    six = [(base, base + 2**90, "wide6", ""), (base + 5, base + 5, "one6", "")]
+    six += [(base + i * 2**80, base + i * 2**80 + draw.choice([0, 2**20, 2**79]), f"s{i}", "") for i in range(150)]
+    ips = ["9.9.9.9"] * 900 + ["2001:db8::5"] * 500 + [None, "", "text", "::ffff:9.9.9.9"] * 30
+    ips += [str(ipaddress.IPv4Address(v)) for r in four for v in (r[0], r[1], max(r[0] - 1, 0))]
+    ips += [str(ipaddress.IPv6Address(v)) for r in six for v in (r[0], r[1], r[1] + 1)]
+    v4, v6 = rows(four, GEO4), rows([(s.to_bytes(16, "big"), e.to_bytes(16, "big"), c, t) for s, e, c, t in six], GEO6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = geo.geo_join(rows([(i, j) for j, i in enumerate(ips)], "ip string, part int"), v4=v4, v6=v6, broadcast_bytes=0).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(r.part for r in got) == list(range(len(ips)))
+
+    def want(ip):
+        if not ip or ip == "text":
+            return None, None
+        address = ipaddress.ip_address(ip)
+        mapped = getattr(address, "ipv4_mapped", None)
+        return brute(int(mapped or address), four if mapped or address.version == 4 else six)
+
+    known = {ip: want(ip) for ip in set(ips)}
+    assert all((r.country, r.city) == known[r.ip] and ips[r.part] == r.ip for r in got)
+
+
+def test_carried_ranges_take_one_exchange_and_split_a_hot_address(spark, rows):
+    ranges = rows([(i * 1000, i * 1000 + 900, f"c{i}", "") for i in range(2000)] + [(2**31, 2**31 + 2**24 - 1, "wide", "")], GEO4)
+    table = geo.prepare_geo(ranges)
+    assert len(table.levels) == 3
+    df = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN '0.0.3.232' ELSE concat('128.77.', id % 200, '.1') END AS ip", "id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        points = df.select(F.lit(1).alias("x"), ip.ipv4_to_long("ip").alias("n"))
+        (mine,) = predecessor.deal(points, [F.col("n")], 16)
+        assert Counter(mine.bounds)[1000] >= 6  # half of the rows, so half of the parts
+        joined = geo.geo_join(df, v4=table, broadcast_bytes=0)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        top = plan[: plan.index("Union")]
+        assert top.count("Exchange") == 1 and "Join" not in plan
+        assert joined.groupBy("country").count().where("country = 'c1'").first()["count"] == 2000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_place_of_is_a_search(spark):
+    for size in (0, 1, 5, 64, 65, 500):
+        bounds = [3 * i for i in range(size)]
+        got = spark.range(-2, 3 * size + 3).select("id", predecessor.place_of(F.col("id"), bounds).cast("int").alias("p")).collect()
+        assert all(r.p == sum(b < r.id for b in bounds) for r in got)
 
 
 def test_prepared_table_and_plan(spark, rows):

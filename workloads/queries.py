@@ -549,12 +549,35 @@ def geo_join_shuffled(spark, sf):
 
 
 @register(
-    """WITH numbers AS (SELECT event_id AS id, 3323068416 + (event_id * 7919) % 65536 AS number FROM dns_raw)
+    """SELECT value AS ip, coalesce((SELECT min(n_name) FROM nation WHERE value LIKE '2001:db8::%'
+           AND ('0x' || substr(value, 11))::BIGINT - 16 - n_nationkey * 10 BETWEEN 0 AND 5), country) AS country
+       FROM (SELECT DISTINCT value FROM state_all WHERE type IN ('A', 'AAAA')) s LEFT JOIN intel i ON i.ip = s.value"""
+)
+def geo_join_carried(spark, sf):
+    """Addresses of both versions, text that is none, and the mapped form, with both tables taken as too large to broadcast."""
+    values = _state_all(spark, sf).where("type IN ('A', 'AAAA')").select(F.col("value").alias("ip")).distinct()
+    joined = geo.geo_join(values, v4=I.geo_v4(spark, sf), v6=I.geo_v6(spark, sf), broadcast_bytes=0)
+    return joined.select("ip", "country")
+
+
+_NESTED_SQL = """WITH numbers AS (SELECT event_id AS id, 3323068416 + (event_id * 7919) % 65536 AS number FROM dns_raw)
        SELECT id, CASE WHEN number % 64 BETWEEN 8 AND 23 THEN 'narrow-' || number // 64
          WHEN number < 3323068416 + 20000 THEN 'half' ELSE 'wide' END AS country
        FROM numbers"""
-)
+
+
+@register(_NESTED_SQL)
 def geo_join_nested(spark, sf):
+    return _nested(spark, sf)
+
+
+@register(_NESTED_SQL)
+def geo_join_nested_carried(spark, sf):
+    """The same with one exchange for all levels."""
+    return _nested(spark, sf, broadcast_bytes=0)
+
+
+def _nested(spark, sf, **options):
     """Addresses of one /16 against narrow ranges inside two wide ones."""
     first, n = 3323068416, F.col("number")
     addresses = I.dns_raw(spark, sf).select(F.col("event_id").alias("id"), (F.lit(first) + (F.col("event_id") * 7919) % 65536).alias("number"))
@@ -563,7 +586,7 @@ def geo_join_nested(spark, sf):
                                       F.concat(F.lit("narrow-"), F.floor((F.col("id") * 64 + first) / 64).cast("string")).alias("country"))
     wide = spark.createDataFrame([(first, first + 65535, "wide"), (first, first + 19999, "half")], narrow.schema)
     ranges = narrow.unionByName(wide).withColumn("city", F.lit(""))
-    return geo.geo_join(addresses.withColumn("ip", dotted), v4=ranges).select("id", "country")
+    return geo.geo_join(addresses.withColumn("ip", dotted), v4=ranges, **options).select("id", "country")
 
 
 @register(
