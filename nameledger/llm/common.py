@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from nameledger.functions.text import let
 from nameledger.session import shared_dir
+from nameledger.sources.files import delete_tree
 
 #: Words are separated by these characters: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -42,6 +43,27 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+class Scratch:
+    """Tables in the shared folder that go when the block ends: what is still needed has to be written elsewhere by then."""
+
+    def __init__(self, spark: SparkSession, what: str):
+        self.spark, self.folder = spark, new_folder(spark, what)
+
+    def keep(self, df: DataFrame, what: str) -> DataFrame:
+        """The rows of ``df`` after they were written: the plan behind them ends here."""
+        df.write.parquet(f"{self.folder}/{what}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{what}")
+
+    def drop(self, what: str) -> None:
+        delete_tree(self.spark, f"{self.folder}/{what}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        delete_tree(self.spark, self.folder)
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[tuple]], schema: str, at_once: int | None = None) -> DataFrame:
     """Streams each partition through ``rows``: column lists of a batch in, tuples out, in Arrow batches.
 

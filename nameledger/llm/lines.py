@@ -1,55 +1,39 @@
 """Line dedup by an exact set-similarity self-join, in built-in functions.
 
-A line is the set of its words. Lines with equal sets are one class, found by grouping alone, however short they are. Words
-are ordered by rarity, counted over all lines; two sets with a Jaccard similarity of 0.8 share a word among the rarest
-few of each (prefix filter), so those words are the join's keys. Where such a word is one of the frequent ones, it is
-a key only together with a second word of a prefix longer by one, which two similar sets share as well. Lengths, the
-places of the shared word and two 64-bit parity vectors rule out most pairs before words are compared.
-
-Families of many similar classes are not expanded into all pairs: a class that may match the most frequent class of
-one of its keys meets that first, and is joined with all others only if it found no earlier match there.
+A line is the set of its words. Equal lines are one class, found by grouping. Words are ordered by rarity, by counts over
+the words of all classes, and two sets with a Jaccard similarity of 0.8 share a word among the rarest few of each (prefix
+filter), so those words are the join's keys. Where such a word is frequent, it is a key only together with a second word
+of a prefix longer by one, which two similar sets share as well. Lengths and the places of the shared word rule out most
+pairs before words are compared.
+
+Families of many similar classes are not expanded into all pairs: every class first meets the earliest class of each of
+its keys, and only those that found no earlier match there meet the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nameledger.functions.text import let
-from nameledger.llm.common import most_frequent, words_of, written
+from nameledger.llm.common import Scratch, written
 
 #: Sets of fewer words are similar by 0.8 only if they are equal; four words and a fifth are similar.
 LEAST_WORDS = 4
 #: A similarity of 0.8 in whole numbers: WHOLE * shared >= PART * united.
 PART, WHOLE = 4, 5
-TIERS = (3_000, 300, 30)
-TIER_BIT = 60
-#: A table of used slots is broadcast to find candidates' lines again: at most this many numbers, whatever the input.
-SLOTS = 1 << 20
+#: Counts of words are kept in so many slots by hash, a byte each, whatever the input: the order is only for speed.
+SLOTS = 1 << 18
+#: A rank is four times the binary logarithm of a slot's count; from this one on a word alone is no key.
+LEVELS, FREQUENT = 126, 36
+RANK_BIT = 56
 
+SEPARATORS, SPACES = "\t\x0b\x0c\r", "    "
 
-def word_hashes(line: Column) -> Column:
-    return F.transform(words_of(line), lambda w: F.xxhash64(w).bitwiseAND(F.lit((1 << TIER_BIT) - 1)))
 
-
-def frequent_words(docs: DataFrame) -> list[list[int]]:
-    """Hashes of the most frequent words of all texts, by tier, from sketches that see every word."""
-    hashed = docs.select(F.explode(word_hashes(F.coalesce("text", F.lit("")))).alias("word"))
-    words = [word for word, count in most_frequent(hashed, TIERS[0]) if count > 1]
-    return [words[end:start] for start, end in zip(TIERS, [*TIERS[1:], 0], strict=True)]
-
-
-def token_sets(line: Column, tiers: list[list[int]]) -> Column:
-    """The line's distinct words as numbers, the rarest first: the tier of frequency stands above the word's hash."""
-
-    def ranked(h: Column) -> Column:
-        value = h
-        for tier, words in enumerate(tiers, 1):
-            if words:
-                value = F.when(h.isin(*words), h.bitwiseOR(F.lit(tier << TIER_BIT))).otherwise(value)
-        return value
-
-    return F.sort_array(F.array_distinct(F.transform(word_hashes(line), ranked)))
+def words_in(line: Column) -> Column:
+    """The words of one line, separated by spaces, tabs, vertical tabs, form feeds and carriage returns."""
+    return F.array_remove(F.split(F.translate(line, SEPARATORS, SPACES), " "), "")
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -59,143 +43,152 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
 
 
-def with_sets(docs: DataFrame, tiers: list[list[int]]) -> DataFrame:
-    """Every line's words (tokens), their number n and the class of the set (one, two)."""
-    sets = split_lines(docs).select("doc_id", "text_hash", "line_no", F.explode(F.array(token_sets(F.col("line"), tiers))).alias("tokens"))
-    return sets.select(
-        "*", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("one"), F.xxhash64(F.lit(1), "tokens").alias("two")
-    )
+def _place() -> Column:
+    return F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "text_hash", "line_no")
+
+
+def _name() -> list[Column]:
+    return [F.xxhash64(F.lit(salt), "line").alias(c) for salt, c in ((1, "one"), (2, "two"))]
+
+
+def with_words(lines: DataFrame) -> DataFrame:
+    """The line's distinct words as sorted 64-bit hashes (tokens) and their number n."""
+    tokens = F.sort_array(F.array_distinct(F.transform(words_in(F.col("line")), lambda w: F.xxhash64(w))))
+    found = lines.select("*", F.explode(F.array(tokens)).alias("tokens"))
+    return found.select("*", F.size("tokens").alias("n"))
+
+
+def rank_table(sets: DataFrame) -> bytes:
+    """A byte a slot: how frequent the words are that hash to it, counted over all sets; a table of one size."""
+    spark = sets.sparkSession
+    slot = F.pmod(F.col("word"), F.lit(SLOTS)).alias("slot")
+    counts = sets.select(F.explode("tokens").alias("word")).groupBy(slot).agg(F.count("*").alias("n"))
+    every = counts.unionByName(spark.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("n")))
+    level = F.least(F.lit(LEVELS), F.floor(4 * F.log2(F.sum("n") + 1))) + 1
+    bytes_of = every.groupBy("slot").agg(F.lpad(F.hex(level), 2, F.lit("0")).alias("byte"))
+    in_order = F.array_sort(F.collect_list(F.struct("slot", "byte")))
+    return bytes(bytes_of.agg(F.unhex(F.array_join(F.transform(in_order, lambda s: s["byte"]), ""))).first()[0])
+
+
+def by_rarity(tokens: Column, table: bytes) -> Column:
+    """The words as numbers, the rarest first: the rank stands above the word's hash."""
 
+    def ranked(word: Column) -> Column:
+        slot = F.pmod(word, F.lit(SLOTS)).cast("int")
+        rank = F.ascii(F.substring(F.lit(table), slot + 1, 1).cast("string")).cast("bigint")
+        return F.shiftleft(rank, RANK_BIT).bitwiseOR(F.shiftrightunsigned(word, 64 - RANK_BIT))
 
-def prefix_keys() -> Column:
+    return F.sort_array(F.transform(tokens, ranked))
+
+
+def prefix_keys(words: Column, n: Column) -> Column:
     """(key, at): the words of the prefix, frequent ones joined with each later word of the prefix longer by one."""
-    tokens, n = F.col("tokens"), F.col("n")
     prefix = n - F.ceil(n * PART / WHOLE).cast("int") + 1
 
     def keys(word: Column, at: Column) -> Column:
         alone = F.array(F.struct(word.alias("key"), at.alias("at")))
-        pairs = F.transform(F.slice(tokens, at + 2, prefix - at), lambda other: F.struct(F.xxhash64(word, other).alias("key"), at.alias("at")))
-        return F.when(word < 1 << TIER_BIT, alone).otherwise(pairs)
-
-    return F.flatten(F.transform(F.slice(tokens, 1, prefix), keys))
-
+        pairs = F.transform(F.slice(words, at + 2, prefix - at), lambda other: F.struct(F.xxhash64(word, other).alias("key"), at.alias("at")))
+        return F.when(word < F.lit(FREQUENT << RANK_BIT), alone).otherwise(pairs)
 
-def parity(seed: int) -> Column:
-    """64 bits, each the parity of the words that hash to it: sets differ in at least as many words as bits."""
-    shift = f"cast(shiftright(x, {seed * 6}) & 63 as int)"
-    return F.expr(f"aggregate(tokens, 0L, (a, x) -> a ^ shiftleft(1L, {shift}))")
+    return F.flatten(F.transform(F.slice(words, 1, prefix), keys))
 
 
 def possible(a: Column, b: Column) -> Column:
-    """False only for pairs (n, at, odd, even) that cannot reach the similarity: by length, place in the prefix and
-    parity."""
+    """False only for pairs (n, at) that cannot reach the similarity: by length and place in the prefix."""
     needed = F.ceil((a["n"] + b["n"]) * PART / (PART + WHOLE))
     reachable = F.least(a["n"] - a["at"], b["n"] - b["at"])  # if the key's word is the first they share
-    apart = F.greatest(*[F.bit_count(a[c].bitwiseXOR(b[c])) for c in ("odd", "even")])
     lengths = (a["n"] * WHOLE >= b["n"] * PART) & (b["n"] * WHOLE >= a["n"] * PART)
-    return lengths & (reachable >= needed) & (apart <= a["n"] + b["n"] - 2 * needed)
+    return lengths & (reachable >= needed)
 
 
-def matched(pairs: DataFrame, docs: DataFrame, tiers: list[list[int]], classes: DataFrame) -> DataFrame:
-    """Classes (one, two) that have an earlier match among ``pairs`` (a, b: first halves of class names).
-
-    The words of the lines in question are worked out again from the texts rather than stored for all lines.
-    """
-    pairs = written(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("one")).unionByName(pairs.select(F.col("b").alias("one"))).distinct()
-    slots = needed.select(F.pmod("one", F.lit(SLOTS)).alias("slot")).distinct()
-    lines = with_sets(docs, tiers).where(F.col("n") >= LEAST_WORDS).withColumn("slot", F.pmod("one", F.lit(SLOTS)))
-    few = lines.join(F.broadcast(slots), "slot", "left_semi").groupBy("one", "two").agg(F.first("tokens").alias("tokens"))
-    firsts = classes.select("one", "two", "first")
-    sets = written(few.join(needed, "one", "left_semi").join(firsts, ["one", "two"]), "sets")
-    left = sets.select([F.col(c).alias(f"a_{c}") for c in sets.columns])
-    right = sets.select([F.col(c).alias(f"b_{c}") for c in sets.columns])
-    both = pairs.join(left, F.col("a") == F.col("a_one")).join(right, F.col("b") == F.col("b_one")).where("b_first < a_first")
+def matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The classes a of ``pairs`` (a, b) whose b is earlier and similar."""
+    wanted = sets.where(F.col("n") >= LEAST_WORDS)
+    left = wanted.select(F.col("id").alias("a"), F.col("tokens").alias("a_tokens"), F.col("first").alias("a_first"))
+    right = wanted.select(F.col("id").alias("b"), F.col("tokens").alias("b_tokens"), F.col("first").alias("b_first"))
+    both = pairs.join(right, "b").join(left, "a").where("b_first < a_first")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     similar = shared * (PART + WHOLE) >= (F.size("a_tokens") + F.size("b_tokens")) * PART
-    return both.where(similar).select(F.col("a_one").alias("one"), F.col("a_two").alias("two")).distinct()
-
-
-def line_decisions(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no and removed of every line.
+    return both.where(similar).select("a").distinct()
+
+
+def later_matches(sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The ids of the classes that have an earlier similar one."""
+    # below four words, only equal sets are similar
+    same = Window.partitionBy("n", F.xxhash64(F.lit(1), "tokens"), F.xxhash64(F.lit(2), "tokens"))
+    short = sets.where((F.col("n") > 0) & (F.col("n") < LEAST_WORDS)).select("id", "first", F.min("first").over(same).alias("least"))
+    equal = short.where("first > least").select(F.col("id").alias("a"))
+
+    words = sets.where(F.col("n") >= LEAST_WORDS).select("id", "n", F.col("first.doc").alias("doc"), "tokens")
+    ordered = words.select("id", "n", "doc", F.explode(F.array(by_rarity(F.col("tokens"), rank_table(words)))).alias("words"))
+    keyed = ordered.select("id", "n", "doc", F.inline(prefix_keys(F.col("words"), F.col("n"))))
+    # a key's only class goes here, in the grouping that also finds the earliest one
+    by_key = Window.partitionBy("key")
+    members = keyed.select(
+        "*", F.min(F.struct("doc", "id", "n", "at")).over(by_key).alias("lead"), F.count("*").over(by_key).alias("size")
+    ).where("size > 1")
+    members = scratch.keep(members.drop("size"), "members")
+
+    led = (F.col("id") != F.col("lead.id")) & possible(F.struct("n", "at"), F.col("lead"))
+    star = scratch.keep(members.where(led).select(F.col("id").alias("a"), F.col("lead.id").alias("b")).distinct(), "star")
+    settled = scratch.keep(matched(star, sets), "settled")
+    # those that no leader settled meet all others; a pair with the leader is known already
+    open_ones = members.join(settled, members["id"] == settled["a"], "left_anti")
+    earlier = (F.col("m.id") != F.col("o.id")) & (F.col("o.doc") <= F.col("m.doc")) & (F.col("o.id") != F.col("m.lead.id"))
+    marks = [F.struct(*[F.col(f"{of}.{c}").alias(c) for c in ("n", "at")]) for of in ("m", "o")]
+    rest = open_ones.alias("m").join(members.drop("lead").alias("o"), F.col("m.key") == F.col("o.key")).where(earlier & possible(*marks))
+    rest = rest.select(F.col("m.id").alias("a"), F.col("o.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    late = matched(scratch.keep(rest, "rest"), sets)
+    return settled.unionByName(late).unionByName(equal)
+
+
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash and removed_lines (numbers from 0) of every text that loses a line.
 
     A line is removed if an earlier one, in the order of doc_id, text and place, is similar by
     0.8 or more or has the same words. Blank lines are left alone. Null texts are one empty line;
     null ids come last; rows with equal id and text count once, as the same lines.
     """
-    tiers = frequent_words(docs)
-    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "text_hash", "line_no")
-    lines = written(
-        with_sets(docs, tiers).select(
-            "doc_id", "text_hash", "line_no", "n", "one", "two", parity(0).alias("odd"), parity(1).alias("even"),
-            F.when(F.col("n") >= LEAST_WORDS, prefix_keys()).alias("keys"),
-        ),
-        "lines",
-    )
-    classes = written(
-        lines.where("n > 0").groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("copies")),
-        "line-classes",
-    )
-
-    def entries() -> DataFrame:
-        """A row for each key of each class, from the class's first line."""
-        firsts = lines.where(F.col("n") >= LEAST_WORDS).join(classes, ["one", "two"]).where(place == F.col("first"))
-        return firsts.select("one", F.col("first.doc").alias("doc"), "copies", "n", "odd", "even", F.inline("keys"))
-
-    # keys of one class alone go first; what is left is dealt by key once, for the leaders and for both joins
-    repeated = entries().select("key").groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    members = entries().join(repeated, "key", "left_semi")
-    leaders = members.groupBy("key").agg(F.max(F.struct("copies", "one", "n", "at", "odd", "even")).alias("lead"))
-    def marks(of: str) -> Column:
-        return F.struct(*[F.col(f"{of}.{c}").alias(c) for c in ("n", "at", "odd", "even")])
-
-    with_lead = (F.col("m.one") != F.col("lead.one")) & possible(marks("m"), F.col("lead"))
-    led = members.alias("m").join(leaders, "key").select("m.*", "lead", with_lead.alias("with_lead"))
-    # a line that may match its key's leader meets it first; one that may not, and the leader, meet the others at once;
-    # both sides of that join are the same rows, dealt once
-    earlier = (F.col("m.one") != F.col("o.one")) & (F.col("o.doc") <= F.col("m.doc")) & possible(marks("m"), marks("o"))
-    direct = (
-        led.where(~F.col("with_lead")).alias("m").join(members.alias("o"), F.col("m.key") == F.col("o.key"))
-        .where(earlier).select(F.col("m.one").alias("a"), F.col("o.one").alias("b"), F.lit(False).alias("lead"))
-    )
-    star = led.where("with_lead").select(F.col("one").alias("a"), F.col("lead.one").alias("b"), F.lit(True).alias("lead"))
-    pairs = written(star.unionByName(direct).groupBy("a", "b").agg(F.max("lead").alias("lead")), "pairs")
-    settled = written(matched(pairs.select("a", "b"), docs, tiers, classes), "settled")
-    # those that the leader did not settle meet all others too: of the entries, only what shares a key with them
-    waiting = pairs.where("lead").select(F.col("a").alias("one")).distinct().join(settled.select("one"), "one", "left_anti")
-    late = written(entries().join(waiting, "one", "left_semi"), "late-entries")
-    slots = late.select(F.pmod("key", F.lit(SLOTS)).alias("slot")).distinct()
-    near = entries().withColumn("slot", F.pmod("key", F.lit(SLOTS))).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
-    rest = (
-        late.alias("m").join(near.alias("o"), F.col("m.key") == F.col("o.key"))
-        .where(earlier).select(F.col("m.one").alias("a"), F.col("o.one").alias("b")).distinct()
-    )
-    rest = rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    gone = settled.unionByName(matched(rest, docs, tiers, classes)).distinct().withColumn("gone", F.lit(True))
-    named = classes.select("one", "two", "first").join(gone, ["one", "two"], "left")
-    decided = lines.select("doc_id", "text_hash", "line_no", "one", "two", place.alias("place")).join(named, ["one", "two"], "left")
-    removed = F.coalesce((F.col("place") > F.col("first")) | F.col("gone"), F.lit(False))
-    return decided.select("doc_id", "text_hash", "line_no", removed.alias("removed"))
+    lines = split_lines(docs)
+    with Scratch(docs.sparkSession, "lines") as scratch:
+        grouped = lines.select(*_name(), _place().alias("place"), "line").groupBy("one", "two")
+        classes = grouped.agg(F.min("place").alias("first"), F.first("line").alias("line"))
+        sets = with_words(classes).where("n > 0").select("one", "two", "first", "n", "tokens", F.monotonically_increasing_id().alias("id"))
+        sets = scratch.keep(sets, "sets")
+        late = scratch.keep(later_matches(sets, scratch), "late")
+        for what in ("members", "star", "settled", "rest"):
+            scratch.drop(what)
+        gone = late.select(F.col("a").alias("id"), F.lit(True).alias("gone")).distinct()
+        named = sets.select("one", "two", "first", "id").join(gone, "id", "left").drop("id")
+        decided = lines.select("doc_id", "text_hash", "line_no", _place().alias("place"), *_name()).join(named, ["one", "two"])
+        decided = decided.where(F.coalesce("gone", F.lit(False)) | (F.col("place") > F.col("first")))
+        by_text = decided.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("removed_lines"))
+        return written(by_text, "removed-lines")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_lines, n_removed and removed_lines (numbers from 0): one row per different (doc_id, text)."""
-    flagged = line_decisions(docs).groupBy("doc_id", "text_hash")
-    gone = F.array_sort(F.collect_set(F.when(F.col("removed"), F.col("line_no"))))
-    return flagged.agg(F.count_distinct("line_no").alias("n_lines"), gone.alias("removed_lines")).select(
-        "doc_id", "text_hash", "n_lines", F.size("removed_lines").cast("bigint").alias("n_removed"), "removed_lines"
-    )
+    text = F.coalesce("text", F.lit(""))
+    n_lines = F.size(F.split(text, "\n")).cast("bigint")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), n_lines.alias("n_lines"))
+    texts = texts.groupBy("doc_id", "text_hash").agg(F.max("n_lines").alias("n_lines"))
+    gone = removed_lines(docs).withColumnsRenamed({"doc_id": "doc", "text_hash": "hash"})
+    joined = texts.join(gone, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")), "left")
+    found = F.coalesce("removed_lines", F.array().cast("array<int>"))
+    return joined.select("doc_id", "text_hash", "n_lines", F.size(found).cast("bigint").alias("n_removed"), found.alias("removed_lines"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """The documents without removed lines, all their columns kept; a text that loses all of them becomes empty."""
-    report = dedup_report(docs).where("n_removed > 0").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("removed_lines").alias("__gone"))
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(report, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__hash")), "left")
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own"), F.struct("*").alias("row")
+    )
+    joined = rows.join(removed_lines(docs), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("text_hash")), "left")
+    held, text = F.col("removed_lines"), F.col("row.text")
 
     def without(gone: Column) -> Column:
-        marked = F.transform(F.split("text", "\n"), lambda line, i: F.when(F.array_contains(gone, i), F.lit(None)).otherwise(line))
+        marked = F.transform(F.split(text, "\n"), lambda line, i: F.when(F.array_contains(gone, i), F.lit(None)).otherwise(line))
         return F.array_join(marked, "\n")
 
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(let(F.col("__gone"), without))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    kept = F.when(held.isNull(), text).otherwise(let(held, without))
+    return joined.select(*[kept.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -2,7 +2,7 @@ import random
 
 from nameledger.llm.lines import dedup_report, drop_repeated_lines
 
-SCHEMA = "doc_id bigint, text string, n int, one string, keys int, line string"
+SCHEMA = "doc_id bigint, text string, n int, one string, row int, own string"
 
 
 def removed_lines(data):
