@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 _TREE = 64  # comparisons in one nested expression
 
 
-def place_of(value: Column, bounds: Sequence[int]) -> Column:
+def place_of(value: Column, bounds: Sequence[int] | Sequence[str]) -> Column:
     """How many of the sorted, different ``bounds`` are less than ``value``: a search tree, with short arrays below it."""
 
-    def tree(low: int, high: int, of: Sequence[int]) -> Column:
+    def tree(low: int, high: int, of: Sequence) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
@@ -32,7 +32,8 @@ def place_of(value: Column, bounds: Sequence[int]) -> Column:
     heads = bounds[_TREE - 1 :: _TREE]
     groups = [[F.lit(b) for b in bounds[i : i + _TREE]] for i in range(0, len(heads) * _TREE + 1, _TREE)]
     group = tree(0, len(heads), heads)
-    rest = F.get(F.array(*[F.array(*g).cast("array<bigint>") for g in groups]), group)
+    kind = "string" if isinstance(bounds[0], str) else "bigint"
+    rest = F.get(F.array(*[F.array(*g).cast(f"array<{kind}>") for g in groups]), group)
     return group * _TREE + F.size(F.filter(rest, lambda b: b < value))
 
 

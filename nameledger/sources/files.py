@@ -43,7 +43,16 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(row.value for row in spark.read.text(path).collect())
+    """The text of a small file, read by the file system itself: no job is run for it."""
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def bytes_in(spark: SparkSession, path: str) -> int:
+    return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
 
 
 def delete_tree(spark: SparkSession, path: str) -> None:

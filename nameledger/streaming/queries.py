@@ -154,13 +154,15 @@ def start_aggregator(
     once: bool = False,
     name: str = "aggregator",
     compact_every: int = 50,
-    keep_versions: int = 100,
+    keep_versions: int = 0,
+    compact_share: float = 0.5,
     every: str | None = None,
 ) -> StreamingQuery:
     """Event messages folded into the state table, one new version per batch.
 
-    A batch writes its own folded rows only. Every ``compact_every`` batches the shards' folders are merged and all
-    but the newest ``keep_versions`` versions go; 0 leaves either to others. The batch is read once.
+    A batch writes its own folded rows only. Every ``compact_every`` batches those shards are merged whose newer folders
+    have ``compact_share`` of the bytes of the largest one; 0 leaves it to a job of its own. Versions go only if
+    ``keep_versions`` says how many stay, and never one that a reader holds. The batch is read once.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -181,7 +183,7 @@ def start_aggregator(
         finally:
             batch.unpersist()
         if compact_every and number % compact_every == compact_every - 1:
-            compact_state(spark, state_path)
+            compact_state(spark, state_path, share=compact_share)
             if keep_versions:
                 drop_old_versions(spark, state_path, keep_versions)
 

@@ -82,7 +82,7 @@ def test_what_a_batch_writes_does_not_grow_with_the_table(spark, rows, path):
         large = [(f"d{number}-{i}.com", "A", str(i), i, i) for i in range(3000)]
         state.upsert_state(spark, path, rows(large, EVENTS))
         sizes.append(stored_bytes(spark, path, state.upsert_state(spark, path, small).version))
-    assert max(sizes) == min(sizes) < stored_bytes(spark, path, 1) / 5
+    assert max(sizes) - min(sizes) < 64 and max(sizes) < stored_bytes(spark, path, 1) / 5
 
 
 def test_compaction_keeps_the_rows_and_one_folder_a_shard(spark, rows, path):

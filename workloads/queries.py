@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from nameledger.functions import domains as D
 from nameledger.functions import ip as IP
 from nameledger.functions import records as R
-from nameledger.operators import fold, geo, index, ingest, keyed, lookup, rollups
+from nameledger.operators import fold, geo, index, ingest, keyed, lookup, merging, rollups
 from nameledger.plans import intel as plans
 from nameledger.session import shared_dir
 from nameledger.sources import geo as geo_files
@@ -454,6 +454,51 @@ def compact_state(spark, sf):
     return state_table.read_state(spark, path, version=made.version).drop("shard_id")
 
 
+@register(
+    """WITH named AS (SELECT *, domain || '|' || type || '|' || value AS key, split_part(device_id, '_', 2)::INT % 2 = 1 AS odd FROM dns_events),
+       deleted AS (SELECT DISTINCT key FROM named WHERE odd AND type = 'CNAME'),
+       puts AS (SELECT *, CASE WHEN odd THEN 1 ELSE 2 END AS position FROM named
+         UNION ALL SELECT *, 5 FROM named WHERE odd AND type = 'A')
+       SELECT domain, type, value, coalesce(min(nullif(first_seen, 0)), 0) AS first_seen, coalesce(max(nullif(last_seen, 0)), 0) AS last_seen
+       FROM puts WHERE position > greatest(CASE WHEN key >= 'error' AND key < 'view.' THEN 4 ELSE -1 END,
+         CASE WHEN key IN (SELECT key FROM deleted) THEN 3 ELSE -1 END) GROUP BY 1, 2, 3"""
+)
+def state_deletes(spark, sf):
+    """Deletes of keys and of a range between batches that come late, twice, or after them; compacted half way."""
+    path = _scratch(spark, "state")
+    odd, even = _by_device(spark, sf)
+    state_table.upsert_state(spark, path, odd, position=1)
+    state_table.delete_state(spark, path, odd.where("type = 'CNAME'"), position=3)
+    state_table.delete_state_range(spark, path, "error", "view.", position=4)
+    state_table.compact_state(spark, path)
+    state_table.upsert_state(spark, path, even, position=2)
+    state_table.upsert_state(spark, path, odd.where("type = 'A'"), position=5)
+    state_table.upsert_state(spark, path, odd, position=1)
+    made = state_table.compact_state(spark, path, settled=5)
+    return state_table.read_state(spark, path, made.version).drop("shard_id")
+
+
+@register(
+    """WITH ops AS (SELECT name AS domain, type, trim(value) AS value, timestamp, event_id AS seq, event_id % 13 = 0 AS gone
+         FROM raw_named WHERE name IS NOT NULL AND trim(value) <> ''),
+       last AS (SELECT domain, type, value, coalesce(max(seq) FILTER (WHERE gone), -1) AS hidden FROM ops GROUP BY 1, 2, 3)
+       SELECT domain, type, value, coalesce(min(nullif(timestamp, 0)), 0) AS first_seen, coalesce(max(nullif(timestamp, 0)), 0) AS last_seen
+       FROM ops JOIN last USING (domain, type, value) WHERE NOT gone AND seq > hidden GROUP BY 1, 2, 3"""
+)
+def state_change_batches(spark, sf):
+    """Ordered puts and deletes in two batches, whose order is not that of their rows."""
+    path = _scratch(spark, "state")
+    named = ingest.classify_raw(I.dns_raw(spark, sf)).where(F.col("name").isNotNull() & (F.trim("value") != ""))
+    time, gone = F.col("timestamp"), F.col("event_id") % 13 == 0
+    ops = named.select(
+        F.col("name").alias("domain"), "type", F.trim("value").alias("value"), F.col("event_id").alias("seq"), gone.alias("is_delete"),
+        F.when(~gone, time).alias("first_seen"), F.when(~gone, time).alias("last_seen"),
+    )
+    state_table.apply_state_changes(spark, path, ops.where("seq % 3 <> 0"))
+    state_table.apply_state_changes(spark, path, ops.where("seq % 3 = 0"))
+    return state_table.read_state(spark, path).drop("shard_id")
+
+
 def _stored_64(spark, sf):
     """The state in a stored table of 64 shards, in two batches."""
     path = _scratch(spark, "state")
@@ -1105,6 +1150,39 @@ def append_by_key_in_parts(spark, sf):
     return pieces.select("key", "value", F.row_number().over(order).cast("bigint").alias("place"))
 
 
+@register(
+    """SELECT key, 'base;' || string_agg(value, ';' ORDER BY seq) AS value FROM history GROUP BY 1
+       UNION ALL SELECT 'no operands', 'base'"""
+)
+def merge_lists(spark, sf):
+    """Lists put behind a base list in the order of the operands."""
+    ops = I.history(spark, sf)
+    base = ops.select("key").distinct().unionByName(spark.createDataFrame([("no operands",)], "key string"))
+    lists = ops.withColumn("value", F.array("value"))
+    merged = merging.merge_operands(base.withColumn("value", F.array(F.lit("base"))), lists, merging.APPEND)
+    return merged.select("key", F.array_join("value", ";").alias("value"))
+
+
+@register("SELECT key, sum(seq % 1000)::BIGINT AS value FROM history GROUP BY 1")
+def merge_counters(spark, sf):
+    ops = I.history(spark, sf).withColumn("value", F.col("seq") % 1000)
+    return merging.merge_operands(ops.select("key", "value").where(F.lit(False)), ops, merging.COUNTER)
+
+
+@register(
+    """WITH fields AS (SELECT key, concat('f', seq % 7) AS field, seq, CASE WHEN NOT is_delete THEN value END AS value FROM history),
+       last AS (SELECT key, field, arg_max(coalesce(value, ''), seq) AS value FROM fields GROUP BY 1, 2)
+       SELECT key, coalesce(string_agg(field || '=' || value, ',' ORDER BY field) FILTER (WHERE value <> ''), '') AS value FROM last GROUP BY 1"""
+)
+def merge_patches(spark, sf):
+    """Patches of one field each; a delete removes its field."""
+    field = F.concat(F.lit("f"), (F.col("seq") % 7).cast("string"))
+    ops = I.history(spark, sf).withColumn("value", F.create_map(field, F.when(~F.col("is_delete"), F.col("value"))))
+    merged = merging.merge_operands(ops.select("key", "value").where(F.lit(False)), ops, merging.PATCH)
+    shown = F.transform(F.array_sort(F.map_entries("value")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return merged.select("key", _text(shown).alias("value"))
+
+
 @register(
     """SELECT domain, type, CASE WHEN type = 'CNAME' THEN upper(value) ELSE value END AS value,
          first_seen, last_seen FROM state WHERE value <> 'not-an-ip'"""
@@ -1119,15 +1197,16 @@ def expire(spark, sf):
     return keyed.expire(_state(spark, sf), _MID, 86_400_000_000)
 
 
-@register(
-    f"""WITH old AS (SELECT domain, type, value, coalesce(min(nullif(first_seen, 0)), 0) AS first_seen,
+_CHANGED = f"""WITH old AS (SELECT domain, type, value, coalesce(min(nullif(first_seen, 0)), 0) AS first_seen,
             coalesce(max(nullif(last_seen, 0)), 0) AS last_seen FROM dns_events {_HALF} GROUP BY 1, 2, 3)
         SELECT n.domain, n.type, n.value, CASE WHEN o.domain IS NULL THEN 'insert' ELSE 'update' END AS op,
           n.first_seen, n.last_seen
         FROM state n LEFT JOIN old o
           ON n.domain = o.domain AND n.type = o.type AND n.value = o.value
         WHERE o.domain IS NULL OR o.first_seen <> n.first_seen OR o.last_seen <> n.last_seen"""
-)
+
+
+@register(_CHANGED)
 def changes_since(spark, sf):
     """What the second half of the sensors changed in the state."""
     old = fold.fold_events(_by_device(spark, sf)[0])
@@ -1136,6 +1215,18 @@ def changes_since(spark, sf):
     )
 
 
+@register(_CHANGED)
+def state_changes(spark, sf):
+    """The same between two versions of a stored table, a compaction and a batch that comes twice in between."""
+    path = _scratch(spark, "state")
+    first, second = _by_device(spark, sf)
+    old = state_table.upsert_state(spark, path, first)
+    state_table.upsert_state(spark, path, second)
+    state_table.compact_state(spark, path)
+    state_table.upsert_state(spark, path, second)
+    return state_table.state_changes(spark, path, old.version)
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
