@@ -6,8 +6,9 @@ filter), so those words are the join's keys. Where such a word is frequent, it i
 of a prefix longer by one, which two similar sets share as well. Lengths and the places of the shared word rule out most
 pairs before words are compared.
 
-Families of many similar classes are not expanded into all pairs: every class first meets the earliest class of each of
-its keys, and only those that found no earlier match there meet the others.
+A key of few classes gives its pairs where they are grouped. Families of many similar classes are not expanded into all
+pairs: every class first meets the earliest class of such a key, and only those that found no earlier match there meet
+the others. Two parities of the words, joined to pairs only, spare most pairs the comparison of whole sets.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ SLOTS = 1 << 18
 #: A rank is four times the binary logarithm of a slot's count; from this one on a word alone is no key.
 LEVELS, FREQUENT = 126, 36
 RANK_BIT = 56
+#: Classes of a key that are paired in the task that groups them; in larger groups the earliest class comes first.
+FEW = 32
 
 SEPARATORS, SPACES = "\t\x0b\x0c\r", "    "
 
@@ -93,20 +96,40 @@ def prefix_keys(words: Column, n: Column) -> Column:
     return F.flatten(F.transform(F.slice(words, 1, prefix), keys))
 
 
+def parity(tokens: Column, shift: int) -> Column:
+    """64 bits, each the parity of the words that hash to it: sets differ in at least as many words as bits."""
+    one = F.lit(1).cast("bigint")
+    place = lambda x: F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(63)).cast("int")
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", one, place(x))))
+
+
+def needed(a_n: Column, b_n: Column) -> Column:
+    """How many words sets of these sizes have to share."""
+    return F.ceil((a_n + b_n) * PART / (PART + WHOLE))
+
+
 def possible(a: Column, b: Column) -> Column:
     """False only for pairs (n, at) that cannot reach the similarity: by length and place in the prefix."""
-    needed = F.ceil((a["n"] + b["n"]) * PART / (PART + WHOLE))
     reachable = F.least(a["n"] - a["at"], b["n"] - b["at"])  # if the key's word is the first they share
     lengths = (a["n"] * WHOLE >= b["n"] * PART) & (b["n"] * WHOLE >= a["n"] * PART)
-    return lengths & (reachable >= needed)
+    return lengths & (reachable >= needed(a["n"], b["n"]))
 
 
-def matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def matched(pairs: DataFrame, sets: DataFrame, scratch: Scratch, what: str) -> DataFrame:
     """The classes a of ``pairs`` (a, b) whose b is earlier and similar."""
     wanted = sets.where(F.col("n") >= LEAST_WORDS)
-    left = wanted.select(F.col("id").alias("a"), F.col("tokens").alias("a_tokens"), F.col("first").alias("a_first"))
-    right = wanted.select(F.col("id").alias("b"), F.col("tokens").alias("b_tokens"), F.col("first").alias("b_first"))
-    both = pairs.join(right, "b").join(left, "a").where("b_first < a_first")
+
+    def marks(of: str) -> DataFrame:
+        return wanted.select(F.col("id").alias(of), *[F.col(c).alias(f"{of}_{c}") for c in ("n", "odd", "even", "first")])
+
+    near = pairs.join(marks("b"), "b").join(marks("a"), "a").where("b_first < a_first")
+    apart = F.greatest(*[F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("odd", "even")])
+    near = near.where(apart <= F.col("a_n") + F.col("b_n") - 2 * needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
+    near = scratch.keep(near, what)
+    few = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    held = scratch.keep(wanted.join(few, "id", "left_semi").select("id", "tokens"), f"{what}-sets")
+    left, right = (held.select(F.col("id").alias(of), F.col("tokens").alias(f"{of}_tokens")) for of in ("a", "b"))
+    both = near.join(right, "b").join(left, "a")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     similar = shared * (PART + WHOLE) >= (F.size("a_tokens") + F.size("b_tokens")) * PART
     return both.where(similar).select("a").distinct()
@@ -122,23 +145,35 @@ def later_matches(sets: DataFrame, scratch: Scratch) -> DataFrame:
     words = sets.where(F.col("n") >= LEAST_WORDS).select("id", "n", F.col("first.doc").alias("doc"), "tokens")
     ordered = words.select("id", "n", "doc", F.explode(F.array(by_rarity(F.col("tokens"), rank_table(words)))).alias("words"))
     keyed = ordered.select("id", "n", "doc", F.inline(prefix_keys(F.col("words"), F.col("n"))))
-    # a key's only class goes here, in the grouping that also finds the earliest one
+    keyed = keyed.select("key", "id", "doc", F.struct("n", "at").alias("mark"))
+
+    # one exchange by key: the only class of a key goes, few classes give pairs, each of many gives itself
     by_key = Window.partitionBy("key")
-    members = keyed.select(
-        "*", F.min(F.struct("doc", "id", "n", "at")).over(by_key).alias("lead"), F.count("*").over(by_key).alias("size")
-    ).where("size > 1")
-    members = scratch.keep(members.drop("size"), "members")
-
-    led = (F.col("id") != F.col("lead.id")) & possible(F.struct("n", "at"), F.col("lead"))
-    star = scratch.keep(members.where(led).select(F.col("id").alias("a"), F.col("lead.id").alias("b")).distinct(), "star")
-    settled = scratch.keep(matched(star, sets), "settled")
+    lead = F.min(F.struct("doc", "id", "mark")).over(by_key)
+    sized = keyed.select("*", lead.alias("lead"), F.count("*").over(by_key).alias("size")).where("size > 1")
+    alone = F.when(F.col("size") > FEW, F.col("id")).otherwise(-1)
+    grouped = sized.groupBy("key", alone.alias("alone")).agg(F.collect_list(F.struct("doc", "id", "mark", "lead")).alias("held"))
+
+    def partners(m: Column) -> Column:
+        fit = F.filter("held", lambda o: (o["doc"] <= m["doc"]) & (o["id"] != m["id"]) & possible(m["mark"], o["mark"]))
+        return F.transform(fit, lambda o: F.struct(m["id"].alias("a"), o["id"].alias("b")))
+
+    pairs = F.when(F.col("alone") < 0, F.flatten(F.transform("held", partners)))
+    member = F.when(F.col("alone") >= 0, F.get("held", F.lit(0)))
+    found = grouped.select(F.when(member.isNotNull(), F.col("key")).alias("key"), pairs.alias("pairs"), member.alias("m"))
+    found = scratch.keep(found.where((F.size("pairs") > 0) | F.col("m").isNotNull()), "found")
+    members = found.where("m IS NOT NULL").select("key", "m.*")
+    led = (F.col("id") != F.col("lead.id")) & possible(F.col("mark"), F.col("lead.mark"))
+    star = members.where(led).select(F.col("id").alias("a"), F.col("lead.id").alias("b"))
+    star = scratch.keep(star.unionByName(found.select(F.inline("pairs"))).distinct(), "star")
+    settled = scratch.keep(matched(star, sets, scratch, "near"), "settled")
     # those that no leader settled meet all others; a pair with the leader is known already
     open_ones = members.join(settled, members["id"] == settled["a"], "left_anti")
     earlier = (F.col("m.id") != F.col("o.id")) & (F.col("o.doc") <= F.col("m.doc")) & (F.col("o.id") != F.col("m.lead.id"))
-    marks = [F.struct(*[F.col(f"{of}.{c}").alias(c) for c in ("n", "at")]) for of in ("m", "o")]
-    rest = open_ones.alias("m").join(members.drop("lead").alias("o"), F.col("m.key") == F.col("o.key")).where(earlier & possible(*marks))
+    rest = open_ones.alias("m").join(members.drop("lead").alias("o"), F.col("m.key") == F.col("o.key"))
+    rest = rest.where(earlier & possible(F.col("m.mark"), F.col("o.mark")))
     rest = rest.select(F.col("m.id").alias("a"), F.col("o.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    late = matched(scratch.keep(rest, "rest"), sets)
+    late = matched(rest, sets, scratch, "rest")
     return settled.unionByName(late).unionByName(equal)
 
 
@@ -153,10 +188,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     with Scratch(docs.sparkSession, "lines") as scratch:
         grouped = lines.select(*_name(), _place().alias("place"), "line").groupBy("one", "two")
         classes = grouped.agg(F.min("place").alias("first"), F.first("line").alias("line"))
-        sets = with_words(classes).where("n > 0").select("one", "two", "first", "n", "tokens", F.monotonically_increasing_id().alias("id"))
+        marks = [parity(F.col("tokens"), shift).alias(c) for shift, c in ((0, "odd"), (6, "even"))]
+        found = with_words(classes).where("n > 0").select("one", "two", "first", "n", "tokens", *marks)
+        sets = found.withColumn("id", F.monotonically_increasing_id())
         sets = scratch.keep(sets, "sets")
         late = scratch.keep(later_matches(sets, scratch), "late")
-        for what in ("members", "star", "settled", "rest"):
+        for what in ("found", "star", "settled", "near", "near-sets", "rest", "rest-sets"):
             scratch.drop(what)
         gone = late.select(F.col("a").alias("id"), F.lit(True).alias("gone")).distinct()
         named = sets.select("one", "two", "first", "id").join(gone, "id", "left").drop("id")
