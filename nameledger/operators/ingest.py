@@ -12,8 +12,8 @@ from nameledger import schemas
 from nameledger.functions.domains import bare_domain, with_domain, with_domain_arrays, with_domains
 from nameledger.functions.ip import ip_version
 from nameledger.functions.records import temporal_range
-from nameledger.functions.text import is_blank, trimmed
-from nameledger.sources.messages import with_payload
+from nameledger.functions.text import is_blank, once, trimmed
+from nameledger.sources.messages import event_list, with_payload
 
 # The accepted feed type, record types and verdict texts.
 FEED_TYPE = "dns_intelligence_comprehensive"
@@ -387,3 +387,17 @@ def classify_events(df: DataFrame) -> DataFrame:
 
 def valid_events(df: DataFrame) -> DataFrame:
     return classify_events(df).where(F.col("reason").isNull()).drop("reason")
+
+
+def judged_events(df: DataFrame, col: str = "value") -> DataFrame:
+    """One row per event with a reject ``reason`` (null when usable), and one per payload no event list can be read from.
+
+    Each payload is read once. Of the latter the payload is in ``payload``; events leave that null.
+    """
+    parsed = once(df.select(col), "_items", F.struct(event_list(col).alias("list")))
+    items, text = F.col("_items.list"), F.coalesce(trimmed(col), F.lit(""))
+    bad = items.isNull() & (text != "null")
+    rows = parsed.select(F.when(bad, F.coalesce(col, F.lit(""))).alias("payload"), F.explode_outer(items).alias("_item"))
+    events = classify_events(rows.where(F.col("_item").isNotNull() | F.col("payload").isNotNull()).select("payload", "_item.*"))
+    unread = F.when(F.col("payload").isNotNull(), F.lit("no parsable events"))
+    return events.withColumn("reason", F.coalesce(unread, F.col("reason")))

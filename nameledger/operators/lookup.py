@@ -1,6 +1,6 @@
 """Lookups by IP and by domain, over one key or a whole table of keys."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nameledger.functions.domains import DEFAULT_SHARDS, normalize_domain, shard_id
@@ -21,8 +21,9 @@ def latest_by_ip(df: DataFrame) -> DataFrame:
     """The record with the greatest last_seen per IP; all parts of it when it is in parts."""
     if "part" not in df.columns:
         return _latest(df, ["ip"])
-    newest = df.groupBy("ip").agg(F.max("last_seen").alias("_newest"))
-    current = df.join(newest, "ip").where(F.col("last_seen") == F.col("_newest"))
+    # the parts of an IP meet in one exchange, which serves the grouping by IP and part as well
+    newest = F.max("last_seen").over(Window.partitionBy("ip"))
+    current = df.withColumn("_newest", newest).where(F.col("last_seen") == F.col("_newest"))
     return _latest(current.drop("_newest"), ["ip", "part"])
 
 
@@ -141,9 +142,13 @@ def lookup(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 
 def lookup_ips(intel: DataFrame, keys: DataFrame) -> DataFrame:
-    """The latest record of each requested IP."""
+    """The latest record of each requested IP.
+
+    An IP has one record, or as many as it has parts, so only the keys can repeat: a left join splits them when hot.
+    """
     hits = intel.join(keys.select("ip").distinct(), "ip", "left_semi")
-    return _attach(keys, latest_by_ip(hits), ["ip"])
+    latest = latest_by_ip(hits).withColumn("found", F.lit(True))
+    return keys.join(latest, "ip", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def lookup_domains(
@@ -158,7 +163,8 @@ def lookup_domains(
     wanted = keys.select(F.col("name").alias("domain")).distinct()
     hits = latest_by_domain_ip(explode_domains(intel.drop("part")).join(wanted, "domain", "left_semi"))
     if with_lists:
-        lists = latest_by_ip(intel).select(
+        named = intel.join(hits.select("ip").distinct(), "ip", "left_semi")
+        lists = latest_by_ip(named).select(
             "ip", *[c for c in ("part", "domains") if c in intel.columns]
         )
         hits = hits.join(lists, "ip")

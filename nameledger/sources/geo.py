@@ -1,5 +1,7 @@
 """Geo range CSV files, with or without a header."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,21 +29,40 @@ def has_header(first_line: str) -> bool:
     return len(cells) >= 2 and not all(cell[:1].isdigit() for cell in cells[:2])
 
 
+def layouts(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
+    """The files of a folder by header line; those without a header under None. One job; the driver gets a line per file."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    firsts = lines.where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("first"))
+    found: dict[str | None, list[str]] = {}
+    for row in sorted(firsts.collect()):
+        found.setdefault(row["first"] if has_header(row["first"]) else None, []).append(unquote(row.file_path))
+    return found
+
+
 def read_geo_csv(spark: SparkSession, path: str, version: int) -> DataFrame:
     """(start, end, country, city) of the rows of one IP version; unusable rows are left out.
 
-    Looks at the first line of the file on the driver to tell the two layouts apart.
+    Every file is read by its own first line: a folder may mix files with a header, with other columns or another order
+    of them, and without one. Files of one layout are read together.
     """
-    first = spark.read.text(path).first()
-    if first is not None and has_header(first.value):
-        return _from_named(spark.read.option("header", True).csv(path), version)
+    out = None
+    for header, paths in layouts(spark, path).items():
+        if header is None:
+            rows = _from_plain(spark, paths, version)
+        else:
+            rows = _from_named(spark.read.option("header", True).csv(paths), version)
+        out = rows if out is None else out.unionByName(rows)
+    return _from_plain(spark, [path], version) if out is None else out
+
+
+def _from_plain(spark: SparkSession, paths: list[str], version: int) -> DataFrame:
     # Lines of more or fewer than six cells are also kept as text, in ``_odd``: an empty third cell
     # and a missing one both read as null, and only the latter makes the line too short.
     plain = (
         spark.read.schema(_PLAIN_SCHEMA)
         .option("columnNameOfCorruptRecord", "_odd")
         .option("columnPruning", False)  # the cells of a line are only counted when all are read
-        .csv(path)
+        .csv(paths)
     )
     too_short = F.col("c2").isNull() & (F.size(F.split("_odd", ",")) < 3)
     wide_enough = plain.where(~F.coalesce(too_short, F.lit(False)))

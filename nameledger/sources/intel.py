@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nameledger import schemas
-from nameledger.functions.records import first_domain, last_seen_or_zero
+from nameledger.functions.records import first_domain, last_seen_or_zero, to_intel_json
 from nameledger.functions.text import non_empty, trimmed
 from nameledger.sources import files
 
@@ -64,7 +64,11 @@ def write_ip_index(df: DataFrame, path: str, by_ip: bool = True) -> None:
         out = out.withColumn("part", F.nullif("part", F.lit(0)))
     if by_ip:
         out = out.orderBy("ip", *([F.col("part").asc_nulls_first()] if "part" in df.columns else []))
-    out.write.mode("errorifexists").option("ignoreNullFields", True).json(path)
+    _write_lines(out, path)
+
+
+def _write_lines(df: DataFrame, path: str) -> None:
+    df.select(to_intel_json(F.struct(*df.columns)).alias("value")).write.mode("errorifexists").text(path)
 
 
 def write_ip_list(df: DataFrame, path: str) -> None:
@@ -73,7 +77,7 @@ def write_ip_list(df: DataFrame, path: str) -> None:
 
 def write_ip_geo(df: DataFrame, path: str) -> None:
     out = df.select("ip", "domain", non_empty("country").alias("country"), non_empty("city").alias("city"))
-    out.write.mode("errorifexists").option("ignoreNullFields", True).json(path)
+    _write_lines(out, path)
 
 
 # --- versioned outputs -------------------------------------------------------------------------

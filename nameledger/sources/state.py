@@ -11,6 +11,7 @@ A delete is a batch too. Every row has the position of its batch, and a delete h
 range, and its position or a lesser one; so neither the order in which batches arrive nor a replay changes what is left.
 """
 
+import hashlib
 import json
 import time
 import uuid
@@ -27,6 +28,7 @@ from nameledger.functions.records import make_key, parse_key
 from nameledger.operators.fold import SHARD_COUNT, STATE_KEY, fold_events, with_shard
 from nameledger.operators.keyed import changes_since
 from nameledger.operators.predecessor import place_of
+from nameledger.operators.rollups import LG_K
 from nameledger.sources import files
 
 _STORED = "domain string, type string, value string, first_seen bigint, last_seen bigint, position bigint, is_delete boolean"
@@ -424,6 +426,43 @@ def state_changes(spark: SparkSession, path: str, old: int, new: int | None = No
     return changes_since(cut(old), cut(after.version), STATE_KEY, values)
 
 
+def state_sketches(spark: SparkSession, path: str, version: int | None = None, lg_k: int = LG_K) -> DataFrame:
+    """A row per shard: its number of keys and sketches of its domains and addresses, for ``united_sketches``.
+
+    A shard's row is kept under the folders it was made from, so only shards that changed since are read again.
+    """
+    current = load_version(spark, path, version)
+    kind = "shard_id int, name string, records bigint, ips binary, domains binary"
+    if current is None or not current.shards:
+        return spark.createDataFrame([], kind)
+    names = {
+        int(s): hashlib.sha256(json.dumps([lg_k, sorted(dirs), current.ranges]).encode()).hexdigest() for s, dirs in current.shards.items()
+    }
+    folder = f"{path}/sketches"
+    held = spark.read.schema(kind).parquet(folder) if files.exists(spark, folder) else spark.createDataFrame([], kind)
+    held = held.where(F.col("name").isin(*names.values()))
+    known = {r["name"] for r in held.select("name").collect()}
+    due = [s for s, name in names.items() if name not in known]
+    if due:
+        address = F.when(F.col("type").isin("A", "AAAA"), F.col("value"))
+        rows = read_state(spark, path, current.version, due).groupBy("shard_id").agg(
+            F.count("*").alias("records"), F.hll_sketch_agg(address, lg_k).alias("ips"), F.hll_sketch_agg("domain", lg_k).alias("domains")
+        )
+        named = F.create_map(*[F.lit(x) for s in due for x in (s, names[s])])
+        rows.select("shard_id", F.element_at(named, F.col("shard_id")).alias("name"), "records", "ips", "domains").write.mode("append").parquet(folder)
+        held = spark.read.schema(kind).parquet(folder).where(F.col("name").isin(*names.values()))
+    return held.dropDuplicates(["name"])
+
+
+def united_sketches(sketches: DataFrame) -> DataFrame:
+    """One row: the number of keys and the estimated numbers of different domains and addresses."""
+
+    def estimate(name: str) -> Column:
+        return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(name)), F.lit(0))
+
+    return sketches.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"), estimate("ips").alias("ips"), estimate("domains").alias("domains"))
+
+
 def hold_version(spark: SparkSession, path: str, version: int | None = None, seconds: float = 3600) -> tuple[int, str]:
     """Takes a lease: until it ends or is given back, ``drop_old_versions`` leaves the version and its folders alone."""
     current = load_version(spark, path, version)

@@ -289,6 +289,39 @@ def test_headerless_geo_csv(spark):
         (b("2001:db8::"), b("2001:db8::f"), "V6", "")]
 
 
+def test_a_folder_may_mix_layouts(spark):
+    path = folder(spark, "mixed geo")
+    kinds = [
+        ["1.0.0.0,1.0.0.9,XX,a,b,Plain"],
+        ["network,country_iso_code,city_name", "2.0.0.0/24,NL,Delft"],
+        ["city,country,end_ip,start_ip", "Lund,SE,3.0.0.9,3.0.0.0"],
+        ["4.0.0.0,4.0.0.9,YY,a,b,Other", "5.0.0.0,5.0.0.9,ZZ,a,b,"],
+        ["network,country_iso_code,city_name", "6.0.0.0/24,FI,"],
+    ]
+    for i, lines in enumerate(kinds):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{path}/f={i}")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/f=9")
+    assert sorted(len(p) for p in geo_files.layouts(spark, f"{path}/*").values()) == [1, 2, 2]
+    assert ranges_of(geo_files.read_geo_csv(spark, f"{path}/*", 4)) == [
+        (n("1.0.0.0"), n("1.0.0.9"), "XX", "Plain"), (n("2.0.0.0"), n("2.0.0.255"), "NL", "Delft"), (n("3.0.0.0"), n("3.0.0.9"), "SE", "Lund"),
+        (n("4.0.0.0"), n("4.0.0.9"), "YY", "Other"), (n("5.0.0.0"), n("5.0.0.9"), "ZZ", ""), (n("6.0.0.0"), n("6.0.0.255"), "FI", ""),
+    ]
+    assert geo_files.read_geo_csv(spark, f"{path}/f=9", 4).count() == 0
+
+
+def test_summaries_from_sketches(spark, rows):
+    draw = random.Random(3)
+    data = [(f"1.{i // 250}.{i % 250}.1", i % 2, [f"d{draw.randrange(5000)}.com" for _ in range(3)], i, "NL" if i % 3 else None) for i in range(8000)]
+    intel = rows(data, "ip string, part int, domains array<string>, last_seen bigint, country string")
+    exact = rollups.intel_summary(intel).first()
+    united = rollups.united_summary(rollups.summary_sketches(intel.withColumn("by", F.col("last_seen") % 7), "by")).first()
+    assert (united.records, united.enriched) == (exact.records, exact.enriched)
+    for name in ("unique_ips", "unique_domains"):
+        assert abs(united[name] - exact[name]) <= 4 * 0.0082 * exact[name]
+    assert rollups.united_summary(rollups.summary_sketches(intel.where("false").withColumn("by", F.lit(1)), "by")).first().asDict() == {
+        "records": 0, "unique_ips": 0, "unique_domains": 0, "enriched": 0}
+
+
 def test_headered_geo_csv(spark):
     cidr = write_lines(spark, ["network,country_code,country,city", "1.0.0.7/24,,AU,Sydney", "bad,X,Y,Z",
                                "2001:db8::/120,DE,,"], "geo")

@@ -248,3 +248,19 @@ def test_range_deletes_are_bounded_and_searched(spark, rows, path, monkeypatch):
     monkeypatch.setattr(state, "MOST_RANGES", 2)
     with pytest.raises(ValueError):
         state.delete_state_range(spark, path, "a", "b")
+
+
+def test_sketches_of_unchanged_shards_are_kept(spark, rows, path):
+    data = [(f"d{i % 700}.com", "A" if i % 3 else "CNAME", f"v{i % 900}", 1, i) for i in range(1, 3000)]
+    state.upsert_state(spark, path, rows(data, EVENTS))
+    first = state.united_sketches(state.state_sketches(spark, path)).first()
+    table = state.read_state(spark, path)
+    want = table.agg(F.count("*").alias("records"), F.countDistinct(F.when(F.col("type") == "A", F.col("value"))).alias("ips"), F.countDistinct("domain").alias("domains")).first()
+    assert first.records == want.records
+    assert abs(first.ips - want.ips) <= 0.04 * want.ips and abs(first.domains - want.domains) <= 0.04 * want.domains
+    before = spark.read.parquet(f"{path}/sketches").count()
+    assert before == 4 and state.state_sketches(spark, path).count() == 4 and spark.read.parquet(f"{path}/sketches").count() == 4
+    state.upsert_state(spark, path, rows([("one.com", "A", "new", 1, 1)], EVENTS))
+    assert state.united_sketches(state.state_sketches(spark, path)).first().records == want.records + 1
+    assert spark.read.parquet(f"{path}/sketches").count() == 5, "one shard was sketched again"
+    assert state.united_sketches(state.state_sketches(spark, f"{path}-none")).first().records == 0

@@ -1,6 +1,10 @@
 import json
+import random
+import time
 import uuid
 
+from pyspark.sql import functions as F
+
 from nameledger.operators import fold, ingest
 from nameledger.session import shared_dir
 from nameledger.sources import intel, messages, state
@@ -146,3 +150,59 @@ def test_the_aggregator_compacts_and_forgets(spark, rows):
     streams.start_aggregator(stream, table, folder(spark, "m"), once=True, compact_every=4, keep_versions=2).awaitTermination()
     assert len(state.versions(spark, table)) <= 5
     assert state.read_state(spark, table).count() == 8
+
+
+def events_file(spark, source, number, data):
+    texts = [json.dumps([dict(zip(("domain", "type", "value", "first_seen", "last_seen"), e, strict=True)) for e in data])]
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.text(f"{source}/part={number}")
+
+
+def test_figures_come_with_the_batches(spark, rows):
+    source, table = folder(spark, "in"), folder(spark, "st")
+    data = [(f"d{i}.com", "A", "1", 1, 1) for i in range(40)]
+    events_file(spark, source, 0, [*data, ("", "A", "1", 1, 1)])
+    rows([("no json",), ("null",)], "value string").coalesce(1).write.text(f"{source}/part=1")
+    query = streams.start_aggregator(messages.read_stream(spark, f"{source}/*", max_per_batch=1), table, folder(spark, "m"), once=True)
+    query.awaitTermination()
+    got = streams.figures(query)["total"]
+    want = {f"shard_{r.shard_id}": r.n for r in state.read_state(spark, table).groupBy("shard_id").agg(F.count("*").alias("n")).collect()}
+    assert got == {"events": 40, "rejects": 2, **{f"shard_{k}": want.get(f"shard_{k}", 0) for k in range(4)}}
+    assert sum(streams.figures(query)["last"].values()) in (1, 81)
+
+
+def test_state_kept_in_the_stream_equals_the_folded_table(spark, rows):
+    source, table, plain, marks = (folder(spark, n) for n in ("in", "st", "plain", "m"))
+    draw = random.Random(4)
+    batches = [[(f"d{draw.randrange(9)}.com", "A", str(draw.randrange(3)), draw.choice([0, 5, 9, 20]), draw.choice([0, 5, 9, 20])) for _ in range(30)] for _ in range(4)]
+    for number, batch in enumerate(batches):
+        events_file(spark, source, number, batch)
+        if number % 2:  # the query stops and starts again from its checkpoint
+            flow = messages.read_stream(spark, f"{source}/*", max_per_batch=1)
+            streams.start_stateful_aggregator(flow, table, marks, once=True, compact_every=3).awaitTermination()
+    flow = messages.read_stream(spark, f"{source}/*", max_per_batch=1)
+    streams.start_aggregator(flow, plain, folder(spark, "m"), once=True).awaitTermination()
+    want = triples(state.read_state(spark, plain))
+    assert triples(state.read_state(spark, table)) == want
+    last = state.load_version(spark, table)
+    state.upsert_state(spark, table, rows(batches[3], "domain string, type string, value string, first_seen bigint, last_seen bigint"), position=last.top)
+    assert triples(state.read_state(spark, table)) == want, "a batch that comes again changes nothing"
+    assert spark.conf.get(streams.STATE_STORE) != streams.ROCKSDB
+
+
+def test_keys_expire_in_stream_and_table(spark):
+    source, table, marks = (folder(spark, n) for n in ("in", "st", "m"))
+    now, ttl = int(time.time() * 1_000_000), 3600 * 1_000_000
+    batches = [
+        [("old.com", "A", "1", 5, now - 2 * ttl), ("back.com", "A", "1", 7, now - 2 * ttl), ("new.com", "A", "1", 9, now), ("unknown.com", "A", "1", 0, 0)],
+        [("other.com", "A", "1", now, now)],
+        [("back.com", "A", "1", now - 5, now), ("other.com", "A", "1", 3, 3)],
+    ]
+    seen = []
+    for number, batch in enumerate(batches):
+        events_file(spark, source, number, batch)
+        flow = messages.read_stream(spark, f"{source}/*", max_per_batch=1)
+        streams.start_stateful_aggregator(flow, table, marks, ttl=ttl, once=True, compact_every=2, compact_share=0).awaitTermination()
+        seen.append(triples(state.read_state(spark, table)))
+    assert [r[0] for r in seen[0]] == ["back.com", "new.com", "old.com", "unknown.com"]
+    assert [r[0] for r in seen[1]] == ["new.com", "other.com", "unknown.com"]
+    assert seen[2] == sorted([("back.com", "A", "1", now - 5, now), ("new.com", "A", "1", 9, now), ("other.com", "A", "1", 3, now), ("unknown.com", "A", "1", 0, 0)])

@@ -16,6 +16,7 @@ from nameledger.operators import fold, geo, index, ingest, keyed, lookup, mergin
 from nameledger.plans import intel as plans
 from nameledger.session import shared_dir
 from nameledger.sources import geo as geo_files
+from nameledger.sources import index_table
 from nameledger.sources import intel as intel_files
 from nameledger.sources import messages, state as state_table
 from nameledger.streaming import queries as streams
@@ -567,6 +568,18 @@ def distinct_ips(spark, sf):
     return index.distinct_ips(_state_all(spark, sf))
 
 
+@register("SELECT ip, domains, last_seen FROM ip_index")
+def update_ip_index(spark, sf):
+    """A bucketed index of half the events, brought up to date by what the other half changed in the stored state."""
+    path = _scratch(spark, "state")
+    first, second = _by_device(spark, sf)
+    old = state_table.upsert_state(spark, path, first)
+    index_table.write_index_table(index.ip_index(state_table.read_state(spark, path)), f"{path}-index", 8)
+    state_table.upsert_state(spark, path, second)
+    index_table.update_index_table(spark, f"{path}-index", f"{path}-index-2", state_table.state_changes(spark, path, old.version))
+    return index_table.read_index_table(spark, f"{path}-index-2").select("ip", _text("domains").alias("domains"), "last_seen")
+
+
 # --- geo ---------------------------------------------------------------------------------------
 
 
@@ -679,6 +692,23 @@ def geo_csv_named(spark, sf):
     return geo.geo_join(_ip_index(spark, sf), v4=ranges).select("ip", "country", "city")
 
 
+@register(
+    """SELECT ip, nullif(g.country, '') AS country, nullif(g.city, '') AS city
+       FROM ip_numbers LEFT JOIN (SELECT start, start + CASE WHEN start % 64 = 32 THEN 15 ELSE 27 END AS stop, country, city FROM geo_v4) g
+       ON n BETWEEN g.start AND g.stop"""
+)
+def geo_csv_mixed(spark, sf):
+    """One folder of files without a header and with one: each is read by its own first line."""
+    path = _scratch(spark, "geo-mixed")
+    plain, named = I.geo_csv_plain(spark, sf), I.geo_csv_named(spark, sf)
+    odd = F.element_at(F.split(F.element_at(F.split("network", "/"), 1), r"\."), -1).cast("int") % 64 >= 32
+    named.where(odd).write.option("header", True).csv(f"{path}/named")
+    even = F.element_at(F.split("c0", r"\."), -1).cast("int") % 64 < 32
+    plain.where(even).write.csv(f"{path}/plain")
+    ranges = geo_files.read_geo_csv(spark, f"{path}/*", 4)
+    return geo.geo_join(_ip_index(spark, sf), v4=ranges).select("ip", "country", "city")
+
+
 def _wanted_ips(spark, sf):
     """An IP list from the orders table: some in the index, some not."""
     return I.table(spark, sf, "orders").selectExpr(
@@ -881,6 +911,20 @@ def intel_summary(spark, sf):
     return rollups.intel_summary(_intel(spark, sf))
 
 
+@register(
+    """SELECT count(*) AS records, count(*) FILTER (WHERE country IS NOT NULL OR city IS NOT NULL) AS enriched,
+         true AS ips_within, true AS domains_within FROM intel"""
+)
+def sketched_summary(spark, sf):
+    """The summary from sketches of eight parts; its distinct counts are within four standard errors of the exact ones."""
+    intel = _intel(spark, sf).withColumn("by", F.pmod(F.xxhash64("ip"), F.lit(8)))
+    united = rollups.united_summary(rollups.summary_sketches(intel, "by"))
+    exact = rollups.intel_summary(intel).withColumnsRenamed({"unique_ips": "ips", "unique_domains": "domains"}).select("ips", "domains", F.lit(1).alias("k"))
+    both = united.withColumn("k", F.lit(1)).join(exact, "k")
+    within = [(F.abs(F.col(f"unique_{c}") - F.col(c)) <= 4 * 0.0082 * F.col(c)).alias(f"{c}_within") for c in ("ips", "domains")]
+    return both.select("records", "enriched", *within)
+
+
 @register(
     f"""SELECT w.ip, i.domains, i.last_seen, i.country, i.ip IS NOT NULL AS found
         FROM ({_WANTED}) w LEFT JOIN intel i ON w.ip = i.ip"""
@@ -1299,6 +1343,33 @@ def intel_summary_bucketed(spark, sf):
     return rollups.intel_summary(geo.geo_join(index.ip_index(_state(spark, sf), buckets=4), v4=I.geo_v4(spark, sf)))
 
 
+@register("SELECT domain, type, value, first_seen, last_seen FROM state")
+def stream_stateful(spark, sf):
+    """The fold kept in the stream's state, in batches and over a restart; only changed keys go to the table."""
+    source, table, marks = (_scratch(spark, n) for n in ("events", "state", "position"))
+    for number, part in enumerate(_by_device(spark, sf)):
+        part.select(F.to_json(F.array(F.struct(*part.columns))).alias("value")).repartition(2).write.text(f"{source}/part={number}")
+        stream = messages.read_stream(spark, f"{source}/*", max_per_batch=2)
+        streams.start_stateful_aggregator(stream, table, marks, once=True).awaitTermination()
+    return state_table.read_state(spark, table).drop("shard_id")
+
+
+@register(
+    """SELECT (SELECT count(*) FROM dns_events) AS events, 0::BIGINT AS rejects, shard, count(*) AS n
+       FROM dns_events JOIN shards USING (domain) GROUP BY shard"""
+)
+def stream_figures(spark, sf):
+    """Events, rejects and events per shard as the running query observed them."""
+    source, table, marks = (_scratch(spark, n) for n in ("events", "state", "position"))
+    events = _events(spark, sf)
+    events.select(F.to_json(F.array(F.struct(*events.columns))).alias("value")).repartition(2).write.text(source)
+    query = streams.start_aggregator(messages.read_stream(spark, source, max_per_batch=1), table, marks, once=True)
+    query.awaitTermination()
+    sums = streams.figures(query)["total"]
+    rows = [(sums["events"], sums["rejects"], int(name[6:]), n) for name, n in sums.items() if name.startswith("shard_") and n]
+    return spark.createDataFrame(rows, "events bigint, rejects bigint, shard bigint, n bigint")
+
+
 @register("SELECT domain, type, value, first_seen, last_seen FROM state")
 def two_aggregators(spark, sf):
     """Two streams with a position each and one name, into one table, one after the other."""
