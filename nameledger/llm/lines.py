@@ -24,9 +24,9 @@ LEAST_WORDS = 4
 #: A similarity of 0.8 in whole numbers: WHOLE * shared >= PART * united.
 PART, WHOLE = 4, 5
 #: Counts of words are kept in so many slots by hash, a byte each, whatever the input: the order is only for speed.
-SLOTS = 1 << 18
+SLOTS = 1 << 20
 #: A rank is four times the binary logarithm of a slot's count; from this one on a word alone is no key.
-LEVELS, FREQUENT = 126, 36
+LEVELS, FREQUENT = 126, 46
 RANK_BIT = 56
 #: Classes of a key that are paired in the task that groups them; in larger groups the earliest class comes first.
 FEW = 32
