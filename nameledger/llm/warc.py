@@ -27,6 +27,8 @@ LEAST_PAYLOAD = 1000
 ROLL_BYTES = 64 << 20
 BLOCK_BYTES = 1 << 18
 LEVEL = 6
+#: Archives beyond this number share tasks.
+MOST_READERS = 1 << 16
 SALTS = 16
 #: The pages carry no time of their own, and equal input has to give equal archives.
 DATE = "1970-01-01T00:00:00Z"
@@ -184,8 +186,9 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                             size, base64.b32decode(said.removeprefix("sha1:")).hex(), holds, payload if payloads and kind == "response" else None,
                         )
 
-    spread = archives.select("path", "folder").repartition(F.col("path"))
-    return map_rows(spread, rows, RECORDS)
+    # the list of archives is small and its rows are much work: a number of partitions keeps them from being merged
+    at_once = max(1, min(archives.count(), MOST_READERS))
+    return map_rows(archives.select("path", "folder").repartition(at_once), rows, RECORDS)
 
 
 def archive_pages(pages: DataFrame, least: int = LEAST_PAYLOAD, roll: int = ROLL_BYTES, payloads: bool = False) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from nameledger.llm.common import new_folder
 from nameledger.llm.warc import archive_pages, mark_revisits, member, members, parsed, read_archives, write_archives
@@ -54,5 +55,13 @@ def test_damage_is_seen(spark, rows):
     assert [r.verified for r in read_archives(archives).collect()] == [True]
 
 
+def test_archives_are_read_by_as_many_tasks(spark, rows):
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://a/', id) AS url", "repeat(cast(id AS string), 300) AS html")
+    archives = write_archives(mark_revisits(pages), new_folder(spark, "warc-many"), roll=2_000)
+    n = archives.count()
+    out = read_archives(archives).groupBy(F.spark_partition_id()).count().collect()
+    assert n > 20 and len(out) == n and sum(r["count"] for r in out) == 400
+
+
 def test_no_pages(rows):
     assert archive_pages(rows([], SCHEMA)).count() == 0
