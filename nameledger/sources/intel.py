@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from nameledger import schemas
 from nameledger.functions.records import first_domain, last_seen_or_zero, to_intel_json
-from nameledger.functions.text import non_empty, trimmed
+from nameledger.functions.text import non_empty, once, trimmed
 from nameledger.sources import files
 
+# The last field receives text that does not fit the schema.
 _LINE = schemas.T.StructType(
     [
-        schemas.T.StructField(f.name, schemas.T.StringType() if f.name == "last_seen" else f.dataType)
-        for f in schemas.IP_INTEL
+        *[
+            schemas.T.StructField(f.name, schemas.T.StringType() if f.name == "last_seen" else f.dataType)
+            for f in schemas.IP_INTEL
+        ],
+        schemas.T.StructField("_misfit", schemas.T.StringType()),
     ]
 )
 
@@ -25,10 +29,10 @@ def read_ip_intel(spark: SparkSession, path: str) -> DataFrame:
     missing or non-numeric time is 0, and the older single ``domain`` field is kept as it is.
     """
     lines = spark.read.text(path).where(trimmed("value") != "")
-    parsed = lines.where(F.try_parse_json("value").isNotNull()).select(
-        F.from_json("value", _LINE).alias("_r")
-    )
-    named = parsed.where(F.coalesce(F.col("_r.ip"), F.lit("")) != "").select("_r.*")
+    parsed = once(lines, "_r", F.from_json("value", _LINE, {"columnNameOfCorruptRecord": "_misfit"}))
+    # a line is read again only if it did not fit: mistyped fields are tolerated, text that is no JSON is not
+    readable = F.col("_r._misfit").isNull() | F.try_parse_json("_r._misfit").isNotNull()
+    named = parsed.where(readable & (F.coalesce(F.col("_r.ip"), F.lit("")) != "")).select("_r.*").drop("_misfit")
     return named.withColumns(
         {
             "part": F.coalesce("part", F.lit(0)),
