@@ -18,6 +18,8 @@ from nameledger.sources.files import delete_tree
 #: Words are separated by these characters: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 ROWS_OUT = 20_000
+#: Spark's setting by which a query's shuffle files are removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,8 +52,13 @@ class Scratch:
         self.spark, self.folder = spark, new_folder(spark, what)
 
     def keep(self, df: DataFrame, what: str) -> DataFrame:
-        """The rows of ``df`` after they were written: the plan behind them ends here."""
-        df.write.parquet(f"{self.folder}/{what}")
+        """The rows of ``df`` after they were written: the plan behind them ends here, and its shuffle files go."""
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(f"{self.folder}/{what}")
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{what}")
 
     def drop(self, what: str) -> None:
