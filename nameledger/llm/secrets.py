@@ -1,8 +1,9 @@
 """Secret scans: patterns propose candidates, a random forest takes out the false ones.
 
-A candidate is a run of key characters with letters and digits. What the forest sees of it: its length, its mix of
-and its changes between character classes, how much of it dictionary words cover, whether it stands in a path, and the
-words beside it. The forest is trained from labelled findings; built-in functions and Spark's own learner only.
+A candidate is a private key block, a web token of three parts, whatever is set to a name that sounds like a key, or a
+run of key characters with letters and digits. What the forest sees of it: its length, its mix of and its changes between
+character classes, how much of it dictionary words cover, whether it stands in a path, and the words beside it. The
+forest is trained from labelled findings; built-in functions and Spark's own learner only.
 """
 
 from __future__ import annotations
@@ -11,13 +12,12 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nameledger.functions.text import let
 from nameledger.llm.common import most_frequent, words_of, written
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*[0-9])(?=[0-9+/_=\-]*[A-Za-z])[A-Za-z0-9+/_=\-]{16,}"
 BEFORE, AFTER = 64, 24
 MASK = "[SECRET]"
 TREES, DEPTH, SEED = 20, 6, 11
@@ -25,12 +25,22 @@ TREES, DEPTH, SEED = 20, 6, 11
 EXAMPLES = 150
 DICTIONARY = 2_000
 
-KEY_WORDS = "token|secret|password|passwd|pwd|api.?key|access.?key|private.?key|auth|bearer|credential"
+KEY_WORDS = "token|secret|password|passwd|pwd|api.?key|access.?key|private.?key|auth(?!ors?\\b)|bearer|credential"
 PLAIN_WORDS = "commit|revision|sha|md5|checksum|digest|hash|etag|build|version|uuid|guid|session.?id|order|page|image|href|src"
 
+#: A name with a key word in it, and what sets it to a value; then the value, to its last character that ends no phrase.
+LEAD = rf"(?i:{KEY_WORDS})[A-Za-z0-9_.\-]{{0,12}}[\"'`]?[ \t]{{0,4}}(?::=|=>|[=:])[ \t]{{0,4}}(?:(?i:bearer|basic)[ \t]{{1,4}})?[\"'`]?"
+VALUE = r"[^\s\"'`]{5,}[^\s\"'`,;.)\]}]"
+BLOCK = r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----[^\-]*(?:-(?!----)[^\-]*){0,40}-----END [A-Z ]{0,32}PRIVATE KEY-----"
+WEB_TOKEN = r"(?<![A-Za-z0-9+/_\-])eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}"
+RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])(?=[0-9+/_\-]*[A-Za-z])[A-Za-z0-9+/_\-]{16,}={0,2}"
+#: The lead belongs to the match, so that no lookbehind is needed, and is taken off it afterwards.
+CANDIDATE = rf"{BLOCK}|{LEAD}(?:{BLOCK}|{VALUE})|{WEB_TOKEN}|{RUN}"
+LED = rf"^({LEAD})(?:{BLOCK}|{VALUE})"
+
 FEATURES = [
     "length", "digits", "uppers", "lowers", "symbols", "variety", "changes", "longest_letters", "covered", "is_hex", "slashes",
-    "in_path", "assigned", "quoted", "key_word", "plain_word",
+    "in_path", "assigned", "quoted", "key_word", "plain_word", "vowels", "marked", "code",
 ]
 
 
@@ -67,10 +77,13 @@ def with_features(findings: DataFrame, known: list[str]) -> DataFrame:
         "is_hex": value.rlike("^([0-9a-f]+|[0-9A-F]+)$"),
         "slashes": F.length(value) - F.length(F.replace(value, F.lit("/"), F.lit(""))),
         "in_path": before.rlike(r"(?:://[^\s]*|[/.?&][A-Za-z0-9_%=.\-]*|\\)$") | after.rlike(r"^(?:/|\.[a-z]{2,4}\b)"),
-        "assigned": before.rlike(r"[=:]\s*[\"'`]?$|(?i:bearer)\s+$"),
+        "assigned": before.rlike(r"(?:[=:]|=>)\s*[\"'`]?$|(?i:bearer|basic)\s+[\"'`]?$"),
         "quoted": before.rlike(r"[\"'`]$") & after.rlike(r"^[\"'`]"),
-        "key_word": before.rlike(rf"(?i)(?:{KEY_WORDS})[^\n]{{0,12}}$"),
+        "key_word": before.rlike(rf"(?i)(?:{KEY_WORDS})[^\n]{{0,24}}$"),
         "plain_word": before.rlike(rf"(?i)(?:{PLAIN_WORDS})[^\n]{{0,12}}$"),
+        "vowels": share("[^AEIOUaeiou]"),
+        "marked": value.rlike("^(?:-----BEGIN|eyJ|AKIA|ghp_|sk-|xoxb-|glpat-)"),
+        "code": value.rlike(r"^[$<{*]|[(\[]|://|^[A-Za-z_]+(?:\.[A-Za-z_]+)+"),
     }
     return findings.withColumns({name: F.coalesce(made[name].cast("double"), F.lit(0.0)) for name in FEATURES})
 
@@ -92,6 +105,23 @@ def labelled_findings(spark: SparkSession, known: list[str], examples: int = EXA
     key = pick(6, "token", "TOKEN", "secret", "api_key", "apiKey", "password", "access_key", "auth_token", "client_secret")
     set_to = pick(7, ' = "', '="', ": ", '": "', " = '", "=", " := \"")
     prose = F.concat(word(8), F.lit(" "), word(9), F.lit(" "))
+    # letters only, passwords of a word, digits and marks, and what else may stand after a key word
+    letters = F.call_function(
+        "translate", F.substring(sha, F.lit(1), pick(23, 16, 20, 24, 30, 40)), F.lit("0123456789"), pick(24, "ghijklmnop", "qrstuvwxyz", "kmpqrtvwxz")
+    )
+    cased = F.when(F.pmod(F.hash("id", F.lit("cased")), F.lit(3)) == 0, F.upper(letters)).otherwise(letters)
+    mark = lambda n: pick(n, "!", "@", "#", "&", "%", "?", "+", "*")
+    stem = F.when(F.pmod(F.hash("id", F.lit("stem")), F.lit(2)) == 0, F.initcap(F.left(word(25), F.lit(7)))).otherwise(F.left(word(25), F.lit(7)))
+    phrase = F.concat(stem, F.right(number, F.lit(3)), mark(26), F.left(coded, pick(27, 1, 2, 3, 5)), pick(28, "", "!", "!!", "9", "#1"))
+    chosen = F.concat(F.left(coded, pick(29, 4, 6, 8)), mark(30), F.substring(sha, F.lit(9), pick(31, 2, 4, 6)), mark(32), F.right(number, F.lit(2)))
+    name = pick(33, "password", "DB_PASSWORD", "passwd", "pwd", "secret_key", "API_KEY", "client_secret", "MYSQL_PASSWORD", "token", "auth_token")
+    web = F.concat(F.lit("eyJ"), F.left(coded, F.lit(17)), F.lit(".eyJ"), coded, F.lit("."), F.left(F.translate(F.base64(F.unhex(sha)), "+/=", "-_"), F.lit(43)))
+    kind = pick(34, "RSA ", "", "EC ", "OPENSSH ")
+    block = F.concat(F.lit("-----BEGIN "), kind, F.lit("PRIVATE KEY-----\n"), coded, F.lit("\n"), coded, F.lit("\n-----END "), kind, F.lit("PRIVATE KEY-----"))
+    strange = F.concat(F.left(word(35), F.lit(5)), F.right(word(36), F.lit(5)))  # reads like a word, but is none
+    called = F.concat(word(37), F.lit("."), word(38), pick(39, "(", "[", ".", "_"), word(40), pick(41, "(", ".x", "_id", "["))
+    held_place = F.concat(pick(42, "<your-", "${", "{{", "<"), word(43), pick(44, "-here>", "_key}", "}}", ">"))
+    closing = pick(46, '" ', "' ", '"', "\n", " ")
     kinds = [
         (1, either, F.concat(prose, key, set_to), pick(10, '" ', "' ", '"', "\n")),
         (1, coded, F.concat(prose, key, set_to), pick(10, '" ', "' ", '"', "\n")),
@@ -104,6 +134,18 @@ def labelled_findings(spark: SparkSession, known: list[str], examples: int = EXA
         (0, F.concat(F.lit("/"), joined("/")), F.concat(prose, F.lit("in ")), pick(20, ".html", "/", " ")),
         (0, dashed, F.concat(prose, pick(21, "uuid ", "id: ", "session id = ", "guid=")), F.lit(" ")),
         (0, F.concat(word(22), word(23), word(24), number), prose, F.lit(". ")),
+        (1, cased, F.concat(prose, name, set_to), closing),
+        (1, phrase, F.concat(prose, name, set_to), closing),
+        (1, chosen, F.concat(prose, name, set_to), closing),
+        (1, web, F.concat(prose, pick(45, "", "Bearer ", 'jwt: "', "token=")), closing),
+        (1, block, F.concat(prose, pick(47, "", "\n", 'private_key: "')), closing),
+        (0, pick(48, "required", "optional", "changed", "missing", "expired", "invalid", "example"), F.concat(prose, name, set_to), closing),
+        (0, F.when(F.length(strange) > 5, strange).otherwise(F.concat(strange, strange)), F.concat(prose, name, set_to), closing),
+        (0, F.concat(word(49), pick(50, "-", "_", "/"), word(51)), F.concat(prose, name, set_to), closing),
+        (0, F.concat(F.lit("https://"), word(52), F.lit(".example.com/"), word(53)), F.concat(prose, name, set_to), closing),
+        (0, called, F.concat(prose, name, pick(54, " = ", "=", ": ")), pick(55, ") ", '"', "\n", ")")),
+        (0, held_place, F.concat(prose, name, set_to), closing),
+        (0, F.repeat(pick(56, "*", "x", "X", "."), pick(57, 6, 8, 12, 20)), F.concat(prose, name, set_to), closing),
     ]
     rows = spark.range(examples)
     out = None
@@ -125,20 +167,30 @@ def train(labelled: DataFrame, known: list[str]) -> PipelineModel:
     return PipelineModel([assembler, forest.fit(rows.select("features", "label"))])
 
 
-def candidates(text: Column) -> tuple[Column, Column]:
-    """The candidates of a text and the stretches between them, which are one more: text = p0 c0 p1 c1 ... pn."""
-    return F.regexp_extract_all(text, F.lit(CANDIDATE), 0), F.split(text, CANDIDATE, -1)
+def candidates(rows: DataFrame, text: Column, *keep: str | Column) -> DataFrame:
+    """``keep``, __found and __parts, worked out once a row: text = p0 lead0 value0 p1 lead1 value1 ... pn."""
+    matches, parts = F.regexp_extract_all(text, F.lit(CANDIDATE), 0), F.split(text, CANDIDATE, -1)
+    split = rows.select(*keep, F.explode(F.array(F.struct(matches.alias("matches"), parts.alias("parts")))).alias("__split"))
+
+    def cut(match: Column) -> Column:
+        lead = F.regexp_extract(match, LED, 1)
+        return let(lead, lambda x: F.struct(x.alias("lead"), F.substr(match, F.length(x) + 1).alias("value")))
+
+    names = [c for c in split.columns if c != "__split"]
+    found = F.transform("__split.matches", cut)
+    return split.select(*names, F.explode(F.array(found)).alias("__found"), F.col("__split.parts").alias("__parts"))
 
 
 def exploded(rows: DataFrame) -> DataFrame:
-    """One row per candidate of rows with __found and __parts: at, value, before and after."""
-    return rows.select("*", F.posexplode("__found").alias("at", "value")).select(
-        *[c for c in rows.columns if c not in ("__found", "__parts")],
-        "at",
-        "value",
-        F.right(F.get("__parts", F.col("at")), F.lit(BEFORE)).alias("before"),
-        F.left(F.get("__parts", F.col("at") + 1), F.lit(AFTER)).alias("after"),
-    )
+    """One row per candidate of rows with __found and __parts: at, skipped (characters since the last), value, before and after."""
+
+    def finding(x: Column, at: Column) -> Column:
+        before = F.concat(F.get("__parts", at), x["lead"])
+        after = F.left(F.get("__parts", at + 1), F.lit(AFTER))
+        return F.struct(F.length(before).alias("skipped"), x["value"].alias("value"), F.right(before, F.lit(BEFORE)).alias("before"), after.alias("after"))
+
+    names = [c for c in rows.columns if c not in ("__found", "__parts")]
+    return rows.select(*names, F.posexplode(F.transform("__found", finding)).alias("at", "__finding")).select(*names, "at", "__finding.*")
 
 
 def judged(found: DataFrame, model: PipelineModel, known: list[str]) -> DataFrame:
@@ -157,18 +209,17 @@ def scan(docs: DataFrame, model: PipelineModel | None = None, known: list[str] |
     """doc_id, at, start, value, before, after, score and is_secret: one row per candidate.
 
     Reads doc_id and text, other columns are passed over. Null and empty texts have no candidates; rows with equal or
-    null ids are scanned each for itself; every occurrence is a candidate of its own. Whole texts are searched, without
-    a shuffle. With no ``model``, one is trained from labelled findings made with the words of these documents.
+    null ids are scanned each for itself; every occurrence is a candidate of its own. Whole texts are searched; only
+    findings are shuffled, to add up their places. With no ``model``, one is trained from labelled findings made with
+    the words of these documents.
     """
     if model is None:
         model, known = learned(docs)
-    found, parts = candidates(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.col("text").rlike(CANDIDATE))
-    split = rows.select("doc_id", found.alias("__found"), parts.alias("__parts"))
-    lengths = lambda n: F.aggregate(F.slice("__parts", 1, n + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice("__found", 1, n), F.lit(0), lambda a, x: a + F.length(x))
-    starts = split.withColumn("__starts", F.transform("__found", lambda _, n: lengths(n)))
-    out = exploded(starts)
-    out = out.select("doc_id", "at", F.get("__starts", F.col("at")).alias("start"), "value", "before", "after")
+    found = exploded(candidates(rows.withColumn("__row", F.monotonically_increasing_id()), F.col("text"), "__row", "doc_id"))
+    in_text = Window.partitionBy("__row").orderBy("at")
+    start = F.sum(F.col("skipped") + F.length("value")).over(in_text) - F.length("value")
+    out = found.select("doc_id", "at", start.cast("int").alias("start"), "value", "before", "after")
     return judged(out, model, known or [])
 
 
@@ -180,16 +231,22 @@ def mask_secrets(docs: DataFrame, model: PipelineModel | None = None, known: lis
     if model is None:
         model, known = learned(docs)
     has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    found, parts = candidates(F.col("text"))
-    hits = docs.where(has).select(F.struct(*[docs[c] for c in docs.columns]).alias("__document"), found.alias("__found"), parts.alias("__parts"))
+    hits = docs.where(has).select(F.struct(*[docs[c] for c in docs.columns]).alias("__document"))
+    hits = candidates(hits, F.col("__document.text"), "__document")
     hits = written(hits.withColumn("__row", F.monotonically_increasing_id()), "secret-candidates")
     verdicts = judged(exploded(hits.select("__row", "__found", "__parts")), model, known or [])
-    secret = verdicts.where("is_secret").groupBy("__row").agg(F.collect_set("at").alias("__secret"))
+    in_order = F.array_sort(F.collect_list(F.struct("at", "is_secret")))
+    secret = verdicts.groupBy("__row").agg(in_order.alias("__verdicts"), F.max("is_secret").alias("__any")).where("__any")
+    secret = secret.select("__row", F.col("__verdicts.is_secret").alias("__secret"))
 
     def rebuilt(at: Column) -> Column:
         pieces = F.transform(
             F.arrays_zip("__parts", "__found"),
-            lambda x, i: F.concat(x["__parts"], F.when(F.array_contains(at, i), F.lit(MASK)).otherwise(F.coalesce(x["__found"], F.lit("")))),
+            lambda x, i: F.concat(
+                x["__parts"],
+                F.coalesce(x["__found"]["lead"], F.lit("")),
+                F.when(F.get(at, i), F.lit(MASK)).otherwise(F.coalesce(x["__found"]["value"], F.lit(""))),
+            ),
         )
         return F.array_join(pieces, "")
 
