@@ -93,7 +93,8 @@ def labelled_findings(spark: SparkSession, known: list[str], examples: int = EXA
 
     The words around them come from the dictionary; everything follows from row numbers and ``salt``.
     """
-    word = lambda n: F.get(F.array(*map(F.lit, known[:500] or ["word"])), F.pmod(F.hash("id", F.lit(salt), F.lit(n)), F.lit(min(500, len(known)) or 1)).cast("int"))
+    listed = F.split(F.lit(" ".join(known[:500] or ["word"])), " ")  # one constant in the plan, not one a word
+    word = lambda n: F.get(listed, F.pmod(F.hash("id", F.lit(salt), F.lit(n)), F.size(listed)))
     pick = lambda n, *options: F.get(F.array(*map(F.lit, options)), F.pmod(F.hash("id", F.lit(salt), F.lit(n)), F.lit(len(options))))
     sha = F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 512)
     hexes = F.substring(sha, F.lit(1), pick(1, 32, 40, 48, 64))
@@ -147,12 +148,11 @@ def labelled_findings(spark: SparkSession, known: list[str], examples: int = EXA
         (0, held_place, F.concat(prose, name, set_to), closing),
         (0, F.repeat(pick(56, "*", "x", "X", "."), pick(57, 6, 8, 12, 20)), F.concat(prose, name, set_to), closing),
     ]
-    rows = spark.range(examples)
-    out = None
-    for label, value, before, after in kinds:
-        part = rows.select(value.alias("value"), F.right(before, F.lit(BEFORE)).alias("before"), F.left(after, F.lit(AFTER)).alias("after"), F.lit(float(label)).alias("label"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows = [
+        F.struct(value.alias("value"), F.right(before, F.lit(BEFORE)).alias("before"), F.left(after, F.lit(AFTER)).alias("after"), F.lit(float(label)).alias("label"))
+        for label, value, before, after in kinds
+    ]
+    return spark.range(examples).select(F.inline(F.array(*rows)))
 
 
 def train(labelled: DataFrame, known: list[str]) -> PipelineModel:
