@@ -23,10 +23,10 @@ from nameledger.llm.common import Scratch, written
 LEAST_WORDS = 4
 #: A similarity of 0.8 in whole numbers: WHOLE * shared >= PART * united.
 PART, WHOLE = 4, 5
-#: Counts of words are kept in so many slots by hash, a byte each, whatever the input: the order is only for speed.
-SLOTS = 1 << 20
+#: Counts of words are kept in slots by hash, a byte each, one for so many words: the order is only for speed.
+WORDS_OF_SLOT, LEAST_SLOTS, MOST_SLOTS, CHUNK = 64, 1 << 14, 1 << 24, 1 << 12
 #: A rank is four times the binary logarithm of a slot's count; from this one on a word alone is no key.
-LEVELS, FREQUENT = 126, 46
+LEVELS, FREQUENT = 126, 40
 RANK_BIT = 56
 #: Classes of a key that are paired in the task that groups them; in larger groups the earliest class comes first.
 FEW = 32
@@ -61,24 +61,34 @@ def with_words(lines: DataFrame) -> DataFrame:
     return found.select("*", F.size("tokens").alias("n"))
 
 
-def rank_table(sets: DataFrame) -> bytes:
-    """A byte a slot: how frequent the words are that hash to it, counted over all sets; a table of one size."""
+def slots_for(words: int) -> int:
+    """As many slots as keep the chance meetings of rare words few: a power of two."""
+    return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (words // WORDS_OF_SLOT).bit_length()))
+
+
+def rank_table(sets: DataFrame, slots: int) -> DataFrame:
+    """One row, ranks: a byte a slot, how frequent the words are that hash to it, counted over all sets."""
     spark = sets.sparkSession
-    slot = F.pmod(F.col("word"), F.lit(SLOTS)).alias("slot")
+    slot = F.pmod(F.col("word"), F.lit(slots)).alias("slot")
     counts = sets.select(F.explode("tokens").alias("word")).groupBy(slot).agg(F.count("*").alias("n"))
-    every = counts.unionByName(spark.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("n")))
+    every = counts.unionByName(spark.range(slots).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("n")))
     level = F.least(F.lit(LEVELS), F.floor(4 * F.log2(F.sum("n") + 1))) + 1
-    bytes_of = every.groupBy("slot").agg(F.lpad(F.hex(level), 2, F.lit("0")).alias("byte"))
-    in_order = F.array_sort(F.collect_list(F.struct("slot", "byte")))
-    return bytes(bytes_of.agg(F.unhex(F.array_join(F.transform(in_order, lambda s: s["byte"]), ""))).first()[0])
+    bytes_of = every.groupBy("slot").agg(F.lpad(F.hex(level), 2, F.lit("0")).alias("bytes"))
+
+    def joined(parts: DataFrame, by: list[Column]) -> DataFrame:
+        in_order = F.array_sort(F.collect_list(F.struct("slot", "bytes")))
+        return parts.groupBy(*by).agg(F.array_join(F.transform(in_order, lambda s: s["bytes"]), "").alias("bytes"))
 
+    chunks = joined(bytes_of, [F.floor(F.col("slot") / CHUNK).alias("chunk")]).withColumnRenamed("chunk", "slot")
+    return joined(chunks, []).select(F.unhex("bytes").alias("ranks"))
 
-def by_rarity(tokens: Column, table: bytes) -> Column:
+
+def by_rarity(tokens: Column, ranks: Column, slots: int) -> Column:
     """The words as numbers, the rarest first: the rank stands above the word's hash."""
 
     def ranked(word: Column) -> Column:
-        slot = F.pmod(word, F.lit(SLOTS)).cast("int")
-        rank = F.ascii(F.substring(F.lit(table), slot + 1, 1).cast("string")).cast("bigint")
+        slot = F.pmod(word, F.lit(slots)).cast("int")
+        rank = F.ascii(F.substring(ranks, slot + 1, 1).cast("string")).cast("bigint")
         return F.shiftleft(rank, RANK_BIT).bitwiseOR(F.shiftrightunsigned(word, 64 - RANK_BIT))
 
     return F.sort_array(F.transform(tokens, ranked))
@@ -108,11 +118,18 @@ def needed(a_n: Column, b_n: Column) -> Column:
     return F.ceil((a_n + b_n) * PART / (PART + WHOLE))
 
 
+def mark_of(n: Column, at: Column) -> Column:
+    """Length and place of a key's word in one number, to be sent with each key."""
+    return F.shiftleft(n.cast("bigint"), 32).bitwiseOR(at.cast("bigint"))
+
+
 def possible(a: Column, b: Column) -> Column:
-    """False only for pairs (n, at) that cannot reach the similarity: by length and place in the prefix."""
-    reachable = F.least(a["n"] - a["at"], b["n"] - b["at"])  # if the key's word is the first they share
-    lengths = (a["n"] * WHOLE >= b["n"] * PART) & (b["n"] * WHOLE >= a["n"] * PART)
-    return lengths & (reachable >= needed(a["n"], b["n"]))
+    """False only for pairs (mark, odd) that cannot reach the similarity: by length, place in the prefix and parities."""
+    (a_n, a_at), (b_n, b_at) = ((F.shiftrightunsigned(x["mark"], 32), x["mark"].bitwiseAND(F.lit((1 << 32) - 1))) for x in (a, b))
+    least = needed(a_n, b_n)
+    lengths = (a_n * WHOLE >= b_n * PART) & (b_n * WHOLE >= a_n * PART)
+    reachable = F.least(a_n - a_at, b_n - b_at) >= least  # if the key's word is the first they share
+    return lengths & reachable & (F.bit_count(a["odd"].bitwiseXOR(b["odd"])) <= a_n + b_n - 2 * least)
 
 
 def matched(pairs: DataFrame, sets: DataFrame, scratch: Scratch, what: str) -> DataFrame:
@@ -120,10 +137,10 @@ def matched(pairs: DataFrame, sets: DataFrame, scratch: Scratch, what: str) -> D
     wanted = sets.where(F.col("n") >= LEAST_WORDS)
 
     def marks(of: str) -> DataFrame:
-        return wanted.select(F.col("id").alias(of), *[F.col(c).alias(f"{of}_{c}") for c in ("n", "odd", "even", "first")])
+        return wanted.select(F.col("id").alias(of), *[F.col(c).alias(f"{of}_{c}") for c in ("n", "even", "first")])
 
     near = pairs.join(marks("b"), "b").join(marks("a"), "a").where("b_first < a_first")
-    apart = F.greatest(*[F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("odd", "even")])
+    apart = F.bit_count(F.col("a_even").bitwiseXOR(F.col("b_even")))
     near = near.where(apart <= F.col("a_n") + F.col("b_n") - 2 * needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
     near = scratch.keep(near, what)
     few = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -142,20 +159,23 @@ def later_matches(sets: DataFrame, scratch: Scratch) -> DataFrame:
     short = sets.where((F.col("n") > 0) & (F.col("n") < LEAST_WORDS)).select("id", "first", F.min("first").over(same).alias("least"))
     equal = short.where("first > least").select(F.col("id").alias("a"))
 
-    words = sets.where(F.col("n") >= LEAST_WORDS).select("id", "n", F.col("first.doc").alias("doc"), "tokens")
-    ordered = words.select("id", "n", "doc", F.explode(F.array(by_rarity(F.col("tokens"), rank_table(words)))).alias("words"))
-    keyed = ordered.select("id", "n", "doc", F.inline(prefix_keys(F.col("words"), F.col("n"))))
-    keyed = keyed.select("key", "id", "doc", F.struct("n", "at").alias("mark"))
+    words = sets.where(F.col("n") >= LEAST_WORDS).select("id", "n", F.col("first.doc").alias("doc"), "odd", "tokens")
+    slots = slots_for(words.agg(F.sum("n")).first()[0] or 0)
+    # the table of ranks is a subquery's value: as a literal it would be spelled out in every description of the plan
+    ranked = words.withColumn("ranks", rank_table(words, slots).scalar())
+    ordered = let(by_rarity(F.col("tokens"), F.col("ranks"), slots), lambda found: prefix_keys(found, F.col("n")))
+    keyed = ranked.select("id", "n", "doc", "odd", ordered.alias("keys")).select("id", "n", "doc", "odd", F.inline("keys"))
+    keyed = keyed.select("key", "id", "doc", mark_of(F.col("n"), F.col("at")).alias("mark"), "odd")
 
     # one exchange by key: the only class of a key goes, few classes give pairs, each of many gives itself
     by_key = Window.partitionBy("key")
-    lead = F.min(F.struct("doc", "id", "mark")).over(by_key)
+    lead = F.min(F.struct("doc", "id", "mark", "odd")).over(by_key)
     sized = keyed.select("*", lead.alias("lead"), F.count("*").over(by_key).alias("size")).where("size > 1")
     alone = F.when(F.col("size") > FEW, F.col("id")).otherwise(-1)
-    grouped = sized.groupBy("key", alone.alias("alone")).agg(F.collect_list(F.struct("doc", "id", "mark", "lead")).alias("held"))
+    grouped = sized.groupBy("key", alone.alias("alone")).agg(F.collect_list(F.struct("doc", "id", "mark", "odd", "lead")).alias("held"))
 
     def partners(m: Column) -> Column:
-        fit = F.filter("held", lambda o: (o["doc"] <= m["doc"]) & (o["id"] != m["id"]) & possible(m["mark"], o["mark"]))
+        fit = F.filter("held", lambda o: (o["doc"] <= m["doc"]) & (o["id"] != m["id"]) & possible(m, o))
         return F.transform(fit, lambda o: F.struct(m["id"].alias("a"), o["id"].alias("b")))
 
     pairs = F.when(F.col("alone") < 0, F.flatten(F.transform("held", partners)))
@@ -163,7 +183,7 @@ def later_matches(sets: DataFrame, scratch: Scratch) -> DataFrame:
     found = grouped.select(F.when(member.isNotNull(), F.col("key")).alias("key"), pairs.alias("pairs"), member.alias("m"))
     found = scratch.keep(found.where((F.size("pairs") > 0) | F.col("m").isNotNull()), "found")
     members = found.where("m IS NOT NULL").select("key", "m.*")
-    led = (F.col("id") != F.col("lead.id")) & possible(F.col("mark"), F.col("lead.mark"))
+    led = (F.col("id") != F.col("lead.id")) & possible(F.struct("mark", "odd"), F.col("lead"))
     star = members.where(led).select(F.col("id").alias("a"), F.col("lead.id").alias("b"))
     star = scratch.keep(star.unionByName(found.select(F.inline("pairs"))).distinct(), "star")
     settled = scratch.keep(matched(star, sets, scratch, "near"), "settled")
@@ -171,7 +191,8 @@ def later_matches(sets: DataFrame, scratch: Scratch) -> DataFrame:
     open_ones = members.join(settled, members["id"] == settled["a"], "left_anti")
     earlier = (F.col("m.id") != F.col("o.id")) & (F.col("o.doc") <= F.col("m.doc")) & (F.col("o.id") != F.col("m.lead.id"))
     rest = open_ones.alias("m").join(members.drop("lead").alias("o"), F.col("m.key") == F.col("o.key"))
-    rest = rest.where(earlier & possible(F.col("m.mark"), F.col("o.mark")))
+    sides = [{c: F.col(f"{side}.{c}") for c in ("mark", "odd")} for side in ("m", "o")]
+    rest = rest.where(earlier & possible(*sides))
     rest = rest.select(F.col("m.id").alias("a"), F.col("o.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     late = matched(rest, sets, scratch, "rest")
     return settled.unionByName(late).unionByName(equal)

@@ -1,5 +1,6 @@
 import random
 
+from nameledger.llm import lines
 from nameledger.llm.lines import dedup_report, drop_repeated_lines
 
 SCHEMA = "doc_id bigint, text string, n int, one string, row int, own string"
@@ -82,3 +83,25 @@ def test_short_lines_go_too(rows):
         want[doc] = gone
     got = {r.doc_id: r.removed_lines for r in dedup_report(rows([(d, t, 1, "x", 2, "y") for d, t in data], SCHEMA)).collect()}
     assert got == want and got[40] == [1, 5] and got[43] == [0, 1] and got[None] == [0]
+
+
+def test_a_shared_word_alone_makes_no_pair(rows, monkeypatch):
+    """Lines that share a rare word and little else: no pair of them is joined to sets, and no plan spells out the ranks."""
+    made, plans = [], []
+    matched, keep = lines.matched, lines.Scratch.keep
+
+    def counted(pairs, sets, scratch, what):
+        made.append(pairs.count())
+        return matched(pairs, sets, scratch, what)
+
+    def described(scratch, df, what):
+        plans.append(len(df._jdf.queryExecution().toString()))
+        return keep(scratch, df, what)
+
+    monkeypatch.setattr(lines, "matched", counted)
+    monkeypatch.setattr(lines.Scratch, "keep", described)
+    draw = random.Random(2)
+    texts = [f"shared{i // 4} " + " ".join(draw.sample([f"w{j}" for j in range(1000)], 30)) for i in range(400)]
+    report = dedup_report(rows([(i, t, 1, "x", 2, "y") for i, t in enumerate(texts)], SCHEMA))
+    assert all(r.n_removed == 0 for r in report.collect())
+    assert sum(made) < 20 and max(plans) < 500_000
