@@ -38,7 +38,10 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
 
 def fingerprint(text: str, width: int = WIDTH) -> int:
     """64 bits, each set if it is set in over half of the shingles' XXH64 hashes; no words: zero."""
-    hashes = shingle_hashes(text, width)
+    return fingerprint_of(shingle_hashes(text, width))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     total = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         total += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
