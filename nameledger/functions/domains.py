@@ -104,7 +104,8 @@ def with_domain_arrays(df: DataFrame, arrays: dict[str, Column], idna: bool = Tr
         if _idna_wanted(idna):
             mixed = F.transform(items, lambda j: F.coalesce(j["plain"], j["special"]))
             special = F.exists(items, lambda j: j["special"].isNotNull())
-            plain = F.coalesce(idna_ascii_array(F.when(special, mixed)), plain)
+            none = F.array().cast("array<string>")
+            plain = F.coalesce(idna_ascii_array(F.when(special, mixed).otherwise(none)), plain)
         out = out.withColumn(name, plain)
     return out.drop("_judged")
 

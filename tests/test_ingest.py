@@ -1,5 +1,10 @@
 import json
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from nameledger.functions import domains
 from nameledger.operators import ingest
 from nameledger.sources import messages
 
@@ -165,3 +170,19 @@ def test_full_feeds_keep_their_summaries(rows):
     [entry] = got.domain_correlations
     assert (entry.ndpi_protocol.protocol_name, entry.intelligence.threat_score) == ("DNS", 0.5)
     assert "feed_stats" not in messages.parse_feed(df).columns
+
+
+def test_no_null_lists_go_to_the_names_udf(rows, monkeypatch):
+    """A null list makes Spark go over all nulls before it, row by row: rows that need no UDF send an empty one."""
+    known = domains.idna_ascii_array.func
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def strict(lists: pa.Array) -> pa.Array:
+        assert lists.null_count == 0
+        return known(lists)
+
+    monkeypatch.setattr(domains, "idna_ascii_array", strict)
+    data = [(["a.com", "B.net."],), (None,), ([],), (["münchen.example", None, "-bad.com", "ok.org"],)]
+    found = domains.with_domain_arrays(rows(data, "given array<string>"), {"names": F.col("given")})
+    want = [["a.com", "b.net"], None, [], ["xn--mnchen-3ya.example", None, None, "ok.org"]]
+    assert [r.names for r in found.collect()] == want
