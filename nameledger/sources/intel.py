@@ -126,7 +126,9 @@ def current_output(spark: SparkSession, root: str, back: int = 0) -> str | None:
 
 def event_messages(messages: DataFrame) -> DataFrame:
     """One JSON array per message that has events, in a ``value`` column."""
-    return messages.where(F.size("events") > 0).select(F.to_json("events").alias("value"))
+    # The outer form, as a filter on the array would be pushed down and work the events out a second time.
+    text = F.when(F.size("events") > 0, F.to_json("events"))
+    return messages.select(F.explode_outer(F.array(text)).alias("value")).where(F.col("value").isNotNull())
 
 
 def write_events(messages: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from nameledger.functions import domains
 from nameledger.operators import ingest
-from nameledger.sources import messages
+from nameledger.sources import intel, messages
 
 FEED = "dns_intelligence_comprehensive"
 
@@ -172,6 +172,15 @@ def test_full_feeds_keep_their_summaries(rows):
     assert "feed_stats" not in messages.parse_feed(df).columns
 
 
+def test_events_of_messages_are_worked_out_once(rows):
+    """Messages without events are left out by what was worked out for the text, not by a second pass before it."""
+    record = '{"domain": "%s", "type": "A", "value": "1.1.1.1", "timestamp": 5}'
+    messages = ingest.messages_to_events(rows([(record % "a.com",), (record % "münchen.example",), (record % "",), ("junk",)], "value string"))
+    sent = intel.event_messages(messages)
+    assert sent._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(json.loads(r.value)[0]["domain"] for r in sent.collect()) == ["a.com", "xn--mnchen-3ya.example"]
+
+
 def test_no_null_lists_go_to_the_names_udf(rows, monkeypatch):
     """A null list makes Spark go over all nulls before it, row by row: rows that need no UDF send an empty one."""
     known = domains.idna_ascii_array.func
