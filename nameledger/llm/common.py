@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager, nullcontext
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 ROWS_OUT = 20_000
 #: Spark's setting by which a query's shuffle files are removed when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's setting for how many rows go to a Python worker in one Arrow batch.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,11 +40,26 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """The rows of ``df`` after they went to the shared folder: the plan behind them ends here."""
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session's setting has this value for what runs in the block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, what: str, at_once: int | None = None) -> DataFrame:
+    """The rows of ``df`` after they went to the shared folder: the plan behind them ends here.
+
+    ``at_once`` bounds the rows that go to a Python worker in one batch, for rows of many kilobytes.
+    """
     spark = df.sparkSession
     folder = new_folder(spark, what)
-    df.write.parquet(folder)
+    with setting(spark, ARROW_ROWS, str(at_once)) if at_once else nullcontext():
+        df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -53,12 +71,8 @@ class Scratch:
 
     def keep(self, df: DataFrame, what: str) -> DataFrame:
         """The rows of ``df`` after they were written: the plan behind them ends here, and its shuffle files go."""
-        before = self.spark.conf.get(CLEANUP)
-        self.spark.conf.set(CLEANUP, "true")
-        try:
+        with setting(self.spark, CLEANUP, "true"):
             df.write.parquet(f"{self.folder}/{what}")
-        finally:
-            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{what}")
 
     def drop(self, what: str) -> None:
