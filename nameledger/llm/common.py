@@ -70,9 +70,9 @@ class Scratch:
         self.spark, self.folder = spark, new_folder(spark, what)
 
     def keep(self, df: DataFrame, what: str) -> DataFrame:
-        """The rows of ``df`` after they were written: the plan behind them ends here, and its shuffle files go."""
+        """The rows of ``df`` after they were written, packed well: the plan behind them ends here, and its shuffle files go."""
         with setting(self.spark, CLEANUP, "true"):
-            df.write.parquet(f"{self.folder}/{what}")
+            df.write.option("compression", "zstd").parquet(f"{self.folder}/{what}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{what}")
 
     def drop(self, what: str) -> None:

@@ -105,3 +105,12 @@ def test_a_shared_word_alone_makes_no_pair(rows, monkeypatch):
     report = dedup_report(rows([(i, t, 1, "x", 2, "y") for i, t in enumerate(texts)], SCHEMA))
     assert all(r.n_removed == 0 for r in report.collect())
     assert sum(made) < 20 and max(plans) < 500_000
+
+
+def test_scratch_tables_are_packed(spark, rows):
+    """Tables of word hashes that lie beside the exchange by key take no more disk than they must."""
+    with lines.Scratch(spark, "lines") as scratch:
+        data = [([(7 * i + j % 50) << 40 for j in range(200)],) for i in range(300)]
+        kept = scratch.keep(rows(data, "tokens array<bigint>"), "sets")
+        assert all(".zstd." in name for name in kept.inputFiles())
+        assert sorted(r.tokens for r in kept.collect()) == sorted(t for (t,) in data)
