@@ -23,6 +23,8 @@ ROWS_OUT = 20_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Spark's setting for how many rows go to a Python worker in one Arrow batch.
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Spark's setting by which a stage's operators become one piece of generated code.
+WHOLE_STAGE = "spark.sql.codegen.wholeStage"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
