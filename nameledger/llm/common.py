@@ -66,15 +66,21 @@ def written(df: DataFrame, what: str, at_once: int | None = None) -> DataFrame:
 
 
 class Scratch:
-    """Tables in the shared folder that go when the block ends: what is still needed has to be written elsewhere by then."""
+    """Tables in the shared folder that go when the block ends: what is still needed has to be written elsewhere by then.
 
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark, self.folder = spark, new_folder(spark, what)
+    ``dictionaries`` has, by a table's name, how many bytes of different values may name a column's repeated ones in a file.
+    """
+
+    def __init__(self, spark: SparkSession, what: str, dictionaries: dict[str, int] | None = None):
+        self.spark, self.folder, self.dictionaries = spark, new_folder(spark, what), dictionaries or {}
 
     def keep(self, df: DataFrame, what: str) -> DataFrame:
         """The rows of ``df`` after they were written, packed well: the plan behind them ends here, and its shuffle files go."""
+        to = df.write.option("compression", "zstd")
+        if what in self.dictionaries:
+            to = to.option("parquet.dictionary.page.size", self.dictionaries[what])
         with setting(self.spark, CLEANUP, "true"):
-            df.write.option("compression", "zstd").parquet(f"{self.folder}/{what}")
+            to.parquet(f"{self.folder}/{what}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{what}")
 
     def drop(self, what: str) -> None:

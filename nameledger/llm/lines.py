@@ -24,10 +24,13 @@ LEAST_WORDS = 4
 #: A similarity of 0.8 in whole numbers: WHOLE * shared >= PART * united.
 PART, WHOLE = 4, 5
 #: Counts of words are kept in slots by hash, a byte each, one for so many words: the order is only for speed.
-WORDS_OF_SLOT, LEAST_SLOTS, MOST_SLOTS, CHUNK = 64, 1 << 14, 1 << 24, 1 << 12
-#: A rank is four times the binary logarithm of a slot's count; from this one on a word alone is no key.
-LEVELS, FREQUENT = 126, 40
+WORDS_OF_SLOT, LEAST_SLOTS, MOST_SLOTS, CHUNK = 16, 1 << 14, 1 << 24, 1 << 12
+#: A rank is four times the binary logarithm of a slot's count; from FREQUENT on a word alone is no key.
+#: A slot counted once (ONCE) holds one word of one set: no other set has it, so it is no key either.
+LEVELS, FREQUENT, ONCE = 126, 40, 5
 RANK_BIT = 56
+#: A file of sets names its words by a dictionary of up to so many bytes: frequent words take some bits, not eight bytes.
+DICTIONARY_BYTES = 16 << 20
 #: Classes of a key that are paired in the task that groups them; in larger groups the earliest class comes first.
 FEW = 32
 
@@ -70,8 +73,8 @@ def rank_table(sets: DataFrame, slots: int) -> DataFrame:
     """One row, ranks: a byte a slot, how frequent the words are that hash to it, counted over all sets."""
     spark = sets.sparkSession
     slot = F.pmod(F.col("word"), F.lit(slots)).alias("slot")
-    counts = sets.select(F.explode("tokens").alias("word")).groupBy(slot).agg(F.count("*").alias("n"))
-    every = counts.unionByName(spark.range(slots).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("n")))
+    counted = sets.select(F.explode("tokens").alias("word")).select(slot, F.lit(1).cast("bigint").alias("n"))
+    every = counted.unionByName(spark.range(slots).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("n")))
     level = F.least(F.lit(LEVELS), F.floor(4 * F.log2(F.sum("n") + 1))) + 1
     bytes_of = every.groupBy("slot").agg(F.lpad(F.hex(level), 2, F.lit("0")).alias("bytes"))
 
@@ -103,7 +106,9 @@ def prefix_keys(words: Column, n: Column) -> Column:
         pairs = F.transform(F.slice(words, at + 2, prefix - at), lambda other: F.struct(F.xxhash64(word, other).alias("key"), at.alias("at")))
         return F.when(word < F.lit(FREQUENT << RANK_BIT), alone).otherwise(pairs)
 
-    return F.flatten(F.transform(F.slice(words, 1, prefix), keys))
+    # the places stay those in the whole order: only the keys of words without a second set are left out
+    single = F.size(F.filter(F.slice(words, 1, prefix), lambda word: word < F.lit((ONCE + 1) << RANK_BIT)))
+    return let(single, lambda skip: F.flatten(F.transform(F.slice(words, skip + 1, prefix - skip), lambda word, i: keys(word, i + skip))))
 
 
 def parity(tokens: Column, shift: int) -> Column:
@@ -162,7 +167,8 @@ def later_matches(sets: DataFrame, scratch: Scratch) -> DataFrame:
     words = sets.where(F.col("n") >= LEAST_WORDS).select("id", "n", F.col("first.doc").alias("doc"), "odd", "tokens")
     slots = slots_for(words.agg(F.sum("n")).first()[0] or 0)
     # the table of ranks is a subquery's value: as a literal it would be spelled out in every description of the plan
-    ranked = words.withColumn("ranks", rank_table(words, slots).scalar())
+    ranks = scratch.keep(rank_table(words, slots), "ranks")
+    ranked = words.withColumn("ranks", ranks.scalar())
     ordered = let(by_rarity(F.col("tokens"), F.col("ranks"), slots), lambda found: prefix_keys(found, F.col("n")))
     keyed = ranked.select("id", "n", "doc", "odd", ordered.alias("keys")).select("id", "n", "doc", "odd", F.inline("keys"))
     keyed = keyed.select("key", "id", "doc", mark_of(F.col("n"), F.col("at")).alias("mark"), "odd")
@@ -206,7 +212,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     null ids come last; rows with equal id and text count once, as the same lines.
     """
     lines = split_lines(docs)
-    with Scratch(docs.sparkSession, "lines") as scratch:
+    with Scratch(docs.sparkSession, "lines", {"sets": DICTIONARY_BYTES}) as scratch:
         grouped = lines.select(*_name(), _place().alias("place"), "line").groupBy("one", "two")
         classes = grouped.agg(F.min("place").alias("first"), F.first("line").alias("line"))
         marks = [parity(F.col("tokens"), shift).alias(c) for shift, c in ((0, "odd"), (6, "even"))]
@@ -214,7 +220,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         sets = found.withColumn("id", F.monotonically_increasing_id())
         sets = scratch.keep(sets, "sets")
         late = scratch.keep(later_matches(sets, scratch), "late")
-        for what in ("found", "star", "settled", "near", "near-sets", "rest", "rest-sets"):
+        for what in ("ranks", "found", "star", "settled", "near", "near-sets", "rest", "rest-sets"):
             scratch.drop(what)
         gone = late.select(F.col("a").alias("id"), F.lit(True).alias("gone")).distinct()
         named = sets.select("one", "two", "first", "id").join(gone, "id", "left").drop("id")

@@ -114,3 +114,21 @@ def test_scratch_tables_are_packed(spark, rows):
         kept = scratch.keep(rows(data, "tokens array<bigint>"), "sets")
         assert all(".zstd." in name for name in kept.inputFiles())
         assert sorted(r.tokens for r in kept.collect()) == sorted(t for (t,) in data)
+
+
+def test_words_of_one_set_are_no_keys(rows):
+    """What a rank says occurs once gives no key; later words of the prefix keep their places, and its length."""
+    ranks = [(5, 5, 7, 9), (5, 5, 5, 7), (7, 7, 7, 7), (5, 7, 50, 60)]
+    data = [(k, [(r << 56) + i for i, r in enumerate(own + (100,) * 6)], 10) for k, own in enumerate(ranks)]
+    table = rows(data, "k int, words array<bigint>, n int")
+    got = {r.k: [x.at for x in r.found] for r in table.select("k", lines.prefix_keys(lines.F.col("words"), lines.F.col("n")).alias("found")).collect()}
+    assert got == {0: [2], 1: [], 2: [0, 1, 2], 3: [1, 2]}
+
+
+def test_ranks_tell_words_of_one_set_and_are_a_table(rows, monkeypatch):
+    """Few words share a slot, and what counted them goes from disk before keys are made."""
+    names, keep = [], lines.Scratch.keep
+    monkeypatch.setattr(lines.Scratch, "keep", lambda scratch, df, what: names.append(what) or keep(scratch, df, what))
+    data = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(30)] + [(40, " ".join(f"w3x{j}" for j in range(11)))]
+    got = {r.doc_id: r.n_removed for r in dedup_report(rows(data, "doc_id bigint, text string")).collect()}
+    assert sum(got.values()) == got[40] == 1 and names.index("ranks") < names.index("found")
