@@ -23,9 +23,9 @@ from nameledger.llm.common import Scratch, written
 LEAST_WORDS = 4
 #: A similarity of 0.8 in whole numbers: WHOLE * shared >= PART * united.
 PART, WHOLE = 4, 5
-#: Counts of words are kept in slots by hash, a byte each, one for so many words: the order is only for speed.
+#: Counts of words are kept in slots by hash, two bits each, one for so many words: the order is only for speed.
 WORDS_OF_SLOT, LEAST_SLOTS, MOST_SLOTS, CHUNK = 16, 1 << 14, 1 << 24, 1 << 12
-#: A rank is four times the binary logarithm of a slot's count; from FREQUENT on a word alone is no key.
+#: A rank is four times the binary logarithm of the count of eight slots; from FREQUENT on a word alone is no key.
 #: A slot counted once (ONCE) holds one word of one set: no other set has it, so it is no key either.
 LEVELS, FREQUENT, ONCE = 126, 40, 5
 RANK_BIT = 56
@@ -69,32 +69,46 @@ def slots_for(words: int) -> int:
     return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (words // WORDS_OF_SLOT).bit_length()))
 
 
+def _eighth(word: Column, slots: int) -> Column:
+    """Which eight slots a word's is one of, by the top of its hash; the last three bits say which of the eight."""
+    return F.shiftrightunsigned(word, 67 - (slots - 1).bit_length())
+
+
 def rank_table(sets: DataFrame, slots: int) -> DataFrame:
-    """One row, ranks: a byte a slot, how frequent the words are that hash to it, counted over all sets."""
+    """One row, ranks: how frequent the words are that hash to a slot, counted over all sets.
+
+    Sixteen bits for each eight slots: a bit for each slot counted more than once, above them the rank of these slots
+    together. The value goes through the driver and with tasks, so it has to be small.
+    """
     spark = sets.sparkSession
-    slot = F.pmod(F.col("word"), F.lit(slots)).alias("slot")
+    word = F.col("word")
+    slot = F.shiftleft(_eighth(word, slots), 3).bitwiseOR(word.bitwiseAND(F.lit(7))).alias("slot")
     counted = sets.select(F.explode("tokens").alias("word")).select(slot, F.lit(1).cast("bigint").alias("n"))
-    every = counted.unionByName(spark.range(slots).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("n")))
+    every = counted.unionByName(spark.range(0, slots, 8).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("n")))
+    by_slot = every.groupBy("slot").agg(F.sum("n").alias("n")).withColumn("n", F.when(F.col("n") > 1, F.col("n")).otherwise(0))
+    bit = F.call_function("shiftleft", F.lit(1), F.col("slot").bitwiseAND(F.lit(7)).cast("int"))
     level = F.least(F.lit(LEVELS), F.floor(4 * F.log2(F.sum("n") + 1))) + 1
-    bytes_of = every.groupBy("slot").agg(F.lpad(F.hex(level), 2, F.lit("0")).alias("bytes"))
+    held = F.sum(F.when(F.col("n") > 0, bit).otherwise(0)) + 256 * level
+    numbers = by_slot.groupBy(F.shiftright("slot", 3).alias("at")).agg(F.array(held.cast("smallint")).alias("ranks"))
 
     def joined(parts: DataFrame, by: list[Column]) -> DataFrame:
-        in_order = F.array_sort(F.collect_list(F.struct("slot", "bytes")))
-        return parts.groupBy(*by).agg(F.array_join(F.transform(in_order, lambda s: s["bytes"]), "").alias("bytes"))
+        in_order = F.array_sort(F.collect_list(F.struct("at", "ranks")))
+        return parts.groupBy(*by).agg(F.flatten(F.transform(in_order, lambda s: s["ranks"])).alias("ranks"))
 
-    chunks = joined(bytes_of, [F.floor(F.col("slot") / CHUNK).alias("chunk")]).withColumnRenamed("chunk", "slot")
-    return joined(chunks, []).select(F.unhex("bytes").alias("ranks"))
+    chunks = joined(numbers, [F.floor(F.col("at") / CHUNK).alias("chunk")]).withColumnRenamed("chunk", "at")
+    return joined(chunks, []).select("ranks")
 
 
 def by_rarity(tokens: Column, ranks: Column, slots: int) -> Column:
     """The words as numbers, the rarest first: the rank stands above the word's hash."""
 
-    def ranked(word: Column) -> Column:
-        slot = F.pmod(word, F.lit(slots)).cast("int")
-        rank = F.ascii(F.substring(ranks, slot + 1, 1).cast("string")).cast("bigint")
-        return F.shiftleft(rank, RANK_BIT).bitwiseOR(F.shiftrightunsigned(word, 64 - RANK_BIT))
+    def ranked(word: Column, held: Column) -> Column:
+        repeated = F.call_function("shiftright", held, word.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+        rank = F.when(repeated, F.shiftright(held, 8)).otherwise(F.lit(ONCE))
+        return F.shiftleft(rank.cast("bigint"), RANK_BIT).bitwiseOR(F.shiftrightunsigned(word, 64 - RANK_BIT))
 
-    return F.sort_array(F.transform(tokens, ranked))
+    held = F.transform(tokens, lambda word: F.get(ranks, _eighth(word, slots)).cast("int"))
+    return F.sort_array(F.zip_with(tokens, held, ranked))
 
 
 def prefix_keys(words: Column, n: Column) -> Column:

@@ -1,3 +1,4 @@
+import math
 import random
 
 from nameledger.llm import lines
@@ -132,3 +133,28 @@ def test_ranks_tell_words_of_one_set_and_are_a_table(rows, monkeypatch):
     data = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(30)] + [(40, " ".join(f"w3x{j}" for j in range(11)))]
     got = {r.doc_id: r.n_removed for r in dedup_report(rows(data, "doc_id bigint, text string")).collect()}
     assert sum(got.values()) == got[40] == 1 and names.index("ranks") < names.index("found")
+
+
+def test_ranks_are_small_and_tell_what_counts_tell(rows):
+    """Two bits a slot go through the driver; rank and hash of each word are those that counting gives."""
+    draw, slots = random.Random(3), 1 << 14
+    word = lambda: draw.randrange(-(1 << 63), 1 << 63)
+    common = [word() for _ in range(50)]
+    data = [(sorted({*(word() for _ in range(5)), *draw.choices(common, k=draw.randrange(3))}),) for _ in range(2000)]
+    sets = rows(data, "tokens array<bigint>")
+    ranks = lines.rank_table(sets, slots)
+    (held,) = ranks.collect()
+    assert len(held.ranks) == slots // 8 and sets.withColumn("x", ranks.scalar()).schema["x"].dataType.simpleString() == "array<smallint>"
+    counts = [0] * slots
+    slot = lambda w: (w & (1 << 64) - 1) >> 53 << 3 | w & 7
+    for w in (w for (tokens,) in data for w in tokens):
+        counts[slot(w)] += 1
+
+    def rank(w):
+        at = slot(w) // 8 * 8
+        total = sum(n for n in counts[at : at + 8] if n > 1)
+        return lines.ONCE if counts[slot(w)] == 1 else min(lines.LEVELS, math.floor(4 * math.log2(total + 1))) + 1
+
+    found = lines.by_rarity(lines.F.col("tokens"), lines.F.col("ranks"), slots).alias("found")
+    for row in sets.withColumn("ranks", ranks.scalar()).select("tokens", found).collect():
+        assert row.found == sorted(rank(w) << 56 | (w & (1 << 64) - 1) >> 8 for w in row.tokens)
