@@ -470,8 +470,9 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
         return map_rows(delivered(sent), rows, SENT, ROWS_AT_ONCE)
 
     asked = map_rows(blobs.select("sender", "blob"), ask_anchors, SENT, ROWS_AT_ONCE)
-    shared = written(step(asked, tell_anchors), "shared-anchors").unionByName(whole)
-    told = written(step(step(shared, ask_stretches), tell_stretches), "first-documents").unionByName(shared)
-    answers = written(step(step(told, ask_texts), tell_texts), "window-documents").unionByName(told)
+    # few rows at a time on the way to the Python workers too: else a task's blobs and answers all stand in one batch
+    shared = written(step(asked, tell_anchors), "shared-anchors", ROWS_AT_ONCE).unionByName(whole)
+    told = written(step(step(shared, ask_stretches), tell_stretches), "first-documents", ROWS_AT_ONCE).unionByName(shared)
+    answers = written(step(step(told, ask_texts), tell_texts), "window-documents", ROWS_AT_ONCE).unionByName(told)
     schema = f"{RESULT}, kept binary" if texts else RESULT
-    return map_rows(delivered(answers), finish, schema, ROWS_AT_ONCE)
+    return written(map_rows(delivered(answers), finish, schema, ROWS_AT_ONCE), "without-repeats", ROWS_AT_ONCE)

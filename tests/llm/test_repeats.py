@@ -120,3 +120,20 @@ def test_ranks_and_smaller_documents():
 
 def test_no_documents(rows):
     assert R.remove_repeats(rows([], SCHEMA)).count() == 0
+
+
+def test_workers_get_few_rows_at_once(rows, monkeypatch):
+    """No step hands a whole task's blobs and answers to its Python worker in one batch; the session's setting stays."""
+    given, written = {}, R.written
+
+    def noted(df, what, at_once=None):
+        given[what] = at_once
+        return written(df, what, at_once)
+
+    monkeypatch.setattr(R, "written", noted)
+    docs = rows([(d, t, 0, "", 0, 0) for d, t in corpus(3)], SCHEMA)
+    before = docs.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, R.remove_repeats(docs).collect()), key=repr) == plain(corpus(3))
+    del given["blobs"]  # documents, not messages
+    assert len(given) == 4 and set(given.values()) == {R.ROWS_AT_ONCE}
+    assert docs.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
