@@ -74,12 +74,15 @@ class Scratch:
     def __init__(self, spark: SparkSession, what: str, dictionaries: dict[str, int] | None = None):
         self.spark, self.folder, self.dictionaries = spark, new_folder(spark, what), dictionaries or {}
 
-    def keep(self, df: DataFrame, what: str) -> DataFrame:
-        """The rows of ``df`` after they were written, packed well: the plan behind them ends here, and its shuffle files go."""
+    def keep(self, df: DataFrame, what: str, at_once: int | None = None) -> DataFrame:
+        """The rows of ``df`` after they were written, packed well: the plan behind them ends here, and its shuffle files go.
+
+        ``at_once`` bounds the rows that go to a Python worker in one batch, as in ``written``.
+        """
         to = df.write.option("compression", "zstd")
         if what in self.dictionaries:
             to = to.option("parquet.dictionary.page.size", self.dictionaries[what])
-        with setting(self.spark, CLEANUP, "true"):
+        with setting(self.spark, CLEANUP, "true"), setting(self.spark, ARROW_ROWS, str(at_once)) if at_once else nullcontext():
             to.parquet(f"{self.folder}/{what}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{what}")
 
